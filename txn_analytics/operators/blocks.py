@@ -4,39 +4,63 @@ A plain ``OVER (ORDER BY ...)`` brings all rows to one task, and ``PARTITION BY`
 third of the data is not much better. Here rows are range-partitioned by the sort order into blocks of
 even size, each block is numbered on its own, and what the blocks before it contribute is added from a
 summary with one row per block and group. The blocks are materialised, since a second range shuffle
-would sample other cut points.
+would sample other cut points. Inputs that fit one block keep the plain window.
 """
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
+from math import ceil
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from txn_analytics.cluster import join_lookup, materialise
 
+ROWS_PER_BLOCK = 1_000_000
 
-def _shuffle_width(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
+@dataclass(frozen=True)
+class Rank:
+    """A column with the place of each row by falling value: in all, or among the rows alike in ``within``."""
 
-def ordered_blocks(df: DataFrame, order: Sequence, blocks: int | None = None) -> DataFrame:
+    column: str
+    kind: str = "rank"  # or "dense" (no gaps after ties) or "number" (ties broken by the key)
+    within: tuple[str, ...] = ()
+
+
+def ordered_blocks(df: DataFrame, order: Sequence, blocks: int) -> DataFrame:
     """Rows with a ``_block`` number that never falls along ``order``, materialised.
 
     ``order`` has to end in a unique key, so that rows with equal values can be spread too.
     """
-    return materialise(
-        df.repartitionByRange(blocks or _shuffle_width(df), *order).withColumn("_block", F.spark_partition_id())
-    )
+    return materialise(df.repartitionByRange(blocks, *order).withColumn("_block", F.spark_partition_id()))
 
 
-def with_ranks(blocks: DataFrame, value: str, key: Sequence[str], within: Sequence[str] = (), *,
-               rank: str | None = None, dense: str | None = None, number: str | None = None) -> DataFrame:
-    """Rank rows by falling ``value``, in all or within groups, over blocks ordered by falling ``value``.
+def with_ranks(df: DataFrame, value: str, key: Sequence[str], ranks: Sequence[Rank],
+               rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
+    """Adds the ranks to ``df``, which should be materialised: it is counted, then read.
 
-    Adds the columns that are named: ``rank`` (gaps after ties), ``dense`` (no gaps), ``number`` (ties
-    broken by ``key``). Also right where one value fills several blocks.
+    ``value`` must not be NULL, and ``key`` must be unique.
     """
-    within = list(within)
+    blocks = ceil(df.count() / rows_per_block)
+    if blocks <= 1:
+        return reduce(lambda rows, rank: rows.withColumn(rank.column, _place(rank, value, key, rank.within)), ranks, df)
+    cut = ordered_blocks(df, [F.col(value).desc(), *key], blocks)
+    return reduce(lambda rows, rank: _across_blocks(rows, cut, value, key, rank), ranks, cut).drop("_block")
+
+
+def _place(rank: Rank, value: str, key: Sequence[str], group: Sequence[str]):
+    falling = F.col(value).desc()
+    if rank.kind == "number":
+        return F.row_number().over(Window.partitionBy(*group).orderBy(falling, *key))
+    function = {"rank": F.rank, "dense": F.dense_rank}[rank.kind]
+    return function().over(Window.partitionBy(*group).orderBy(falling))
+
+
+def _across_blocks(rows: DataFrame, blocks: DataFrame, value: str, key: Sequence[str], rank: Rank) -> DataFrame:
+    """One rank from the places inside each block. Also right where one value fills several blocks."""
+    within = list(rank.within)
     group = ["_block", *within]
 
     # One row per block and group: how many rows and values it has, and the values at its two ends.
@@ -67,27 +91,18 @@ def with_ranks(blocks: DataFrame, value: str, key: Sequence[str], within: Sequen
         .select(*group, "_head", "_rows_before", "_values_before", "_head_rank")
     )
 
-    inside = Window.partitionBy(*group).orderBy(F.col(value).desc(), *key)
-    by_value = Window.partitionBy(*group).orderBy(F.col(value).desc())
-    out = blocks
-    if rank:
-        out = out.withColumn("_rank", F.rank().over(by_value))
-    if dense:
-        out = out.withColumn("_dense", F.dense_rank().over(by_value))
-    if number:
-        out = out.withColumn("_number", F.row_number().over(inside))
-    out = join_lookup(out, offsets, group)
-    if rank:
-        out = out.withColumn(rank, F.when(F.col(value) == F.col("_head"), F.col("_head_rank"))
-                             .otherwise(F.col("_rows_before") + F.col("_rank")))
-    if dense:
-        out = out.withColumn(dense, F.col("_values_before") + F.col("_dense"))
-    if number:
-        out = out.withColumn(number, F.col("_rows_before") + F.col("_number"))
-    return out.drop("_rank", "_dense", "_number", "_head", "_rows_before", "_values_before", "_head_rank")
-
-
-def running_totals(rows: DataFrame, group: str, order: Sequence[str], value: str, blocks: int | None = None) -> DataFrame:
+    placed = join_lookup(rows.withColumn("_place", _place(rank, value, key, group)), offsets, group)
+    place = {
+        "rank": F.when(F.col(value) == F.col("_head"), F.col("_head_rank"))
+        .otherwise(F.col("_rows_before") + F.col("_place")),
+        "dense": F.col("_values_before") + F.col("_place"),
+        "number": F.col("_rows_before") + F.col("_place"),
+    }[rank.kind]
+    return placed.withColumn(rank.column, place).drop(
+        "_place", "_head", "_rows_before", "_values_before", "_head_rank")
+
+
+def running_totals(rows: DataFrame, group: str, order: Sequence[str], value: str, blocks: int) -> DataFrame:
     """Rows with ``_total`` and ``_seen``: sum of ``value`` and count of rows of the group so far.
 
     Blocks run over (group, order), so one group may fill many of them.

@@ -5,7 +5,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from txn_analytics.operators.blocks import ordered_blocks, with_ranks
+from txn_analytics.cluster import materialise
+from txn_analytics.operators.blocks import ROWS_PER_BLOCK, Rank, with_ranks
 from txn_analytics.operators.measures import BASIC, measures
 
 
@@ -16,21 +17,21 @@ def top_k(txn: DataFrame, keys: Sequence[str], k: int = 10, stats: Sequence[str]
     return measures(txn, keys, stats).orderBy(volume.asc() if smallest else volume.desc(), *keys).limit(k)
 
 
-def _ranked_customers(txn: DataFrame, within: Sequence[str], stats: Sequence[str], blocks, **names) -> DataFrame:
-    customers = measures(txn, ["customer_id", "segment"], stats)
-    cut = ordered_blocks(customers, [F.col("total_volume").desc(), "customer_id", "segment"], blocks)
-    return with_ranks(cut, "total_volume", ["customer_id", "segment"], within, **names).drop("_block")
+def _ranked_customers(txn: DataFrame, stats: Sequence[str], ranks: Sequence[Rank], rows_per_block: int) -> DataFrame:
+    key = ["customer_id", "segment"]
+    return with_ranks(materialise(measures(txn, key, stats)), "total_volume", key, ranks, rows_per_block)
 
 
-def global_rank(txn: DataFrame, blocks: int | None = None) -> DataFrame:
+def global_rank(txn: DataFrame, rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
     """RANK, DENSE_RANK and ROW_NUMBER of every customer by volume."""
-    return _ranked_customers(txn, (), ("total_volume",), blocks,
-                             rank="volume_rank", dense="volume_dense_rank", number="volume_row_number")
+    ranks = [Rank("volume_rank"), Rank("volume_dense_rank", "dense"), Rank("volume_row_number", "number")]
+    return _ranked_customers(txn, ("total_volume",), ranks, rows_per_block)
 
 
-def rank_within_segment(txn: DataFrame, blocks: int | None = None) -> DataFrame:
+def rank_within_segment(txn: DataFrame, rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
     """RANK of every customer by volume among the customers of its segment."""
-    return _ranked_customers(txn, ["segment"], ("total_volume", "transactions"), blocks, rank="rank_in_segment")
+    ranks = [Rank("rank_in_segment", within=("segment",))]
+    return _ranked_customers(txn, ("total_volume", "transactions"), ranks, rows_per_block)
 
 
 def rank_groups(txn: DataFrame, by: str, dense: bool = False) -> DataFrame:

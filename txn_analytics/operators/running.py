@@ -1,17 +1,19 @@
 """Running total and mean of each customer, transaction by transaction."""
 
+from math import ceil
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from txn_analytics.functions.values import per_unit
-from txn_analytics.operators.blocks import running_totals
+from txn_analytics.operators.blocks import ROWS_PER_BLOCK, running_totals
 from txn_analytics.operators.measures import not_failed
 
 ORDER = ["date", "transaction_id"]
 
 
 def running_by_customer(txn: DataFrame, hot_rows: int = 5_000_000, most_hot: int = 20_000,
-                        blocks: int | None = None) -> DataFrame:
+                        rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
     """Sum and mean of a customer's amounts up to each row, in order of date and transaction id.
 
     Most customers fit a window per customer: one shuffle, one sort. Customers with more than ``hot_rows``
@@ -20,18 +22,18 @@ def running_by_customer(txn: DataFrame, hot_rows: int = 5_000_000, most_hot: int
     """
     rows = not_failed(txn).select("customer_id", "segment", *ORDER, "amount")
     hot = (
-        rows.groupBy("customer_id").agg(F.count("*").alias("_n"))
-        .filter(F.col("_n") > hot_rows).select("customer_id")
+        rows.groupBy("customer_id").agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_rows)
         .limit(most_hot + 1).collect()
     )
     if len(hot) > most_hot:
-        totals = running_totals(rows, "customer_id", ORDER, "amount", blocks)
+        totals = _in_blocks(rows, rows.count(), rows_per_block)
     elif not hot:
         totals = _windowed(rows)
     else:
-        ids = F.broadcast(txn.sparkSession.createDataFrame(hot, rows.select("customer_id").schema))
-        spread = running_totals(rows.join(ids, "customer_id", "left_semi"), "customer_id", ORDER, "amount", blocks)
-        totals = _windowed(rows.join(ids, "customer_id", "left_anti")).unionByName(spread)
+        ids = F.broadcast(txn.sparkSession.createDataFrame([row[:1] for row in hot], "customer_id string"))
+        spread = rows.join(ids, "customer_id", "left_semi")
+        totals = _windowed(rows.join(ids, "customer_id", "left_anti")).unionByName(
+            _in_blocks(spread, sum(row["_n"] for row in hot), rows_per_block))
     return totals.select(
         "customer_id", "segment", *ORDER, "amount",
         F.col("_total").alias("running_total"),
@@ -45,3 +47,7 @@ def _windowed(rows: DataFrame) -> DataFrame:
         rows.withColumn("_total", F.sum("amount").over(so_far))
         .withColumn("_seen", F.count("*").over(so_far))
     )
+
+
+def _in_blocks(rows: DataFrame, count: int, rows_per_block: int) -> DataFrame:
+    return running_totals(rows, "customer_id", ORDER, "amount", ceil(count / rows_per_block))

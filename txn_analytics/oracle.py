@@ -100,7 +100,7 @@ AVERAGE = f"{_mean('sum(cents)', 'count(*)')} avg_amount"
 BASIC = f"count(*) transactions, {VOLUME}, {AVERAGE}"
 EXTREMES = f"{_rm('min(cents)')} min_amount, {_rm('max(cents)')} max_amount"
 HOLDERS = "count(distinct customer_id) customers"
-SHARE = f"{_pct('sum(cents)', 'sum(sum(cents)) over ()', None)} volume_share_pct"
+SHARE = f"{_pct(_rm('sum(cents)'), _rm('sum(sum(cents)) over ()'), None)} volume_share_pct"
 MONTH = "year(mon) as year, month(mon) month_num, strftime(mon, '%b %Y') as month"
 MONTH_OF_YEAR = "month(mon) month_num, strftime(mon, '%B') month_name, year(mon) as year"
 
@@ -324,7 +324,7 @@ def _profile(table: str, column_types: dict[str, str]) -> str:
     for position, (name, kind) in enumerate(column_types.items(), 1):
         text = {"date": _iso, "decimal(15,2)": lambda c: f"cast({c} as varchar)"}.get(kind, lambda c: c)
         arms.append(f"""select '{table}' as "table", {position} as position, '{name}' as "column", '{kind}' as type,
-          count(*) - count({name}) nulls, count(distinct {name}) distinct_values,
+          count(*) - count({name}) nulls,
           {text(f'min({name})')} smallest, {text(f'max({name})')} largest from shown""")
     return "\nunion all ".join(arms)
 
@@ -343,16 +343,16 @@ ORACLE: dict[str, str] = {
     "q02_9_dimension_combinations": _distinct("segment, branch, product, transaction_type", "lines"),
 
     "q03_1_transaction_range": _with(LINES) + f"""
-select {_iso('min(date)')} first_date, {_iso('max(date)')} last_date, {_gap('min(date)', 'max(date)', 'day')} days,
-       {_gap('min(date)', 'max(date)')} months, {_gap('min(date)', 'max(date)', 'year')} years from lines""",
+select {_iso('min(date)')} first_date, {_iso('max(date)')} last_date, {_gap('min(date)', 'max(date)', 'day')} as days,
+       {_gap('min(date)', 'max(date)')} as months, {_gap('min(date)', 'max(date)', 'year')} as years from lines""",
     "q03_2_join_range": _with(CUSTOMERS) + f"""
 select {_iso('min(join_date)')} first_date, {_iso('max(join_date)')} last_date,
-       {_gap('min(join_date)', 'max(join_date)', 'day')} days,
-       {_gap('min(join_date)', 'max(join_date)', 'year')} years from cust""",
+       {_gap('min(join_date)', 'max(join_date)', 'day')} as days,
+       {_gap('min(join_date)', 'max(join_date)', 'year')} as years from cust""",
     "q03_3_segment_range": _with(LINES) + _grouped("segment", f"""{_iso('min(date)')} first_date,
-       {_iso('max(date)')} last_date, {_gap('min(date)', 'max(date)', 'day')} days""", "lines"),
+       {_iso('max(date)')} last_date, {_gap('min(date)', 'max(date)', 'day')} as days""", "lines"),
     "q03_4_branch_range": _with(LINES) + _grouped("branch", f"""{_iso('min(date)')} first_date,
-       {_iso('max(date)')} last_date, {_gap('min(date)', 'max(date)')} months""", "lines"),
+       {_iso('max(date)')} last_date, {_gap('min(date)', 'max(date)')} as months""", "lines"),
     "q03_5_monthly_activity": _with(LINES) + f"""
 select year(mon) as year, month(mon) month_num, strftime(mon, '%B') month_name, n transactions,
        {_iso('lo')} first_date, {_iso('hi')} last_date, {_gap('lo', 'hi', 'day')} days_with_activity

@@ -4,10 +4,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txn_analytics import model
-from txn_analytics.cluster import join_lookup
+from txn_analytics.cluster import join_lookup, materialise
 from txn_analytics.functions.dates import as_date, month_gap
 from txn_analytics.functions.values import band_against, band_from, band_upto, per_unit
-from txn_analytics.operators.blocks import ordered_blocks, with_ranks
+from txn_analytics.operators.blocks import ROWS_PER_BLOCK, Rank, with_ranks
 from txn_analytics.operators.measures import not_failed
 
 KEY = ["customer_id", "segment", "branch"]
@@ -36,15 +36,15 @@ def _activity(txn: DataFrame) -> DataFrame:
 
 
 def customer_report(txn: DataFrame, customers: DataFrame, as_of, tiers=model.TIERS,
-                    blocks: int | None = None) -> DataFrame:
+                    rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
     """Tiers, activity, diversity, monthly spend, risk, benchmarks and ranks of every customer.
 
     ``txn`` carries ``is_anomaly``. Customers missing from ``customers`` are left out. The customer rows are
-    laid out once, by falling volume; means and both ranks are then read from that layout.
+    computed once; means and both ranks are then read from them.
     """
     today = as_date(as_of)
     lifespan = F.col("lifespan_months")
-    kpis = (
+    kpis = materialise(
         _activity(txn).join(customers.select("customer_id", "join_date"), "customer_id")
         .withColumn("tenure_months", month_gap(F.col("join_date"), today))
         .withColumn("lifespan_months", month_gap(F.col("first_date"), F.col("last_date")))
@@ -52,14 +52,11 @@ def customer_report(txn: DataFrame, customers: DataFrame, as_of, tiers=model.TIE
         .withColumn("avg_transaction", per_unit("total_volume", "transactions"))
         .withColumn("avg_monthly_spend", per_unit("total_volume", F.greatest(lifespan, F.lit(1))))
     )
-    laid_out = ordered_blocks(kpis, [F.col("total_volume").desc(), *KEY], blocks)
-
-    bank = laid_out.agg(  # always one row
+    bank = kpis.agg(  # always one row
         F.avg("total_volume").alias("_bank_volume"), F.avg("avg_monthly_spend").alias("_bank_spend"))
-    segments = laid_out.groupBy("segment").agg(F.avg("total_volume").alias("_segment_volume"))
-
-    ranked = with_ranks(laid_out, "total_volume", KEY, rank="overall_rank")
-    ranked = with_ranks(ranked, "total_volume", KEY, ["segment"], rank="segment_rank")
+    segments = kpis.groupBy("segment").agg(F.avg("total_volume").alias("_segment_volume"))
+    ranks = [Rank("overall_rank"), Rank("segment_rank", within=("segment",))]
+    ranked = with_ranks(kpis, "total_volume", KEY, ranks, rows_per_block)
     return join_lookup(ranked.crossJoin(F.broadcast(bank)), segments, ["segment"]).select(
         *KEY, "join_date",
         band_from("total_volume", tiers, model.TIER_REST).alias("customer_tier"),

@@ -25,7 +25,7 @@ def branches(spark: SparkSession, folder: str) -> DataFrame:
     regions = _read(spark, folder, "region").select(F.col("r_regionkey").alias("n_regionkey"), F.col("r_name").alias("region"))
     return (
         _read(spark, folder, "nation").join(F.broadcast(regions), "n_regionkey", "left")
-        .select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("branch"), "region")
+        .select(F.col("n_name").alias("branch"), "region")
     )
 
 
@@ -33,7 +33,9 @@ def _holders(spark: SparkSession, folder: str, columns: Sequence[str]) -> DataFr
     holders = _read(spark, folder, "customer").select(
         F.col("c_custkey").alias("holder"), F.col("c_mktsegment").alias("segment"), "c_nationkey")
     if "branch" in columns:
-        holders = holders.join(F.broadcast(branches(spark, folder)), "c_nationkey", "left")
+        nations = _read(spark, folder, "nation").select(
+            F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("branch"))
+        holders = holders.join(F.broadcast(nations), "c_nationkey", "left")
     return holders.select("holder", *[name for name in ("segment", "branch") if name in columns])
 
 
