@@ -319,16 +319,30 @@ def _moving(span: int) -> str:
     return f"{_mean(f'sum(c) {over}', f'count(*) {over}')} moving_avg_{span}"
 
 
-def _profile(table: str, column_types: dict[str, str]) -> str:
+def _profile(table: str, column_types: dict[str, str], source: str) -> str:
     arms = []
     for position, (name, kind) in enumerate(column_types.items(), 1):
-        text = {"date": _iso, "decimal(15,2)": lambda c: f"cast({c} as varchar)"}.get(kind, lambda c: c)
+        def text(value):
+            return value if kind == "string" else f"cast({value} as varchar)"
+        lowest, highest = f'min("{name}")', f'max("{name}")'
         arms.append(f"""select '{table}' as "table", {position} as position, '{name}' as "column", '{kind}' as type,
-          count(*) - count({name}) nulls,
-          {text(f'min({name})')} smallest, {text(f'max({name})')} largest from shown""")
+          count(*) - count("{name}") nulls, {text(lowest)} smallest, {text(highest)} largest from {source}""")
     return "\nunion all ".join(arms)
 
 
+DATE_DIMENSION = f"""
+select cast(strftime(d, '%Y%m%d') as int) date_id, {_iso('d')} full_date, dayname(d) day_of_week, day(d) day_num,
+       week(d) week_num, month(d) month_num, monthname(d) month_name, quarter(d) as quarter, year(d) as year,
+       isodow(d) >= 6 is_weekend
+from (select unnest(generate_series(min(date), max(date), interval 1 day)) d from lines)"""
+PRODUCT_DIMENSION = """
+select row_number() over (order by product) product_id, product product_name
+from (select distinct product from lines where product is not null)"""
+BRANCH_DIMENSION = """
+select row_number() over (order by n_name) branch_id, n_name branch_name, r_name region
+from nation left join region on r_regionkey = n_regionkey"""
+
+CUSTOMER_TYPES = {field.name: field.dataType.simpleString() for field in model.CUSTOMERS.fields}
 FACT_TYPES = {field.name: field.dataType.simpleString() for field in model.TRANSACTIONS.fields}
 
 ORACLE: dict[str, str] = {
@@ -560,17 +574,9 @@ select row_number() over (order by c desc, customer_id) as position, customer_id
     "load_transactions": _valid(f"""
 select year(mon) * 100 + month(mon) load_month, false is_anomaly, count(*) transactions, {VOLUME},
        '2002-01-01 00:00:00' load_date from valid where year(date) = 1998 group by mon"""),
-    "dim_date": _with(LINES) + f"""
-select cast(strftime(d, '%Y%m%d') as int) date_id, {_iso('d')} full_date, dayname(d) day_of_week, day(d) day_num,
-       week(d) week_num, month(d) month_num, monthname(d) month_name, quarter(d) as quarter, year(d) as year,
-       isodow(d) >= 6 is_weekend
-from (select unnest(generate_series(min(date), max(date), interval 1 day)) d from lines)""",
-    "dim_product": _with(LINES) + """
-select row_number() over (order by product) product_id, product product_name
-from (select distinct product from lines where product is not null)""",
-    "dim_branch": """
-select row_number() over (order by n_name) branch_id, n_name branch_name, r_name region
-from nation left join region on r_regionkey = n_regionkey""",
+    "dim_date": _with(LINES) + DATE_DIMENSION,
+    "dim_product": _with(LINES) + PRODUCT_DIMENSION,
+    "dim_branch": BRANCH_DIMENSION,
     "load_defaults": _with(LINES) + """
 select transaction_id, false is_anomaly, '2002-01-01 00:00:00' load_date from lines""",
     "check_unique_transactions": _with(LINES) + """
@@ -597,5 +603,17 @@ union all select 'dim_date', date_diff('day', min(date), max(date)) + 1 from lin
 union all select 'dim_product', count(distinct product) from lines
 union all select 'dim_branch', count(*) from nation""",
     "profile_columns": _with(LINES, "shown as (select *, cast(cents / 100 as decimal(15,2)) amount from lines)")
-    + _profile("fact_transactions", FACT_TYPES),
+    + _profile("fact_transactions", FACT_TYPES, "shown"),
+    "profile_dimensions": _with(
+        LINES, CUSTOMERS, f"days as ({DATE_DIMENSION})", f"products as ({PRODUCT_DIMENSION})",
+        f"branches as ({BRANCH_DIMENSION})")
+    + "\nunion all ".join([
+        _profile("dim_customers", CUSTOMER_TYPES, "cust"),
+        _profile("dim_date", {
+            "date_id": "int", "full_date": "date", "day_of_week": "string", "day_num": "int", "week_num": "int",
+            "month_num": "int", "month_name": "string", "quarter": "int", "year": "int", "is_weekend": "boolean",
+        }, "days"),
+        _profile("dim_product", {"product_id": "int", "product_name": "string"}, "products"),
+        _profile("dim_branch", {"branch_id": "int", "branch_name": "string", "region": "string"}, "branches"),
+    ]),
 }

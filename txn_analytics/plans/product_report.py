@@ -11,31 +11,23 @@ from txn_analytics.functions.values import band_against, band_from, per_unit, pe
 def _activity(txn: DataFrame) -> DataFrame:
     """All transactions per product.
 
-    Rows are first reduced to one per combination of the columns counted distinct below, so that the
-    expansion for four distinct counts does not multiply raw rows.
+    Each distinct count is reduced to (product, value) pairs before the shuffle and spread by value, so a
+    product with most of the rows is not gathered in one task.
     """
     def having(status):
-        return F.count_if(F.col("status") == status)
+        return F.count_if(F.col("status") == status).alias(status.lower())
 
-    parts = txn.groupBy("product", "customer_id", "branch", "segment", "transaction_type").agg(
-        F.count("transaction_id").alias("n"), F.sum("amount").alias("volume"),
-        F.min("amount").alias("low"), F.max("amount").alias("high"),
-        F.min("date").alias("first"), F.max("date").alias("last"),
-        F.sum(F.col("is_anomaly").cast("long")).alias("flagged"),
-        having(model.COMPLETED).alias("completed"), having(model.PENDING).alias("pending"),
-        having(model.FAILED).alias("failed"),
-    )
-    return parts.groupBy("product").agg(
-        F.sum("n").alias("transactions"),
-        F.sum("completed").alias("completed"), F.sum("pending").alias("pending"), F.sum("failed").alias("failed"),
+    return txn.groupBy("product").agg(
+        F.count("transaction_id").alias("transactions"),
+        having(model.COMPLETED), having(model.PENDING), having(model.FAILED),
         F.countDistinct("customer_id").alias("customers"),
         F.countDistinct("branch").alias("branches"),
         F.countDistinct("segment").alias("segments"),
         F.countDistinct("transaction_type").alias("types_used"),
-        F.min("first").alias("first_date"), F.max("last").alias("last_date"),
-        F.sum("volume").cast("decimal(25,2)").alias("total_revenue"),
-        F.min("low").alias("min_amount"), F.max("high").alias("max_amount"),
-        F.sum("flagged").alias("anomalies"),
+        F.min("date").alias("first_date"), F.max("date").alias("last_date"),
+        F.sum("amount").alias("total_revenue"),
+        F.min("amount").alias("min_amount"), F.max("amount").alias("max_amount"),
+        F.sum(F.col("is_anomaly").cast("long")).alias("anomalies"),
     )
 
 

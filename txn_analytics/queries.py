@@ -1,6 +1,7 @@
 """Every operator run over the test tables, by name. The matching SQL is in ``oracle.py``."""
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -127,6 +128,12 @@ def _branches(spark: SparkSession, folder: str) -> DataFrame:
         tables.branches(spark, folder), "branch", "branch_id", "branch_name")
 
 
+def _dimension_profile(spark: SparkSession, folder: str) -> DataFrame:
+    dims = _all_tables(spark, folder)
+    del dims["fact_transactions"]
+    return reduce(DataFrame.unionByName, [quality.profile_columns(df, name) for name, df in dims.items()])
+
+
 def _customer_report_events(spark: SparkSession, folder: str) -> DataFrame:
     events = anomalies.flag_anomalies(tables.event_transactions(spark, folder))
     return presentable(customer_report.customer_report(events, tables.customers(spark, folder), EVENTS_AS_OF))
@@ -308,6 +315,7 @@ QUERIES: dict[str, Query] = {
         segments.tenure_bands(c, t, AS_OF), ["customer_id", "transactions", "total_volume"])),
     "table_counts": lambda s, d: quality.table_counts(_all_tables(s, d)),
     # Distinct counts are estimates, so they are left to a test.
+    "profile_dimensions": lambda s, d: presentable(_dimension_profile(s, d).drop("distinct_values")),
     "profile_columns": _over(
         tables.transactions, lambda t: quality.profile_columns(t, "fact_transactions").drop("distinct_values")),
 }

@@ -29,29 +29,37 @@ def branches(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _holders(spark: SparkSession, folder: str, columns: Sequence[str]) -> DataFrame:
+def _with_holder(df: DataFrame, spark: SparkSession, folder: str, columns: Sequence[str]) -> DataFrame:
+    """Adds segment and branch of the customer in ``holder``.
+
+    Customers join first and the nations after them: Spark knows the size of a plain scan, and so
+    broadcasts the customers while they are few and shuffles them when they are not.
+    """
+    wanted = [name for name in ("segment", "branch") if name in columns]
+    if not wanted:
+        return df
     holders = _read(spark, folder, "customer").select(
         F.col("c_custkey").alias("holder"), F.col("c_mktsegment").alias("segment"), "c_nationkey")
-    if "branch" in columns:
-        nations = _read(spark, folder, "nation").select(
-            F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("branch"))
-        holders = holders.join(F.broadcast(nations), "c_nationkey", "left")
-    return holders.select("holder", *[name for name in ("segment", "branch") if name in columns])
+    return _with_branch(df.join(holders, "holder", "left"), spark, folder, wanted).select(*df.columns, *wanted)
+
+
+def _with_branch(df: DataFrame, spark: SparkSession, folder: str, columns: Sequence[str]) -> DataFrame:
+    if "branch" not in columns:
+        return df
+    nations = _read(spark, folder, "nation").select(
+        F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("branch"))
+    return df.join(F.broadcast(nations), "c_nationkey", "left")
 
 
 def customers(spark: SparkSession, folder: str) -> DataFrame:
     """Customer dimension. The source has no joining date, so one is derived from the key."""
-    joined = F.date_add(F.lit("1994-01-01").cast("date"), (F.col("holder") * 37 % 2000).cast("int"))
-    return _holders(spark, folder, ("segment", "branch")).select(
-        F.col("holder").cast("string").alias("customer_id"), "segment", "branch", joined.alias("join_date"))
+    joined = F.date_add(F.lit("1994-01-01").cast("date"), (F.col("c_custkey") * 37 % 2000).cast("int"))
+    return _with_branch(_read(spark, folder, "customer"), spark, folder, ("branch",)).select(
+        F.col("c_custkey").cast("string").alias("customer_id"), F.col("c_mktsegment").alias("segment"), "branch",
+        joined.alias("join_date"))
 
 
-def transactions(spark: SparkSession, folder: str, columns: Sequence[str] = ALL,
-                 include_failed: bool = True) -> DataFrame:
-    """Order lines as transactions, with the named columns.
-
-    Leaving failed rows out here tests the stored status, which reaches the Parquet scan.
-    """
+def _orders(spark: SparkSession, folder: str, columns: Sequence[str], include_failed: bool) -> DataFrame:
     orders = _read(spark, folder, "orders")
     if not include_failed:
         orders = orders.filter(F.col("o_orderstatus") != "F")
@@ -60,12 +68,23 @@ def transactions(spark: SparkSession, folder: str, columns: Sequence[str] = ALL,
         .when(F.col("o_orderstatus") == "P", model.PENDING)
         .when(F.col("o_orderstatus") == "F", model.FAILED)
     )
-    orders = orders.select(
-        F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("holder"), status.alias("status"))
-    if "segment" in columns or "branch" in columns:
-        orders = orders.join(_holders(spark, folder, columns), "holder", "left")
+    # Customers meet the orders before the lines do: there are fewer orders to shuffle.
+    return _with_holder(
+        orders.select(
+            F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("holder"), status.alias("status")),
+        spark, folder, columns)
+
+
+def transactions(spark: SparkSession, folder: str, columns: Sequence[str] = ALL,
+                 include_failed: bool = True) -> DataFrame:
+    """Order lines as transactions, with the named columns.
 
-    lines = _read(spark, folder, "lineitem").join(orders, "l_orderkey", "left" if include_failed else "inner")
+    Leaving failed rows out here tests the stored status, which reaches the Parquet scan.
+    """
+    lines = _read(spark, folder, "lineitem")
+    if not include_failed or {"customer_id", "status", "segment", "branch"} & set(columns):
+        orders = _orders(spark, folder, columns, include_failed)
+        lines = lines.join(orders, "l_orderkey", "left" if include_failed else "inner")
     if "product" in columns:
         parts = _read(spark, folder, "part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_type").alias("product"))
         lines = lines.join(parts, "l_partkey", "left")
@@ -87,9 +106,7 @@ def event_transactions(spark: SparkSession, folder: str, columns: Sequence[str]
         .when(F.col("event_type") == "signup", model.PENDING)
         .otherwise(model.COMPLETED)
     )
-    events = _read(spark, folder, "events").withColumn("holder", F.col("user_id"))
-    if "segment" in columns or "branch" in columns:
-        events = events.join(_holders(spark, folder, columns), "holder", "left")
+    events = _with_holder(_read(spark, folder, "events").withColumn("holder", F.col("user_id")), spark, folder, columns)
     values = {
         "transaction_id": F.col("event_id").cast("string"),
         "date": F.col("ts").cast("date"),
