@@ -33,15 +33,18 @@ def customer_report(txn: DataFrame, customers: DataFrame, as_of, tiers=model.TIE
     computed once; means and both ranks are then read from them.
     """
     today = as_date(as_of)
-    lifespan = F.col("lifespan_months")
+    months_active = month_gap(F.col("first_date"), F.col("last_date"))
     kpis = materialise(
         _activity(txn).join(customers.select("customer_id", "join_date"), "customer_id")
-        .withColumn("tenure_months", month_gap(F.col("join_date"), today))
-        .withColumn("lifespan_months", month_gap(F.col("first_date"), F.col("last_date")))
-        .withColumn("recency_months", month_gap(F.col("last_date"), today))
-        .withColumn("avg_transaction", per_unit("total_volume", "transactions"))
-        .withColumn("avg_monthly_spend", per_unit("total_volume", F.greatest(lifespan, F.lit(1))))
+        .withColumns({
+            "tenure_months": month_gap(F.col("join_date"), today),
+            "lifespan_months": months_active,
+            "recency_months": month_gap(F.col("last_date"), today),
+            "avg_transaction": per_unit("total_volume", "transactions"),
+            "avg_monthly_spend": per_unit("total_volume", F.greatest(months_active, F.lit(1))),
+        })
     )
+
     bank = kpis.agg(  # always one row
         F.avg("total_volume").alias("_bank_volume"), F.avg("avg_monthly_spend").alias("_bank_spend"))
     segments = kpis.groupBy("segment").agg(F.avg("total_volume").alias("_segment_volume"))

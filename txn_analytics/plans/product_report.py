@@ -37,6 +37,7 @@ def product_report(txn: DataFrame, as_of) -> DataFrame:
     ``txn`` carries ``is_anomaly``. Windows see one row per product.
     """
     everything = Window.partitionBy()
+    months_active = month_gap(F.col("first_date"), F.col("last_date"))
     recency, completion = F.col("recency_months"), F.col("completion_pct")
     health = (
         F.when((recency == 0) & (completion >= 90), "Healthy")
@@ -50,19 +51,22 @@ def product_report(txn: DataFrame, as_of) -> DataFrame:
 
     kpis = (
         _activity(txn)
-        .withColumn("lifespan_months", month_gap(F.col("first_date"), F.col("last_date")))
-        .withColumn("recency_months", month_gap(F.col("last_date"), as_date(as_of)))
-        .withColumn("avg_order_revenue", per_unit("total_revenue", "transactions"))
-        .withColumn("avg_monthly_revenue",
-                    per_unit("total_revenue", F.greatest(F.col("lifespan_months"), F.lit(1))))
-        .withColumn("revenue_per_customer", per_unit("total_revenue", "customers"))
-        .withColumn("completion_pct", percent("completed", "transactions"))
-        .withColumn("bank_revenue", F.sum("total_revenue").over(everything))
-        .withColumn("bank_avg_revenue", F.round(F.avg("total_revenue").over(everything), 2))
-        .withColumn("bank_avg_monthly_revenue", F.round(F.avg("avg_monthly_revenue").over(everything), 2))
-        .withColumn("revenue_rank", falling_rank("total_revenue"))
-        .withColumn("adoption_rank", falling_rank("customers"))
-        .withColumn("order_revenue_rank", falling_rank("avg_order_revenue"))
+        .withColumns({
+            "lifespan_months": months_active,
+            "recency_months": month_gap(F.col("last_date"), as_date(as_of)),
+            "avg_order_revenue": per_unit("total_revenue", "transactions"),
+            "avg_monthly_revenue": per_unit("total_revenue", F.greatest(months_active, F.lit(1))),
+            "revenue_per_customer": per_unit("total_revenue", "customers"),
+            "completion_pct": percent("completed", "transactions"),
+        })
+        .withColumns({
+            "bank_revenue": F.sum("total_revenue").over(everything),
+            "bank_avg_revenue": F.round(F.avg("total_revenue").over(everything), 2),
+            "bank_avg_monthly_revenue": F.round(F.avg("avg_monthly_revenue").over(everything), 2),
+            "revenue_rank": falling_rank("total_revenue"),
+            "adoption_rank": falling_rank("customers"),
+            "order_revenue_rank": falling_rank("avg_order_revenue"),
+        })
     )
     return kpis.orderBy(F.desc("total_revenue"), "product").select(
         "product",

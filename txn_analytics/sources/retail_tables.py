@@ -6,9 +6,11 @@ never grow, are always broadcast.
 """
 
 from collections.abc import Sequence
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from txn_analytics import model
 
@@ -17,8 +19,15 @@ AS_OF = "2001-12-31"
 EVENTS_AS_OF = "2024-01-31"
 
 
+@lru_cache(maxsize=None)
+def _schema(path: str) -> T.StructType:
+    """Schema in the file footers. Kept, since looking it up takes a Spark job for every reader."""
+    return SparkSession.active().read.parquet(path).schema
+
+
 def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{table}.parquet")
+    path = f"{folder}/{table}.parquet"
+    return spark.read.schema(_schema(path)).parquet(path)
 
 
 def branches(spark: SparkSession, folder: str) -> DataFrame:
