@@ -102,3 +102,11 @@ def test_lookup_beyond_the_limit_is_joined_all_the_same(spark):
     small, large = join_lookup(rows, lookup, ["k"]), join_lookup(rows, lookup, ["k"], most_rows=3)
     assert sorted(small.collect()) == sorted(large.collect())
     assert small.filter("twice != k * 2").count() == 0
+
+
+def test_lookup_made_from_the_rows_themselves(spark):
+    rows = spark.range(100).selectExpr("id", "nullif(id % 4, 3) as k")
+    counts = rows.groupBy("k").agg(F.count("*").alias("n"))
+    for most in (20, 1):
+        joined = join_lookup(rows, counts, ["k"], most_rows=most)
+        assert joined.columns == ["id", "k", "n"] and joined.filter("n = 25").count() == 100

@@ -57,12 +57,13 @@ def band_against(value, base, steps, rest: str, strict: bool = True) -> Column:
 def direction(value, previous) -> Column:
     """How a period compares with the one before it."""
     return (
-        F.when(_col(previous).isNull(), "Baseline")
-        .when(_col(value) > _col(previous), "Growth")
-        .when(_col(value) < _col(previous), "Decline")
-        .otherwise("Flat")
+        F.when(_col(previous).isNull(), model.BASELINE)
+        .when(_col(value) > _col(previous), model.GROWTH)
+        .when(_col(value) < _col(previous), model.DECLINE)
+        .otherwise(model.FLAT)
     )
 
 
-def against_mean(value, mean, above: str, below: str, equal: str) -> Column:
+def against_mean(value, mean, labels) -> Column:
+    above, below, equal = labels
     return F.when(_col(value) > _col(mean), above).when(_col(value) < _col(mean), below).otherwise(equal)

@@ -63,6 +63,10 @@ FREQUENCY_REST = "Low Frequency"
 VALUE_BANDS = [(500000, "Platinum"), (100000, "Gold"), (20000, "Silver")]
 VALUE_REST = "Bronze"
 
+# customer groups by recency, frequency and value
+CHAMPION, LOYAL, AT_RISK = "Champion", "Loyal Customer", "At Risk - High Value"
+LOST, REGULAR = "Lost Customer", "Regular Customer"
+
 RISK_OUTLIER = "Critical — Statistical Outlier"
 RISK_BANDS = [
     (100000, "High Risk — Large Amount"),
@@ -71,6 +75,22 @@ RISK_BANDS = [
 ]
 RISK_REST = "Normal — Routine Transaction"
 ESCALATE_FROM = 100000
+REVIEW_FAILED, ESCALATE, FLAG, NO_ACTION = (
+    "Review Failed", "Escalate to Compliance", "Flag for Review", "No Action Required")
+
+# a month against the mean month: above the first factor, below the second
+PEAK_FACTOR, LOW_FACTOR = "1.2", "0.8"
+PEAK, LOW, NORMAL_MONTH = "Peak Month", "Low Month", "Normal Month"
+
+# a period against the one before it
+BASELINE, GROWTH, DECLINE, FLAT = "Baseline", "Growth", "Decline", "Flat"
+
+# a month against the mean of its branch or product: above, below, equal
+VERSUS_BRANCH = ("Above Average", "Below Average", "Average")
+VERSUS_PRODUCT = ("Above Annual Avg", "Below Annual Avg", "At Annual Avg")
+
+ANOMALY, NORMAL = "Anomaly", "Normal"
+TOTAL = "TOTAL"
 
 # whole calendar years since joining, at or above the limit
 TENURE_BANDS = [(5, "Veteran (5+ Years)"), (3, "Established (3–5 Years)"), (1, "Growing (1–3 Years)")]
@@ -98,5 +118,8 @@ SEGMENT_REST = "Low Performer"
 # Product report.
 PRODUCT_TIERS = [("0.25", "High Performer"), ("0.10", "Mid-Range")]
 PRODUCT_TIER_REST = "Low Performer"
+# completion percentages: healthy or active from, failing below
+HEALTHY_FROM, ACTIVE_FROM, FAILING_BELOW = 90, 75, 60
+HEALTHY, ACTIVE, FAILING, MONITOR = "Healthy", "Active", "High Failure Rate", "Monitor"
 ADOPTION = [(100, "Widely Adopted"), (50, "Moderately Adopted"), (20, "Niche")]
 ADOPTION_REST = "Low Adoption"

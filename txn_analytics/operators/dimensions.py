@@ -1,9 +1,11 @@
 """Dimension tables derived from the data, and defaults filled on load."""
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from txn_analytics.cluster import materialise
 from txn_analytics.functions.dates import as_date
+from txn_analytics.operators.blocks import Rank, with_ranks
 
 
 def _calendar(days: DataFrame) -> DataFrame:
@@ -37,12 +39,15 @@ def date_dimension_of(txn: DataFrame) -> DataFrame:
 def name_dimension(names: DataFrame, column: str, id_column: str, name_column: str) -> DataFrame:
     """Numbers 1..n for the distinct values of a column, in name order.
 
-    The numbering window sees distinct values only; other columns of ``names`` go along with their name.
+    Other columns of ``names`` go along with their name.
     """
-    distinct = names.filter(F.col(column).isNotNull()).distinct()
+    distinct = materialise(names.filter(F.col(column).isNotNull()).distinct())
     rest = [name for name in names.columns if name != column]
-    return distinct.select(
-        F.row_number().over(Window.orderBy(column)).alias(id_column), F.col(column).alias(name_column), *rest)
+    from_the_end = with_ranks(distinct, column, rest, [Rank("_place", "number")])
+    return from_the_end.select(
+        (F.lit(distinct.count() + 1) - F.col("_place")).cast("int").alias(id_column),
+        F.col(column).alias(name_column), *rest,
+    ).orderBy(id_column)
 
 
 def apply_defaults(df: DataFrame, load_date=None) -> DataFrame:

@@ -47,11 +47,11 @@ def rfm(txn: DataFrame, value_bands=model.VALUE_BANDS, frequency_bands=model.FRE
         .withColumn("frequency_band", band_from("frequency", frequency_bands, model.FREQUENCY_REST))
         .withColumn("value_band", band_from("monetary", value_bands, model.VALUE_REST))
         .withColumn("customer_group",
-                    F.when(active & valuable, "Champion")
-                    .when(active & (F.col("frequency_band") == "High Frequency"), "Loyal Customer")
-                    .when((F.col("recency_band") == "Lapsing") & valuable, "At Risk - High Value")
-                    .when(F.col("recency_band") == "Dormant", "Lost Customer")
-                    .otherwise("Regular Customer"))
+                    F.when(active & valuable, model.CHAMPION)
+                    .when(active & (F.col("frequency_band") == "High Frequency"), model.LOYAL)
+                    .when((F.col("recency_band") == "Lapsing") & valuable, model.AT_RISK)
+                    .when(F.col("recency_band") == model.RECENCY_REST, model.LOST)
+                    .otherwise(model.REGULAR))
         .drop("_newest")
     )
 
@@ -63,10 +63,10 @@ def transaction_risk(txn: DataFrame, bands=model.RISK_BANDS, escalate_from=model
         "transaction_id", "date", "customer_id", "segment", "branch", "transaction_type", "amount", "is_anomaly",
         F.when(flagged, model.RISK_OUTLIER).otherwise(band_from("amount", bands, model.RISK_REST))
         .alias("risk_category"),
-        F.when(F.col("status") == model.FAILED, "Review Failed")
-        .when(flagged & (F.col("amount") >= escalate_from), "Escalate to Compliance")
-        .when(flagged, "Flag for Review")
-        .otherwise("No Action Required").alias("action"),
+        F.when(F.col("status") == model.FAILED, model.REVIEW_FAILED)
+        .when(flagged & (F.col("amount") >= escalate_from), model.ESCALATE)
+        .when(flagged, model.FLAG)
+        .otherwise(model.NO_ACTION).alias("action"),
     )
 
 

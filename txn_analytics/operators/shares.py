@@ -5,6 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from txn_analytics import model
 from txn_analytics.functions.values import percent
 from txn_analytics.operators.measures import measures
 
@@ -50,6 +51,6 @@ def anomaly_share(txn: DataFrame) -> DataFrame:
     groups = groups.withColumn("whole_volume", F.sum("total_volume").over(Window.partitionBy()))
     groups = with_share(with_share(groups, "transactions", "count_share_pct"), "total_volume", "volume_share_pct")
     return groups.orderBy("is_anomaly").select(
-        F.when(F.col("is_anomaly"), "Anomaly").otherwise("Normal").alias("kind"),
+        F.when(F.col("is_anomaly"), model.ANOMALY).otherwise(model.NORMAL).alias("kind"),
         "transactions", "total_volume", "whole_volume", "count_share_pct", "volume_share_pct",
     )

@@ -9,6 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from txn_analytics import model
 from txn_analytics.functions.dates import month_label, quarter_label, weekday_name
 from txn_analytics.functions.values import against_mean, direction, percent
 from txn_analytics.operators.measures import BASIC, measures, not_failed
@@ -87,10 +88,10 @@ def branch_performance(txn: DataFrame) -> DataFrame:
         .withColumn("moving_avg_3", F.avg("total_volume").over(along.rowsBetween(-2, 0)))
         .withColumn("_mean", F.avg("total_volume").over(Window.partitionBy("branch")))
     )
-    versus = against_mean("total_volume", "_mean", "Above Average", "Below Average", "Average")
+    versus = against_mean("total_volume", "_mean", model.VERSUS_BRANCH)
     return months.orderBy("branch", "_period").select(
         "branch", *_shown("month"), "total_volume", "previous_volume", "change_pct", "moving_avg_3",
-        F.when(F.col("previous_volume").isNull(), "Baseline").otherwise(versus).alias("performance"),
+        F.when(F.col("previous_volume").isNull(), model.BASELINE).otherwise(versus).alias("performance"),
     )
 
 
@@ -104,8 +105,7 @@ def product_performance(txn: DataFrame) -> DataFrame:
     return months.orderBy("product", "_period").select(
         "product", *_shown("month"), "transactions", "total_volume", "previous_volume", "change_pct",
         "product_avg",
-        against_mean("total_volume", "product_avg", "Above Annual Avg", "Below Annual Avg", "At Annual Avg")
-        .alias("performance"),
+        against_mean("total_volume", "product_avg", model.VERSUS_PRODUCT).alias("performance"),
     )
 
 
@@ -165,9 +165,9 @@ def month_activity_level(txn: DataFrame) -> DataFrame:
     """Months more than a fifth above (Peak) or below (Low) the mean month."""
     volume, mean = F.col("total_volume"), F.col("monthly_avg")
     level = (
-        F.when(volume > mean * F.lit("1.2").cast("decimal(2,1)"), "Peak Month")
-        .when(volume < mean * F.lit("0.8").cast("decimal(2,1)"), "Low Month")
-        .otherwise("Normal Month")
+        F.when(volume > mean * F.lit(model.PEAK_FACTOR).cast("decimal(2,1)"), model.PEAK)
+        .when(volume < mean * F.lit(model.LOW_FACTOR).cast("decimal(2,1)"), model.LOW)
+        .otherwise(model.NORMAL_MONTH)
     )
     return (
         _by_period(txn, "month", (), ("transactions", "total_volume"))

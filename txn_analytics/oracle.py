@@ -123,8 +123,8 @@ def _changes(lag_over: str) -> str:
 
 def _trend(lag_over: str) -> str:
     before = f"lag(c) over ({lag_over})"
-    return (f"case when {before} is null then 'Baseline' when c > {before} then 'Growth' "
-            f"when c < {before} then 'Decline' else 'Flat' end trend")
+    return (f"case when {before} is null then '{model.BASELINE}' when c > {before} then '{model.GROWTH}' "
+            f"when c < {before} then '{model.DECLINE}' else '{model.FLAT}' end trend")
 
 
 def _group_months(by: str) -> str:
@@ -177,10 +177,10 @@ def _rfm(values) -> str:
     return _valid(f"""
 select customer_id, segment, branch, {_iso('last_date')} last_date, n frequency, {_rm('c')} monetary, recency_days,
        recency_band, frequency_band, value_band,
-       case when recency_band = 'Active' and value_band in ('Platinum', 'Gold') then 'Champion'
-            when recency_band = 'Active' and frequency_band = 'High Frequency' then 'Loyal Customer'
-            when recency_band = 'Lapsing' and value_band in ('Platinum', 'Gold') then 'At Risk - High Value'
-            when recency_band = 'Dormant' then 'Lost Customer' else 'Regular Customer' end customer_group
+       case when recency_band = 'Active' and value_band in ('Platinum', 'Gold') then '{model.CHAMPION}'
+            when recency_band = 'Active' and frequency_band = 'High Frequency' then '{model.LOYAL}'
+            when recency_band = 'Lapsing' and value_band in ('Platinum', 'Gold') then '{model.AT_RISK}'
+            when recency_band = 'Dormant' then '{model.LOST}' else '{model.REGULAR}' end customer_group
 from (select *, {_case('recency_days', '<=', model.RECENCY_BANDS, model.RECENCY_REST)} recency_band,
              {_case('n', '>=', model.FREQUENCY_BANDS, model.FREQUENCY_REST)} frequency_band,
              {_case('c', '>=', [(v * 100, name) for v, name in values], model.VALUE_REST)} value_band
@@ -195,9 +195,9 @@ select transaction_id, {_iso('date')} date, customer_id, segment, branch, transa
        is_anomaly,
        case when is_anomaly then '{model.RISK_OUTLIER}' else {_case('cents', '>=', in_cents, model.RISK_REST)} end
          risk_category,
-       case when status = 'Failed' then 'Review Failed'
-            when is_anomaly and cents >= {model.ESCALATE_FROM * 100} then 'Escalate to Compliance'
-            when is_anomaly then 'Flag for Review' else 'No Action Required' end as action
+       case when status = 'Failed' then '{model.REVIEW_FAILED}'
+            when is_anomaly and cents >= {model.ESCALATE_FROM * 100} then '{model.ESCALATE}'
+            when is_anomaly then '{model.FLAG}' else '{model.NO_ACTION}' end as action
 from flagged"""
 
 
@@ -269,8 +269,8 @@ rated as (
 paced as (select *, (2 * c + greatest(life, 1)) // (2 * greatest(life, 1)) pace from rated)
 select product, case {tier} else '{model.PRODUCT_TIER_REST}' end performance_tier,
        {_case('customers', '>=', model.ADOPTION, model.ADOPTION_REST)} adoption_band,
-       case when recency = 0 and completion >= 90 then 'Healthy' when recency <= 1 and completion >= 75 then 'Active'
-            when completion < 60 then 'High Failure Rate' else 'Monitor' end health,
+       case when recency = 0 and completion >= {model.HEALTHY_FROM} then '{model.HEALTHY}' when recency <= 1 and completion >= {model.ACTIVE_FROM} then '{model.ACTIVE}'
+            when completion < {model.FAILING_BELOW} then '{model.FAILING}' else '{model.MONITOR}' end health,
        n transactions, completed, pending, failed, completion completion_pct, customers, branches, segments,
        {_iso('first_date')} first_date, {_iso('last_date')} last_date, life lifespan_months, recency recency_months,
        {_rm('c')} total_revenue, {_rm('low')} min_amount, {_rm('high')} max_amount,
@@ -468,13 +468,13 @@ select {MONTH_OF_YEAR}, n transactions, {_changes('partition by month(mon) order
        {_trend('partition by month(mon) order by mon')} from months""", MONTHS),
     "q09_3_branch_performance": _valid(f"""
 select branch, {MONTH}, {_branch_change}, {_mean(f'sum(c) over {_last3}', f'count(*) over {_last3}')} moving_avg_3,
-       case when lag(c) over (partition by branch order by mon) is null then 'Baseline'
-            when c * 10000 > {_branch_mean} then 'Above Average' when c * 10000 < {_branch_mean} then 'Below Average'
-            else 'Average' end performance from parts""", _group_months("branch")),
+       case when lag(c) over (partition by branch order by mon) is null then '{model.BASELINE}'
+            when c * 10000 > {_branch_mean} then '{model.VERSUS_BRANCH[0]}'
+            when c * 10000 < {_branch_mean} then '{model.VERSUS_BRANCH[1]}' else '{model.VERSUS_BRANCH[2]}' end performance from parts""", _group_months("branch")),
     "q09_4_product_performance": _valid(f"""
 select product, {MONTH}, n transactions, {_product_change}, cast({_product_mean} as double) / 1000000 product_avg,
-       case when c * 10000 > {_product_mean} then 'Above Annual Avg'
-            when c * 10000 < {_product_mean} then 'Below Annual Avg' else 'At Annual Avg' end performance
+       case when c * 10000 > {_product_mean} then '{model.VERSUS_PRODUCT[0]}'
+            when c * 10000 < {_product_mean} then '{model.VERSUS_PRODUCT[1]}' else '{model.VERSUS_PRODUCT[2]}' end performance
 from parts""", _group_months("product")),
     "q09_5_customer_benchmark": _valid(f"""
 select customer_id, segment, branch, n transactions, {_rm('c')} total_volume, {_mean('c', 'n')} avg_amount,
@@ -497,8 +497,8 @@ select segment, {_case('y', '>=', model.TENURE_GROUPS, model.TENURE_GROUP_REST)}
        {_mean('sum(c)', 'count(c)')} avg_volume_per_customer from held group by 1, 2""",
     "q10_5_month_activity": _valid(f"""
 select {MONTH}, n transactions, {_rm('c')} total_volume, cast(m as double) / 1000000 monthly_avg,
-       case when c * 100000 > m * 12 then 'Peak Month' when c * 100000 < m * 8 then 'Low Month'
-            else 'Normal Month' end activity_level
+       case when c * 100000 > m * 12 then '{model.PEAK}' when c * 100000 < m * 8 then '{model.LOW}'
+            else '{model.NORMAL_MONTH}' end activity_level
 from (select *, {_micros('sum(c) over ()', 'count(*) over ()')} m from months)""", MONTHS),
 
     "q11_1_branch_share": _valid(_shares("branch")),
@@ -520,7 +520,7 @@ select *, cast((2 * sum(cast(round(avg_amount * 1000000) as hugeint)) over (part
           / 1000000 segment_avg_amount
 from ({_inside('segment', 'product', f'count(*) transactions, {AVERAGE}, ')})"""),
     "q11_8_anomaly_share": _with(EVENTS, FLAGGED) + f"""
-select case when is_anomaly then 'Anomaly' else 'Normal' end kind, count(*) transactions, {VOLUME},
+select case when is_anomaly then '{model.ANOMALY}' else '{model.NORMAL}' end kind, count(*) transactions, {VOLUME},
        {_rm('sum(sum(cents)) over ()')} whole_volume, {_pct('count(*)', 'sum(count(*)) over ()')} count_share_pct,
        {_pct('sum(cents)', 'sum(sum(cents)) over ()')} volume_share_pct
 from flagged where status <> 'Failed' group by is_anomaly""",
@@ -563,7 +563,7 @@ select {REPORT_MONTH}, n transactions, {_rm('c')} total_volume,
 from months""", REPORT_MONTHS),
     "report_monthly_with_total": _period(f"""
 select {REPORT_MONTH}, n transactions, {_rm('c')} total_volume from months
-union all select null, 'TOTAL', cast(sum(n) as bigint), {_rm('sum(c)')} from months""", REPORT_MONTHS),
+union all select null, '{model.TOTAL}', cast(sum(n) as bigint), {_rm('sum(c)')} from months""", REPORT_MONTHS),
     "report_branch_share": _period(f"select {BRANCH_TABLE}, {BRANCH_SHARE} from period group by branch"),
     "report_top_customers_numbered": _period(f"""
 select row_number() over (order by c desc, customer_id) as position, customer_id, transactions,

@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from txn_analytics import model
 from txn_analytics.functions.dates import as_date
 from txn_analytics.functions.values import per_unit, percent
 from txn_analytics.operators.anomalies import enrich_time, flag_anomalies
@@ -30,9 +31,7 @@ def kpi_summary(txn: DataFrame, as_of) -> DataFrame:
 
 
 def monthly(txn: DataFrame) -> DataFrame:
-    return (
-        measures(txn, ["month_start", "month"], VOLUMES).orderBy("month_start")
-    )
+    return measures(txn, ["month_start", "month"], VOLUMES).orderBy("month_start")
 
 
 def by_branch(txn: DataFrame) -> DataFrame:
@@ -84,7 +83,7 @@ def month_ratios(months: DataFrame) -> DataFrame:
 def with_total(months: DataFrame) -> DataFrame:
     """The months followed by a row with their sums."""
     total = months.agg(
-        F.lit(None).cast("date").alias("month_start"), F.lit("TOTAL").alias("month"),
+        F.lit(None).cast("date").alias("month_start"), F.lit(model.TOTAL).alias("month"),
         F.sum("transactions").alias("transactions"), F.sum("total_volume").alias("total_volume"))
     return months.unionByName(total, allowMissingColumns=True)
 

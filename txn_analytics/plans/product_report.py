@@ -40,10 +40,10 @@ def product_report(txn: DataFrame, as_of) -> DataFrame:
     months_active = month_gap(F.col("first_date"), F.col("last_date"))
     recency, completion = F.col("recency_months"), F.col("completion_pct")
     health = (
-        F.when((recency == 0) & (completion >= 90), "Healthy")
-        .when((recency <= 1) & (completion >= 75), "Active")
-        .when(completion < 60, "High Failure Rate")
-        .otherwise("Monitor")
+        F.when((recency == 0) & (completion >= model.HEALTHY_FROM), model.HEALTHY)
+        .when((recency <= 1) & (completion >= model.ACTIVE_FROM), model.ACTIVE)
+        .when(completion < model.FAILING_BELOW, model.FAILING)
+        .otherwise(model.MONITOR)
     )
 
     def falling_rank(name):
