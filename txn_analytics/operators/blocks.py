@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from txn_analytics.cluster import join_lookup, materialise
 
 ROWS_PER_BLOCK = 1_000_000
+# Up to so many rows of a block summary are broadcast.
+MOST_OFFSETS = 100_000
 
 
 @dataclass(frozen=True)
@@ -91,7 +93,7 @@ def _across_blocks(rows: DataFrame, blocks: DataFrame, value: str, key: Sequence
         .select(*group, "_head", "_rows_before", "_values_before", "_head_rank")
     )
 
-    placed = join_lookup(rows.withColumn("_place", _place(rank, value, key, group)), offsets, group)
+    placed = join_lookup(rows.withColumn("_place", _place(rank, value, key, group)), offsets, group, MOST_OFFSETS)
     place = {
         "rank": F.when(F.col(value) == F.col("_head"), F.col("_head_rank"))
         .otherwise(F.col("_rows_before") + F.col("_place")),
@@ -123,7 +125,7 @@ def running_totals(rows: DataFrame, group: str, order: Sequence[str], value: str
         .withColumn("_local_rows", F.count("*").over(so_far))
     )
     return (
-        join_lookup(local, offsets, ["_block", group])
+        join_lookup(local, offsets, ["_block", group], MOST_OFFSETS)
         .withColumn("_total", F.col("_local_sum") + F.coalesce(F.col("_sum_before"), F.lit(0)))
         .withColumn("_seen", F.col("_local_rows") + F.coalesce(F.col("_rows_before"), F.lit(0)))
         .drop("_block", "_local_sum", "_local_rows", "_sum_before", "_rows_before")

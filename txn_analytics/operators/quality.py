@@ -15,10 +15,11 @@ def check_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def check_foreign_key(df: DataFrame, referenced: DataFrame, key: str) -> DataFrame:
     """Key values without a row in the referenced table, with how many rows hold them.
 
-    Rows are counted per key first, so a hot key crosses the join once.
+    Both sides are reduced to one row per key first, so a hot key crosses the join once.
     """
     used = df.groupBy(key).agg(F.count("*").alias("rows"))
-    return used.filter(F.col(key).isNotNull()).join(referenced.select(key), key, "left_anti")
+    return used.filter(F.col(key).isNotNull()).join(
+        referenced.select(key).distinct(), key, "left_anti")
 
 
 def check_not_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:

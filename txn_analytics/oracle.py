@@ -339,8 +339,9 @@ PRODUCT_DIMENSION = """
 select row_number() over (order by product) product_id, product product_name
 from (select distinct product from lines where product is not null)"""
 BRANCH_DIMENSION = """
-select row_number() over (order by n_name) branch_id, n_name branch_name, r_name region
-from nation left join region on r_regionkey = n_regionkey"""
+select row_number() over (order by branch) branch_id, branch branch_name, r_name region
+from (select distinct branch from lines where branch is not null)
+     left join nation on n_name = branch left join region on r_regionkey = n_regionkey"""
 
 CUSTOMER_TYPES = {field.name: field.dataType.simpleString() for field in model.CUSTOMERS.fields}
 FACT_TYPES = {field.name: field.dataType.simpleString() for field in model.TRANSACTIONS.fields}
@@ -576,7 +577,7 @@ select year(mon) * 100 + month(mon) load_month, false is_anomaly, count(*) trans
        '2002-01-01 00:00:00' load_date from valid where year(date) = 1998 group by mon"""),
     "dim_date": _with(LINES) + DATE_DIMENSION,
     "dim_product": _with(LINES) + PRODUCT_DIMENSION,
-    "dim_branch": BRANCH_DIMENSION,
+    "dim_branch": _with(LINES) + BRANCH_DIMENSION,
     "load_defaults": _with(LINES) + """
 select transaction_id, false is_anomaly, '2002-01-01 00:00:00' load_date from lines""",
     "check_unique_transactions": _with(LINES) + """
@@ -601,7 +602,7 @@ select 'fact_transactions' as "table", count(*) as rows from lines
 union all select 'dim_customers', count(*) from cust
 union all select 'dim_date', date_diff('day', min(date), max(date)) + 1 from lines
 union all select 'dim_product', count(distinct product) from lines
-union all select 'dim_branch', count(*) from nation""",
+union all select 'dim_branch', count(distinct branch) from lines""",
     "profile_columns": _with(LINES, "shown as (select *, cast(cents / 100 as decimal(15,2)) amount from lines)")
     + _profile("fact_transactions", FACT_TYPES, "shown"),
     "profile_dimensions": _with(

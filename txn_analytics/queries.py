@@ -124,8 +124,9 @@ def _products(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _branches(spark: SparkSession, folder: str) -> DataFrame:
+    names = tables.transactions(spark, folder, ["branch"]).distinct()
     return dimensions.name_dimension(
-        tables.branches(spark, folder), "branch", "branch_id", "branch_name")
+        names.join(F.broadcast(tables.branches(spark, folder)), "branch", "left"), "branch", "branch_id", "branch_name")
 
 
 def _dimension_profile(spark: SparkSession, folder: str) -> DataFrame:
