@@ -36,6 +36,29 @@ def test_csv_keeps_types_and_sets_bad_lines_apart(spark, csv_files):
     assert sorted(row[files.BAD_LINE][:2] for row in rejected.collect()) == ["T3", "T4"]
 
 
+def test_csv_rejects_the_same_lines_whatever_is_read(spark, csv_files):
+    rows, rejected = files.read_csv(spark, str(csv_files / "transactions.csv"), model.TRANSACTIONS)
+    assert rows.count() == 4 and rejected.count() == 2
+    assert sorted(row.branch or "" for row in rows.select("branch").collect()) == ["", "North", "North", "South"]
+    assert rows.groupBy("customer_id").count().count() == 3
+
+
+def test_csv_lines_of_wrong_length_are_set_apart(spark, tmp_path):
+    (tmp_path / "customers.csv").write_text(
+        CUSTOMERS_CSV + "C3,Retail,North\nC4,Retail,North,2020-01-01,more\nC5,,North,2020-01-01\nC6,SME,North,2020-1\n")
+    rows, rejected = files.read_csv(spark, str(tmp_path / "customers.csv"), model.CUSTOMERS)
+    assert sorted(row.customer_id for row in rows.select("customer_id").collect()) == ["C1", "C2", "C5"]
+    assert sorted(row[0] for row in rejected.select(files.BAD_LINE).collect()) == [
+        "C3,Retail,North", "C4,Retail,North,2020-01-01,more", "C6,SME,North,2020-1"]
+
+
+def test_csv_with_swapped_columns_is_refused(spark, csv_files):
+    (csv_files / "swapped.csv").write_text("segment,customer_id,branch,join_date\nRetail,C1,North,2020-05-01\n")
+    rows, _ = files.read_csv(spark, str(csv_files / "swapped.csv"), model.CUSTOMERS)
+    with pytest.raises(Exception, match="(?i)header"):
+        rows.collect()
+
+
 def test_load_writes_tables_and_reports_what_is_wrong(spark, csv_files):
     folder = str(csv_files / "bank")
     wrong = load(spark, str(csv_files / "transactions.csv"), str(csv_files / "customers.csv"), folder,

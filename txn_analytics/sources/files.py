@@ -12,18 +12,32 @@ from txn_analytics.functions.values import completed_or_pending
 BAD_LINE = "_bad_line"
 
 
+def _typed(field: T.StructField):
+    """The text of a column in its declared type; NULL if it does not fit."""
+    text = F.trim(field.name)
+    if isinstance(field.dataType, T.DateType):
+        return F.try_to_timestamp(text, F.lit("yyyy-MM-dd")).cast("date")
+    return F.col(field.name) if isinstance(field.dataType, T.StringType) else text.try_cast(field.dataType)
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
     """Rows of CSV files with a header, in the declared types, and apart from them the lines that do not fit.
 
-    Returns (rows, rejected); a rejected row keeps its line in ``_bad_line``. Nothing is inferred.
+    Returns (rows, rejected); rejected rows are text and keep their line in ``_bad_line``. Nothing is inferred,
+    and a header that names other columns, or the same in another order, is an error. Values are read as text
+    and converted here: were the reader to convert, a query that skips a column would not see its bad values.
     """
-    wide = T.StructType([*schema.fields, T.StructField(BAD_LINE, T.StringType())])
+    text = T.StructType([T.StructField(name, T.StringType()) for name in [*schema.fieldNames(), BAD_LINE]])
     lines = (
-        spark.read.schema(wide).option("header", True).option("mode", "PERMISSIVE")
-        .option("dateFormat", "yyyy-MM-dd").option("columnNameOfCorruptRecord", BAD_LINE).csv(path)
+        spark.read.schema(text).option("header", True).option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", BAD_LINE).option("enforceSchema", False).csv(path)
     )
-    bad = F.col(BAD_LINE).isNotNull()
-    return lines.filter(~bad).drop(BAD_LINE), lines.filter(bad)
+    fits = F.col(BAD_LINE).isNull()
+    for field in schema.fields:
+        fits = fits & (F.col(field.name).isNull() | _typed(field).isNotNull())
+    rows = lines.filter(fits).select(*[_typed(field).alias(field.name) for field in schema.fields])
+    line = F.coalesce(BAD_LINE, F.to_csv(F.struct(*schema.fieldNames())))
+    return rows, lines.filter(~fits).withColumn(BAD_LINE, line)
 
 
 def tidy_text(df: DataFrame) -> DataFrame:
