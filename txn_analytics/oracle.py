@@ -269,7 +269,8 @@ rated as (
 paced as (select *, (2 * c + greatest(life, 1)) // (2 * greatest(life, 1)) pace from rated)
 select product, case {tier} else '{model.PRODUCT_TIER_REST}' end performance_tier,
        {_case('customers', '>=', model.ADOPTION, model.ADOPTION_REST)} adoption_band,
-       case when recency = 0 and completion >= {model.HEALTHY_FROM} then '{model.HEALTHY}' when recency <= 1 and completion >= {model.ACTIVE_FROM} then '{model.ACTIVE}'
+       case when recency = 0 and completion >= {model.HEALTHY_FROM} then '{model.HEALTHY}'
+            when recency <= 1 and completion >= {model.ACTIVE_FROM} then '{model.ACTIVE}'
             when completion < {model.FAILING_BELOW} then '{model.FAILING}' else '{model.MONITOR}' end health,
        n transactions, completed, pending, failed, completion completion_pct, customers, branches, segments,
        {_iso('first_date')} first_date, {_iso('last_date')} last_date, life lifespan_months, recency recency_months,
@@ -298,17 +299,15 @@ lines as (select * from every_line where status <> 'Failed'
 
 REPORT_MONTHS = "months as (select date_trunc('month', date) mon, count(*) n, sum(cents) c from period group by 1)"
 REPORT_MONTH = f"{_iso('mon')} month_start, strftime(mon, '%b %Y') as month"
-BRANCH_TABLE = f"branch, count(*) transactions, {VOLUME}, {HOLDERS}, {_mean('sum(cents)', 'count(*)', 2)} avg_transaction"
+BRANCH_TABLE = f"""branch, count(*) transactions, {VOLUME}, {HOLDERS},
+  {_mean('sum(cents)', 'count(*)', 2)} avg_transaction"""
 BRANCH_SHARE = f"{_pct('sum(cents)', 'sum(sum(cents)) over ()', 1)} volume_share_pct"
-TOP = "select customer_id, count(*) transactions, sum(cents) c from period group by customer_id order by c desc, customer_id limit 10"
+TOP = """select customer_id, count(*) transactions, sum(cents) c from period
+  group by customer_id order by c desc, customer_id limit 10"""
 FLAGGED_ROW = f"""transaction_id, strftime(date, '%d/%m/%Y') date, customer_id, segment, branch, transaction_type,
   {_rm('cents')} amount"""
 
 
-def _by_product_extremes() -> str:
-    return f"{BASIC}, {EXTREMES}"
-
-
 _branch_change, _branch_mean = _part_columns("branch")
 _product_change, _product_mean = _part_columns("product")
 _last3 = "(partition by branch order by mon rows 2 preceding)"
@@ -471,7 +470,8 @@ select {MONTH_OF_YEAR}, n transactions, {_changes('partition by month(mon) order
 select branch, {MONTH}, {_branch_change}, {_mean(f'sum(c) over {_last3}', f'count(*) over {_last3}')} moving_avg_3,
        case when lag(c) over (partition by branch order by mon) is null then '{model.BASELINE}'
             when c * 10000 > {_branch_mean} then '{model.VERSUS_BRANCH[0]}'
-            when c * 10000 < {_branch_mean} then '{model.VERSUS_BRANCH[1]}' else '{model.VERSUS_BRANCH[2]}' end performance from parts""", _group_months("branch")),
+            when c * 10000 < {_branch_mean} then '{model.VERSUS_BRANCH[1]}' else '{model.VERSUS_BRANCH[2]}' end performance
+from parts""", _group_months("branch")),
     "q09_4_product_performance": _valid(f"""
 select product, {MONTH}, n transactions, {_product_change}, cast({_product_mean} as double) / 1000000 product_avg,
        case when c * 10000 > {_product_mean} then '{model.VERSUS_PRODUCT[0]}'

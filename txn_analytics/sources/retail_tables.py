@@ -31,7 +31,8 @@ def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
 
 
 def branches(spark: SparkSession, folder: str) -> DataFrame:
-    regions = _read(spark, folder, "region").select(F.col("r_regionkey").alias("n_regionkey"), F.col("r_name").alias("region"))
+    regions = _read(spark, folder, "region").select(
+        F.col("r_regionkey").alias("n_regionkey"), F.col("r_name").alias("region"))
     return (
         _read(spark, folder, "nation").join(F.broadcast(regions), "n_regionkey", "left")
         .select(F.col("n_name").alias("branch"), "region")
