@@ -1,6 +1,5 @@
 """Session settings, and the two places where a plan is materialised on purpose."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,27 +21,33 @@ def local_session(cores="*", partitions: int = 8, app: str = "txn_analytics") ->
     )
 
 
-def _ensure_checkpoint_dir(spark: SparkSession) -> str:
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        if shared is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-            shared = tempfile.mkdtemp(prefix="txn-checkpoint-")
-        context.setCheckpointDir(shared)
-    return context.getCheckpointDir()
+def work_folder(spark: SparkSession) -> str:
+    """Where intermediate tables go: ``spark.checkpoint.dir``, else a folder in the warehouse.
+
+    Both are shared by the driver and the executors. The same rule holds for local and cluster sessions.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    return (shared or f"{spark.conf.get('spark.sql.warehouse.dir')}/_work").rstrip("/")
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Compute once into the shared checkpoint folder, so that several readers do not each rescan the fact."""
-    _ensure_checkpoint_dir(df.sparkSession)
+    """Compute once into the work folder, so that several readers do not each rescan the fact."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(work_folder(df.sparkSession))
     return df.checkpoint()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new folder for a table, next to the checkpoints."""
-    return f"{_ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new folder for a table in the work folder."""
+    return f"{work_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def saved(df: DataFrame, name: str) -> DataFrame:
+    """Writes ``df`` as Parquet to the work folder and reads it back: readers then get only the columns they use."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def join_lookup(df: DataFrame, lookup: DataFrame, on: list[str], most_rows: int = 20_000) -> DataFrame:
