@@ -1,15 +1,31 @@
 """The operators of this folder over the test tables, by name, and the SQL for those that SQL can express."""
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txn_analytics.llm import decontaminate, quality_rules
+from txn_analytics.llm import decontaminate, pieces, quality_rules
+
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def _model(path: str) -> bytes:
+    """A vocabulary file, read on the driver: tasks get its bytes."""
+    with open(path, "rb") as file:
+        return file.read()
+
+
+def op4_sentencepiece(spark: SparkSession, folder: str, model: str = PIECES) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    coded = pieces.decode(pieces.encode(docs, _model(model)), _model(model))
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                        pieces.digest().alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
+
+
 def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     hits = decontaminate.contamination(
         _table(spark, folder, "documents"), _table(spark, folder, "benchmark"), ["doc_id"])
@@ -23,6 +39,7 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_sentencepiece": op4_sentencepiece,
     "op9_quality_rules": op9_quality_rules,
     "op8_decontamination": op8_decontamination,
 }
