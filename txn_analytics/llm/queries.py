@@ -1,15 +1,25 @@
 """The operators of this folder over the test tables, by name, and the SQL for those that SQL can express."""
 
+from pathlib import Path
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txn_analytics.llm import decontaminate, pieces, quality_rules
+from txn_analytics.llm import decontaminate, near_duplicates, pieces, pii, quality_rules, token_counts, url_filter
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
+RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
+         ("block", "net", "/es/"), ("block", "net", "/fr/")]
+#: The block list of the test pages: domains under each of the three test top-level domains.
+LISTED = [f"{name}.example.{top}" for name in ("adult-x", "ads-track", "casino-win", "cheap-pills", "free-bets", "spam-farm")
+          for top in ("com", "net", "org")]
+
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    # Python workers that start elsewhere find this package too, where they see the driver's folders.
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).parents[2]))
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
@@ -19,6 +29,19 @@ def _model(path: str) -> bytes:
         return file.read()
 
 
+def op2_pii(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.find(_table(spark, folder, "documents"), ["doc_id"])
+    count = [F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}") for kind in pii.BASE_KINDS]
+    return found.select("doc_id", *count, F.sha2(pii.listed("base"), 256).alias("base_sha256"),
+                        pii.listed(pii.merged("base", "added")).alias("spans"))
+
+
+def op3_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    groups = near_duplicates.near_duplicates(_table(spark, folder, "documents"))
+    return groups.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"),
+                         (F.col("id") == F.col("component")).alias("kept"))
+
+
 def op4_sentencepiece(spark: SparkSession, folder: str, model: str = PIECES) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     coded = pieces.decode(pieces.encode(docs, _model(model)), _model(model))
@@ -26,6 +49,11 @@ def op4_sentencepiece(spark: SparkSession, folder: str, model: str = PIECES) ->
                         pieces.digest().alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
 
 
+def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    listed = spark.createDataFrame([(x,) for x in LISTED], "key string")
+    return url_filter.judge(_table(spark, folder, "pages"), RULES, listed, ["page_id"])
+
+
 def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     hits = decontaminate.contamination(
         _table(spark, folder, "documents"), _table(spark, folder, "benchmark"), ["doc_id"])
@@ -38,10 +66,40 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.quality_rules(docs, quality_rules.learn_references(docs), ["doc_id"])
 
 
+def op10_token_counts(spark: SparkSession, folder: str, model: str = PIECES) -> DataFrame:
+    return token_counts.length_histogram(token_counts.encoded_lengths(_table(spark, folder, "documents"), _model(model)))
+
+
 QUERIES = {
+    "op2_pii": op2_pii,
+    "op3_near_duplicates": op3_near_duplicates,
+    "op6_url_filter": op6_url_filter,
+    "op10_token_counts": op10_token_counts,
     "op4_sentencepiece": op4_sentencepiece,
     "op9_quality_rules": op9_quality_rules,
     "op8_decontamination": op8_decontamination,
 }
 
-ORACLE = {}
+_HOST = f"""translate(regexp_extract(rest, '^[^/?#]*', 0), '{url_filter.UPPER}', '{url_filter.LOWER}')"""
+
+
+def _fits(domain: str, prefix: str) -> str:
+    return f"(host = '{domain}' OR ends_with(host, '.{domain}')) AND starts_with(path, '{prefix}')"
+
+
+def _cases(field: int) -> str:
+    ordered = sorted(RULES, key=lambda r: -len(r[1] + r[2]))
+    return " ".join(f"WHEN {_fits(d, p)} THEN '{(d + p, v)[field]}'" for v, d, p in ordered)
+
+
+OP6_SQL = f"""
+WITH urls AS (
+    SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+parsed AS (
+    SELECT page_id, {_HOST} AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM urls)
+SELECT page_id, host, path, CASE {_cases(0)} END AS rule,
+       CASE {_cases(1)}
+            WHEN {' OR '.join(f"host = '{x}' OR ends_with(host, '.{x}')" for x in LISTED)} THEN 'block' ELSE 'allow' END AS verdict
+FROM parsed"""
+
+ORACLE = {"op6_url_filter": OP6_SQL}
