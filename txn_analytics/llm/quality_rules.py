@@ -39,13 +39,13 @@ COMMON = 0.001            # half the least share of a common word
 LEAST_SHARE = 0.001       # languages with a smaller share of the documents have no reference
 
 CLASSES = ["lower", "upper", "digit", "space", "sentence", "bracket", "symbol", "beyond ASCII"]
-_CLASS = np.full(256, 6, np.int8)
-_CLASS[0x61:0x7B], _CLASS[0x41:0x5B], _CLASS[0x30:0x3A] = 0, 1, 2
-_CLASS[[0x20, *range(0x09, 0x0E)]] = 3
-_CLASS[list(b".,;:!?'\"-")] = 4
-_CLASS[list(b"()[]{}")] = 5
-_CLASS[0xC0:] = 7
-_CLASS[0x80:0xC0] = -1    # bytes that go on with a character
+CLASS_OF = np.full(256, 6, np.int8)
+CLASS_OF[0x61:0x7B], CLASS_OF[0x41:0x5B], CLASS_OF[0x30:0x3A] = 0, 1, 2
+CLASS_OF[[0x20, *range(0x09, 0x0E)]] = 3
+CLASS_OF[list(b".,;:!?'\"-")] = 4
+CLASS_OF[list(b"()[]{}")] = 5
+CLASS_OF[0xC0:] = 7
+CLASS_OF[0x80:0xC0] = -1    # bytes that go on with a character
 
 _IS_SYMBOL = np.zeros(256, bool)
 _IS_SYMBOL[list(SYMBOLS.encode())] = True
@@ -60,10 +60,10 @@ class References:
     shares: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
 
 
-def _class_counts(words: Words) -> np.ndarray:
+def class_counts(words: Words) -> np.ndarray:
     """Characters of each class in each text."""
     n = len(words.counts)
-    kind = _CLASS[words.data]
+    kind = CLASS_OF[words.data]
     at = np.repeat(np.arange(n) * len(CLASSES), np.diff(words.offsets))
     return np.bincount((at + kind)[kind >= 0], minlength=n * len(CLASSES)).reshape(n, len(CLASSES))
 
@@ -96,7 +96,7 @@ def _learn(words_of: np.ndarray | None, means: dict[str, np.ndarray]):
             codes = tags.indices.to_numpy(zero_copy_only=False)
             words = Words(batch.column("text"), NOT_SPACE)
             hashes = words.hashes()
-            shares = _shares(_class_counts(words))
+            shares = _shares(class_counts(words))
             rows = []
             for code, lang in enumerate(tags.dictionary.to_pylist()):
                 own_texts = codes == code
@@ -168,7 +168,7 @@ def _distances(words: Words, hashes: np.ndarray, refs: References) -> tuple[np.n
     n = len(words.counts)
     if not refs.languages:
         return np.zeros(n), np.zeros(n)
-    p = _shares(_class_counts(words))
+    p = _shares(class_counts(words))
     chars = np.min([_term(p, q[None, :]).sum(axis=1) for q in refs.classes], axis=0)
     by_word = np.ones(n)
     if len(refs.words):
@@ -187,7 +187,7 @@ def _distances(words: Words, hashes: np.ndarray, refs: References) -> tuple[np.n
     return _distance(chars), _distance(by_word)
 
 
-def _repeated_words(words: Words, hashes: np.ndarray) -> np.ndarray:
+def repeated_words(words: Words, hashes: np.ndarray) -> np.ndarray:
     """Whether each word is in a window that its text has twice or more."""
     cover = np.zeros(len(words) + 1, np.int64)
     at = np.flatnonzero(words.left() >= WINDOW)
@@ -197,7 +197,7 @@ def _repeated_words(words: Words, hashes: np.ndarray) -> np.ndarray:
     return np.cumsum(cover[:-1]) > 0
 
 
-def _repeated_lines(words: Words) -> np.ndarray:
+def repeated_lines(words: Words) -> np.ndarray:
     """Lines of each text that have a word and equal an earlier line of it."""
     new = words.data == 0x0A
     edge = np.zeros(len(words.data) + 1, bool)
@@ -226,9 +226,9 @@ def _judge(refs: References):
             inside = np.zeros(len(words.data) + 1, np.int64)
             np.add.at(inside, words.starts, 1)
             np.add.at(inside, words.ends, -1)
-            whole = (np.cumsum(inside[:-1]) > 0) & (_CLASS[words.data] >= 0)
+            whole = (np.cumsum(inside[:-1]) > 0) & (CLASS_OF[words.data] >= 0)
             n = words.counts
-            again = segment_sums(_repeated_words(words, hashes), words.first)
+            again = segment_sums(repeated_words(words, hashes), words.first)
             failed = (n < MIN_WORDS) | (100 * again > MOST_REPEATED * n)
             chars, common = _distances(words, hashes, refs)
             tags = batch.column("_lang").to_pylist()
@@ -239,7 +239,7 @@ def _judge(refs: References):
                 [batch.column(name) for name in kept] + [
                     pa.array(x, pa.int64()) for x in (
                         n, segment_sums(whole, words.offsets), segment_sums(_IS_SYMBOL[words.data], words.offsets),
-                        _repeated_lines(words), again)
+                        repeated_lines(words), again)
                 ] + [pa.array(failed), pa.array(~failed & ~far), pa.array(chars), pa.array(common)],
                 kept + ADDED)
     return judge

@@ -6,7 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txn_analytics.llm import decontaminate, near_duplicates, pieces, pii, quality_rules, token_counts, url_filter
+from txn_analytics.llm import (
+    decontaminate, language_model, near_duplicates, pieces, pii, quality_classifier, quality_rules, token_counts, toxicity,
+    url_filter,
+)
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -29,6 +32,31 @@ def _model(path: str) -> bytes:
         return file.read()
 
 
+def _fold(doc_id: str = "doc_id"):
+    return F.crc32(F.col(doc_id).cast("string")) % 5
+
+
+def _judged(scored: DataFrame, threshold: float) -> DataFrame:
+    return scored.select("doc_id", (_fold() == 0).alias("held_out"), "score",
+                         (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def op1_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    rows = quality_classifier.with_features(_table(spark, folder, "documents"), ["doc_id"])
+    labels = _table(spark, folder, "labels").filter(_fold() != 0)
+    positives = labels.filter("quality = 1").select(F.col("doc_id").alias("id"))
+    model = quality_classifier.train(rows.filter(_fold() != 0).withColumnRenamed("doc_id", "id"), positives)
+    return _judged(quality_classifier.score(rows, model, ["doc_id"]), 0.3)
+
+
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    labels = _table(spark, folder, "labels").filter(_fold() != 0)
+    model = toxicity.train(docs.select(F.col("doc_id").alias("id"), "text"),
+                           labels.select(F.col("doc_id").alias("id"), F.col("toxic").alias("label")))
+    return _judged(toxicity.score(docs, model, ["doc_id"]), 0.5)
+
+
 def op2_pii(spark: SparkSession, folder: str) -> DataFrame:
     found = pii.find(_table(spark, folder, "documents"), ["doc_id"])
     count = [F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}") for kind in pii.BASE_KINDS]
@@ -49,6 +77,11 @@ def op4_sentencepiece(spark: SparkSession, folder: str, model: str = PIECES) ->
                         pieces.digest().alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
 
 
+def op5_language_model(spark: SparkSession, folder: str, model: str = PIECES) -> DataFrame:
+    docs = _table(spark, folder, "documents").withColumn("held_out", _fold() == 1)
+    return language_model.score(docs, _model(model)).withColumnRenamed("id", "doc_id")
+
+
 def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     listed = spark.createDataFrame([(x,) for x in LISTED], "key string")
     return url_filter.judge(_table(spark, folder, "pages"), RULES, listed, ["page_id"])
@@ -71,9 +104,12 @@ def op10_token_counts(spark: SparkSession, folder: str, model: str = PIECES) ->
 
 
 QUERIES = {
+    "op1_quality_classifier": op1_quality_classifier,
     "op2_pii": op2_pii,
     "op3_near_duplicates": op3_near_duplicates,
+    "op5_language_model": op5_language_model,
     "op6_url_filter": op6_url_filter,
+    "op7_toxicity": op7_toxicity,
     "op10_token_counts": op10_token_counts,
     "op4_sentencepiece": op4_sentencepiece,
     "op9_quality_rules": op9_quality_rules,
