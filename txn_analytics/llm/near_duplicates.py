@@ -9,8 +9,8 @@ similarity of 0.75 a pair misses every table when it misses every tuple of one c
 3. Bounds on set sizes and on parity sketches drop candidates that cannot be similar enough, without error. The
    others are compared on the shingle sets of their whole texts.
 4. Buckets that still hold several components are compared across components, in blocks of bounded size, with the
-   same bounds and the same confirmation. So no pair of a bucket is left out, and pairs inside a component, which
-   could not change it, are never listed.
+   same bounds, a least number of equal minhashes and the same confirmation. So no pair of a bucket is left out that
+   may be similar enough, and pairs inside a component, which could not change it, are never listed.
 """
 
 from collections.abc import Iterator
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from txn_analytics.cluster import saved
 from txn_analytics.llm.words import (
-    LOWER, NOT_SPACE, Words, first_of_each, mix, per_text, segment_sums, steps, window_hashes,
+    NOT_SPACE, Words, first_of_each, mix, per_text, segment_sums, steps, window_hashes,
 )
 
 WORDS = 5
@@ -30,6 +30,7 @@ PERCENT = 75
 SIDE = 9             # tuples of a collection; SIDE ** 2 tables
 TUPLE = 2            # minhashes of a tuple; a key has twice as many
 SKETCH = 256         # bits of the parity sketch
+AGREE = 15           # of the 36 minhashes; two sets of similarity 0.75 have fewer in common once in 100,000 times
 BLOCK = 2_000        # members of a bucket compared at once
 
 _SEEDS = mix(np.arange(1, 2 * SIDE * TUPLE + 1, dtype=np.uint64))
@@ -81,18 +82,20 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             bits >> np.uint64(6) == part, np.uint64(1) << (bits & np.uint64(63)), np.uint64(0))) for part in range(SKETCH // 64)]
         # An order-free digest of the set: two sums of different mixes.
         digest = [segment_sums(mix(sets.hashes ^ np.uint64(salt)), sets.first)[full] for salt in (0x5851F42D, 0x14057B7E)]
+        lanes = np.ascontiguousarray(np.array([x >> np.uint64(48) for x in mins], np.uint16).T).view(np.int64).T
         none = np.zeros(batch.num_rows, bool)
         none[full] = True
         at = np.cumsum(none) - 1
         pick = pa.array(np.where(none, at, 0), pa.int64(), mask=~none)
         lists = pa.ListArray.from_arrays(pa.array(np.arange(len(full) + 1) * SIDE ** 2, pa.int32()), pa.array(keys.view(np.int64)))
-        columns = [pa.array(x.view(np.int64)).take(pick) for x in (*digest, *sketch)]
+        columns = [pa.array(x.view(np.int64)).take(pick) for x in (*digest, *sketch, *lanes)]
         yield pa.RecordBatch.from_arrays(
             [batch.column("id"), pa.array(sets.sizes, pa.int64()), *columns, lists.take(pick)],
-            ["id", "n", "d0", "d1", *_SKETCH, "keys"])
+            ["id", "n", "d0", "d1", *_SKETCH, *_LANES, "keys"])
 
 
 _SKETCH = [f"s{k}" for k in range(SKETCH // 64)]
+_LANES = [f"m{k}" for k in range(2 * SIDE * TUPLE // 4)]     # four minhashes of 16 bits in each
 
 
 def _possible(left: str, right: str):
@@ -155,10 +158,12 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Possible pairs across components in the groups of a partition sorted by group; whole groups are in memory.
 
     A group holds one part of a bucket, of which all pairs count, or two parts, of which those between them count.
+    A pair is given by the first table that it shares, and only if its minhashes agree often enough.
     """
     def pairs(rows: pa.Table) -> pa.RecordBatch:
         at = {x: rows.column(x).to_numpy() for x in rows.column_names}
         sketch = [at[s].view(np.uint64) for s in _SKETCH]
+        lanes = np.ascontiguousarray(np.array([at[m] for m in _LANES]).T).view(np.uint16)
         first = np.r_[True, (np.diff(at["key"]) != 0) | (np.diff(at["p"]) != 0) | (np.diff(at["q"]) != 0)]
         group, found = np.cumsum(first), []
         i, step = np.arange(rows.num_rows), 0
@@ -176,6 +181,10 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for s in sketch:
                 differ += np.bitwise_count(s[l] ^ s[r])
             fits = (100 + PERCENT) * differ <= (100 - PERCENT) * size
+            l, r = l[fits], r[fits]
+            agree = lanes[l] == lanes[r]
+            tuples = agree.reshape(len(l), 2, SIDE, TUPLE).all(axis=3).argmax(axis=2)
+            fits = (agree.sum(axis=1) >= AGREE) & (tuples[:, 0] * SIDE + tuples[:, 1] == at["t"][l])
             found.append((at["id"][l[fits]], at["id"][r[fits]]))
         a, b = (np.concatenate([x[k] for x in found]) for k in (0, 1))
         return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
@@ -199,7 +208,7 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _mixed_pairs(members: DataFrame, partitions: int) -> DataFrame:
-    """Distinct possible pairs across components in buckets (key, id, component, n, sketch).
+    """Distinct possible pairs across components in buckets (key, t, id, component, n, sketch, minhashes).
 
     A bucket of more than ``BLOCK`` members is cut into parts by a hash of the id, and every pair of parts is a
     group of its own: no group has more than about ``2 * BLOCK`` rows, however large its bucket is.
@@ -208,8 +217,8 @@ def _mixed_pairs(members: DataFrame, partitions: int) -> DataFrame:
     mixed = mixed.filter("low <> high").select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("parts"))
     rows = members.join(mixed, "key").withColumn("part", F.expr("cast(pmod(xxhash64(id, 7), parts) as int)"))
     rows = rows.withColumn("other", F.explode(F.expr("sequence(0, parts - 1)"))).select(
-        "key", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"), "part",
-        "id", "component", "n", *_SKETCH)
+        "key", "t", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"), "part",
+        "id", "component", "n", *_SKETCH, *_LANES)
     return rows.repartition(partitions, "key", "p", "q").sortWithinPartitions("key", "p", "q").mapInArrow(
         _across, "a bigint, b bigint").distinct()
 
@@ -224,17 +233,17 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     """
     docs = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
     signed = saved(docs.mapInArrow(
-        _signatures, "id bigint, n bigint, d0 bigint, d1 bigint, " + ", ".join(f"{s} bigint" for s in _SKETCH) + ", keys array<bigint>"),
+        _signatures, "id bigint, n bigint, d0 bigint, d1 bigint, " + ", ".join(f"{s} bigint" for s in [*_SKETCH, *_LANES]) + ", keys array<bigint>"),
         "signatures")
     sets = signed.filter("n > 0 AND id IS NOT NULL").groupBy("d0", "d1").agg(
-        F.min("id").alias("rep"), F.any_value(F.struct("n", *_SKETCH)).alias("of"))
+        F.min("id").alias("rep"), F.any_value(F.struct("n", *_SKETCH, *_LANES)).alias("of"))
     sets = saved(sets.select("d0", "d1", "rep", "of.*"), "sets")
-    meta = sets.select(F.col("rep").alias("id"), "n", *_SKETCH)
+    meta = sets.select(F.col("rep").alias("id"), "n", *_SKETCH, *_LANES)
     # The keys of the smallest document of each set; its bucket members are then ids of distinct sets.
     own = signed.join(sets.select(F.col("rep").alias("id"), "d0", "d1"), ["id", "d0", "d1"])
-    buckets = own.select("id", F.explode("keys").alias("key"))
+    buckets = own.select("id", F.posexplode("keys").alias("t", "key"))
     hubs = buckets.groupBy("key").agg(F.min("id").alias("hub"), F.count("*").alias("size")).filter("size > 1")
-    shared = saved(buckets.join(hubs.select("key", "hub"), "key"), "buckets")   # (key, id, hub)
+    shared = saved(buckets.join(hubs.select("key", "hub"), "key"), "buckets")   # (key, id, t, hub)
     pairs = shared.filter("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
     left, right = meta.alias("l"), meta.alias("r")
     pairs = pairs.join(left, F.col("a") == F.col("l.id")).join(right, F.col("b") == F.col("r.id")).filter(_possible("l", "r")).select("a", "b")
@@ -242,7 +251,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
     # Buckets across components, until they are all compared.
     state = components(links)
-    members = shared.select("key", "id").join(meta, "id").join(state, "id", "left").withColumn(
+    members = shared.select("key", "t", "id").join(meta, "id").join(state, "id", "left").withColumn(
         "component", F.coalesce("component", "id"))
     partitions = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
     more = saved(_mixed_pairs(members, partitions), "pairs")
