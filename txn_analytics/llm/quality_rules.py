@@ -32,8 +32,9 @@ WINDOW = 8
 SYMBOLS = "#*$%&|<>"
 
 JUDGED_WORDS = 50         # distances are taken from this many words on
-MOST_CHAR_DISTANCE = 0.25
-MOST_WORD_DISTANCE = 0.45
+# Most distance of a long text, and what a short one may have more, over the square root of its words.
+CHAR_DISTANCE = 0.12, 1.4
+WORD_DISTANCE = 0.15, 2.2
 TRIM = 0.15               # documents farther from the first mean do not enter the final reference
 COMMON = 0.001            # half the least share of a common word
 LEAST_SHARE = 0.001       # languages with a smaller share of the documents have no reference
@@ -233,7 +234,8 @@ def _judge(refs: References):
             chars, common = _distances(words, hashes, refs)
             tags = batch.column("_lang").to_pylist()
             known = np.array([x is None or x in refs.languages for x in tags], bool)
-            far = known & (n >= JUDGED_WORDS) & ((chars > MOST_CHAR_DISTANCE) | (common > MOST_WORD_DISTANCE))
+            limits = (base + more / np.sqrt(np.maximum(n, 1)) for base, more in (CHAR_DISTANCE, WORD_DISTANCE))
+            far = known & (n >= JUDGED_WORDS) & ((chars > next(limits)) | (common > next(limits)))
             kept = batch.schema.names[:-2]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(name) for name in kept] + [

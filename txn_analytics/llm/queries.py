@@ -20,13 +20,13 @@ LISTED = [f"{name}.example.{top}" for name in ("adult-x", "ads-track", "casino-w
           for top in ("com", "net", "org")]
 
 
-def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     # Python workers that start elsewhere find this package too, where they see the driver's folders.
     spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).parents[2]))
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def _model(path: str) -> bytes:
+def read_model(path: str) -> bytes:
     """A vocabulary file, read on the driver: tasks get its bytes."""
     with open(path, "rb") as file:
         return file.read()
@@ -42,65 +42,65 @@ def _judged(scored: DataFrame, threshold: float) -> DataFrame:
 
 
 def op1_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
-    rows = quality_classifier.with_features(_table(spark, folder, "documents"), ["doc_id"])
-    labels = _table(spark, folder, "labels").filter(_fold() != 0)
+    rows = quality_classifier.with_features(read_table(spark, folder, "documents"), ["doc_id"])
+    labels = read_table(spark, folder, "labels").filter(_fold() != 0)
     positives = labels.filter("quality = 1").select(F.col("doc_id").alias("id"))
     model = quality_classifier.train(rows.filter(_fold() != 0).withColumnRenamed("doc_id", "id"), positives)
     return _judged(quality_classifier.score(rows, model, ["doc_id"]), 0.3)
 
 
 def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
-    docs = _table(spark, folder, "documents")
-    labels = _table(spark, folder, "labels").filter(_fold() != 0)
+    docs = read_table(spark, folder, "documents")
+    labels = read_table(spark, folder, "labels").filter(_fold() != 0)
     model = toxicity.train(docs.select(F.col("doc_id").alias("id"), "text"),
                            labels.select(F.col("doc_id").alias("id"), F.col("toxic").alias("label")))
     return _judged(toxicity.score(docs, model, ["doc_id"]), 0.5)
 
 
 def op2_pii(spark: SparkSession, folder: str) -> DataFrame:
-    found = pii.find(_table(spark, folder, "documents"), ["doc_id"])
+    found = pii.find(read_table(spark, folder, "documents"), ["doc_id"])
     count = [F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}") for kind in pii.BASE_KINDS]
     return found.select("doc_id", *count, F.sha2(pii.listed("base"), 256).alias("base_sha256"),
                         pii.listed(pii.merged("base", "added")).alias("spans"))
 
 
 def op3_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
-    groups = near_duplicates.near_duplicates(_table(spark, folder, "documents"))
+    groups = near_duplicates.near_duplicates(read_table(spark, folder, "documents"))
     return groups.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"),
                          (F.col("id") == F.col("component")).alias("kept"))
 
 
 def op4_sentencepiece(spark: SparkSession, folder: str, model: str = PIECES) -> DataFrame:
-    docs = _table(spark, folder, "documents").select("doc_id", "text")
-    coded = pieces.decode(pieces.encode(docs, _model(model)), _model(model))
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    coded = pieces.decode(pieces.encode(docs, read_model(model)), read_model(model))
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                         pieces.digest().alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
 
 
 def op5_language_model(spark: SparkSession, folder: str, model: str = PIECES) -> DataFrame:
-    docs = _table(spark, folder, "documents").withColumn("held_out", _fold() == 1)
-    return language_model.score(docs, _model(model)).withColumnRenamed("id", "doc_id")
+    docs = read_table(spark, folder, "documents").withColumn("held_out", _fold() == 1)
+    return language_model.score(docs, read_model(model)).withColumnRenamed("id", "doc_id")
 
 
 def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     listed = spark.createDataFrame([(x,) for x in LISTED], "key string")
-    return url_filter.judge(_table(spark, folder, "pages"), RULES, listed, ["page_id"])
+    return url_filter.judge(read_table(spark, folder, "pages"), RULES, listed, ["page_id"])
 
 
 def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     hits = decontaminate.contamination(
-        _table(spark, folder, "documents"), _table(spark, folder, "benchmark"), ["doc_id"])
+        read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"), ["doc_id"])
     return hits.select("doc_id", "n_words", "n_hit", F.size("hit_items").cast("long").alias("n_items"),
                        decontaminate.item_digest().alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
-    docs = _table(spark, folder, "documents")
+    docs = read_table(spark, folder, "documents")
     return quality_rules.quality_rules(docs, quality_rules.learn_references(docs), ["doc_id"])
 
 
 def op10_token_counts(spark: SparkSession, folder: str, model: str = PIECES) -> DataFrame:
-    return token_counts.length_histogram(token_counts.encoded_lengths(_table(spark, folder, "documents"), _model(model)))
+    return token_counts.length_histogram(token_counts.encoded_lengths(read_table(spark, folder, "documents"), read_model(model)))
 
 
 QUERIES = {
