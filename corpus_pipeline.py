@@ -12,10 +12,15 @@ from txn_analytics.llm import decontaminate, near_duplicates, pieces, pii, quali
 from txn_analytics.llm.queries import PIECES, read_model, read_table
 
 
+def _packed(docs: DataFrame, *apart: str) -> DataFrame:
+    """All columns in one, so that no name can clash with what an operator adds, and the named ones beside it."""
+    return docs.select(F.struct(*docs.columns).alias("_row"), *apart)
+
+
 def quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents that the quality rules keep; the language references are those of all documents given."""
-    judged = quality_rules.quality_rules(docs, quality_rules.learn_references(docs), docs.columns)
-    return judged.filter("kept").select(*docs.columns)
+    judged = quality_rules.quality_rules(_packed(docs, "text", "lang"), quality_rules.learn_references(docs), ["_row"])
+    return judged.filter("kept").select("_row.*")
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -31,8 +36,8 @@ def deduplicate(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 def decontaminated(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents in which no window of a benchmark item occurs."""
-    hits = decontaminate.contamination(docs, read_table(spark, folder, "benchmark"), docs.columns)
-    return hits.filter("n_hit = 0").select(*docs.columns)
+    hits = decontaminate.contamination(_packed(docs, "text"), read_table(spark, folder, "benchmark"), ["_row"])
+    return hits.filter("n_hit = 0").select("_row.*")
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

@@ -256,7 +256,7 @@ def _encode(model: bytes, weights: np.ndarray):
             first = np.r_[0, np.cumsum(counts)]
             total = segment_sums(scores[codes], first) + weights[own.end]
             times = np.bincount(codes[training], minlength=len(known))[often]
-            row = [(task << 24) + number, docs.column("id").to_pylist(), held.tolist(), counts, total,
+            row = [(task << 32) + number, docs.column("id").to_pylist(), held.tolist(), counts, total,
                    _packed(place[codes]), known[often].view(np.int64), times]
             kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int64()), pa.list_(pa.float64()),
                      pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64())]

@@ -227,8 +227,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     """(id, n_shingles, component) of every row with an id, ``n_shingles`` the size of its set.
 
     ``component`` is the smallest id that links reach. A text without words, NULL or empty, has the empty set
-    and is linked with nothing: its component is its own id. Rows with a NULL id are returned with a NULL
-    component. An id should be unique; rows that share one share its component as well. Other columns are not
+    and is linked with nothing: its component is its own id. A row with a NULL id gets
+    the component of equal sets, NULL if there are none. An id should be unique; rows that share one share its component as well. Other columns are not
     read. An empty table gives no rows.
     """
     docs = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))

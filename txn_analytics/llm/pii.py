@@ -23,7 +23,6 @@ KINDS = ["email", "ip", "card", "phone", "secret"]
 BASE_KINDS = KINDS[:4]
 
 # Fixed patterns. Every possible start of a run fails alike, so a match may begin at the start of a run only.
-_EMAIL_NAME = re.compile(r"[A-Za-z0-9._%+-]+\Z")
 _EMAIL_DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _NAME_CHARACTERS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
@@ -295,7 +294,14 @@ def _mask(name: str):
 
 
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The documents with every span replaced by its kind in angle brackets; spans that overlap become one."""
-    columns = docs.columns
-    found = find(docs, columns, text).select(*columns, merged("base", "added").alias("_spans"))
-    return found.mapInArrow(_mask(text), docs.schema)
+    """The documents with every span replaced by its kind in angle brackets; spans that overlap become one.
+
+    The other columns are carried in one, so that their names cannot clash with those of the spans.
+    """
+    others = [name for name in docs.columns if name != text]
+    rest = F.struct(*others) if others else F.lit(None).cast("int")
+    found = find(docs.select(rest.alias("_row"), F.col(text).alias("_text")), ["_row", "_text"], "_text")
+    found = found.select("_row", "_text", merged("base", "added").alias("_spans"))
+    row = found.schema["_row"].dataType.simpleString()
+    masked = found.mapInArrow(_mask("_text"), f"_row {row}, _text string")
+    return masked.select(*[F.col("_text").alias(name) if name == text else F.col("_row")[name].alias(name) for name in docs.columns])

@@ -37,7 +37,7 @@ def _fold(doc_id: str = "doc_id"):
 
 
 def _judged(scored: DataFrame, threshold: float) -> DataFrame:
-    return scored.select("doc_id", (_fold() == 0).alias("held_out"), "score",
+    return scored.select("doc_id", F.coalesce(_fold() == 0, F.lit(False)).alias("held_out"), "score",
                          (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
