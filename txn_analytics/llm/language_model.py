@@ -10,6 +10,7 @@ cut into chunks, each chunk sends the counts of its distinct words, sums come ba
 the word, and no task holds more than a chunk with its words.
 """
 
+import math
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -28,6 +29,7 @@ ROUNDS = 1
 SMOOTHING = 0.1          # added to the expected count of each piece
 CHUNK_BYTES = 24_000_000
 _WORDS_AT_ONCE = 40_000
+_LONG = 60                # characters of a word that is not solved side by side with others
 _FILTER_BITS = 20
 
 
@@ -52,103 +54,146 @@ class Lattice:
         self.first_weights -= np.log(np.exp(self.first_weights).sum())
         self.used = used
         self.longest = max(map(len, pieces))
-        hashes = np.array([self._hash(np.array([[ord(c)] for c in p], np.uint64))[0] for p in pieces], np.uint64)
+        hashes = np.concatenate([self._hash(p) for p in pieces])
         order = np.argsort(hashes)
         self.hashes, self.ids = hashes[order], np.array(list(pieces.values()), np.int32)[order]
         self.filter = np.zeros(1 << _FILTER_BITS, bool)
         self.filter[hashes >> np.uint64(64 - _FILTER_BITS)] = True
 
     @staticmethod
-    def _hash(characters: np.ndarray) -> np.ndarray:
-        """Hash of each column of characters."""
-        h = np.full(characters.shape[1], len(characters), np.uint64)
-        for row in characters:
-            h = h * np.uint64(MULTIPLIER) + row
-        return mix(h)
-
-    def _edges(self, points: np.ndarray, left: np.ndarray) -> np.ndarray:
-        """Piece of each length from each character on, -1 for none. Lengths begin with 1, in row 0."""
-        out = np.full((self.longest, len(points)), -1, np.int32)
-        for n in range(1, self.longest + 1):
-            at = np.flatnonzero(left >= n)
-            if not len(at):
-                break
-            h = self._hash(np.array([points[at + k] for k in range(n)], np.uint64))
-            maybe = np.flatnonzero(self.filter[h >> np.uint64(64 - _FILTER_BITS)])
-            place = np.minimum(np.searchsorted(self.hashes, h[maybe]), len(self.hashes) - 1)
-            found = self.hashes[place] == h[maybe]
-            out[n - 1, at[maybe[found]]] = self.ids[place[found]]
+    def _hash(piece: str) -> np.ndarray:
+        h = np.zeros(1, np.uint64)
+        for character in piece:
+            h = h * np.uint64(MULTIPLIER) + np.uint64(ord(character))
+        return mix(h + np.uint64(len(piece)))
+
+    def _found(self, sums: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Where strings of ``n`` characters with these hash sums are pieces, and which."""
+        h = mix(sums + np.uint64(n))
+        maybe = np.flatnonzero(self.filter[h >> np.uint64(64 - _FILTER_BITS)])
+        place = np.minimum(np.searchsorted(self.hashes, h[maybe]), len(self.hashes) - 1)
+        found = self.hashes[place] == h[maybe]
+        return maybe[found], self.ids[place[found]]
+
+    def _spelling(self, character: int) -> np.ndarray:
+        """Byte pieces of a character that has no piece of its own."""
+        return self.byte[list(chr(character).encode())]
+
+    def _short(self, words: list[str], weights: np.ndarray, times: np.ndarray | None, counts: np.ndarray | None) -> np.ndarray:
+        """Log probabilities of words of up to ``_LONG`` characters, which go on side by side.
+
+        Longer words come first, so those that reach a position are in front: every step works on slices.
+        """
+        size = np.array([len(w) + 1 for w in words])
+        order = np.argsort(-size, kind="stable")
+        reach = np.searchsorted(-size[order], -np.arange(size.max() + 1), "right")     # words with that many characters
+        points = np.frombuffer("".join([SPACE + words[i] for i in order]).encode("utf-32-le"), np.uint32).astype(np.uint64)
+        first = np.cumsum(size[order]) - size[order]
+        last = len(reach) - 1
+        at = [points[first[:reach[k + 1]] + k] for k in range(last)]
+        edges, spelled = {}, {}
+        for k in range(last):
+            sums = np.zeros(reach[k + 1], np.uint64)
+            for n in range(1, min(self.longest, last - k) + 1):
+                sums = sums[:reach[k + n]] * np.uint64(MULTIPLIER) + at[k + n - 1][:reach[k + n]]
+                found, ids = self._found(sums, n)
+                edges[k, n] = found, ids, weights[ids]
+                if n == 1 and len(found) < len(sums):
+                    odd = np.setdiff1d(np.arange(len(sums)), found)
+                    bytes_of = [self._spelling(c) for c in at[k][odd].tolist()]
+                    spelled[k] = odd, np.array([weights[x].sum() for x in bytes_of]), bytes_of
+        forward = [np.zeros(len(words))]
+        for t in range(1, last + 1):
+            value = np.full(reach[t], -np.inf)
+            for n in range(1, min(t, self.longest) + 1):
+                found, _, cost = edges[t - n, n]
+                value[found] = np.logaddexp(value[found], forward[t - n][found] + cost)
+            if t - 1 in spelled:
+                odd, cost, _ = spelled[t - 1]
+                value[odd] = np.logaddexp(value[odd], forward[t - 1][odd] + cost)
+            forward.append(value)
+        ends = size[order]
+        total = np.empty(len(words))
+        for t in range(1, last + 1):
+            here = slice(reach[t + 1] if t < last else 0, reach[t])
+            total[here] = forward[t][here]
+        if counts is not None:
+            times, met, shares = times[order], [], []
+            backward = [None] * (last + 1)
+            for k in range(last, -1, -1):
+                value = np.where(ends[:reach[k]] == k, 0.0, -np.inf)
+                for n in range(1, min(self.longest, last - k) + 1):
+                    found, ids, cost = edges[k, n]
+                    rest = cost + backward[k + n][found]
+                    value[found] = np.logaddexp(value[found], rest)
+                    met.append(ids)
+                    shares.append(np.exp(forward[k][found] + rest - total[found]) * times[found])
+                if k in spelled:
+                    odd, cost, bytes_of = spelled[k]
+                    rest = cost + backward[k + 1][odd]
+                    value[odd] = np.logaddexp(value[odd], rest)
+                    for x, share in zip(bytes_of, np.exp(forward[k][odd] + rest - total[odd]) * times[odd]):
+                        np.add.at(counts, x, share)
+                backward[k] = value
+            counts += np.bincount(np.concatenate(met), np.concatenate(shares), self.size)
+        out = np.empty(len(words))
+        out[order] = total
         return out
 
+    def _alone(self, word: str, weights: np.ndarray, times: int, counts: np.ndarray | None) -> float:
+        """Log probability of one long word, position by position."""
+        points = np.frombuffer((SPACE + word).encode("utf-32-le"), np.uint32).astype(np.uint64)
+        edges: list[list[tuple[int, float, np.ndarray]]] = [[] for _ in points]
+        sums = np.zeros(len(points), np.uint64)
+        for n in range(1, min(self.longest, len(points)) + 1):
+            sums = sums[:len(points) - n + 1] * np.uint64(MULTIPLIER) + points[n - 1:]
+            for i, x in zip(*(v.tolist() for v in self._found(sums, n))):
+                edges[i].append((n, float(weights[x]), np.array([x])))
+            if n == 1:
+                for i in [i for i, held in enumerate(edges) if not held]:
+                    own = self._spelling(int(points[i]))
+                    edges[i].append((1, float(weights[own].sum()), own))
+        forward = [-math.inf] * (len(points) + 1)
+        forward[0] = 0.0
+        for i, own in enumerate(edges):
+            for n, cost, _ in own:
+                forward[i + n] = _log_add(forward[i + n], forward[i] + cost)
+        if counts is not None:
+            backward = [-math.inf] * len(points) + [0.0]
+            for i in range(len(points) - 1, -1, -1):
+                for n, cost, ids in edges[i]:
+                    rest = cost + backward[i + n]
+                    backward[i] = _log_add(backward[i], rest)
+                    np.add.at(counts, ids, math.exp(forward[i] + rest - forward[-1]) * times)
+        return forward[-1]
+
     def _solve(self, words: pa.Array, weights: np.ndarray, times: np.ndarray | None) -> tuple[np.ndarray, np.ndarray | None]:
         """Log probability of each word; with ``times`` also the expected count of each piece."""
-        text = "".join([SPACE + w for w in words.to_pylist()])
-        points = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint64)
-        size = pc.utf8_length(words).to_numpy(zero_copy_only=False).astype(np.int64) + 1
-        first = np.cumsum(size) - size
-        left = np.repeat(first + size, size) - np.arange(len(points))
-        edges = self._edges(points, left)
-        # A character without a piece of its own is spelled in bytes.
-        cost = np.where(edges >= 0, weights[edges], -np.inf)
-        odd = np.flatnonzero(edges[0] < 0)
-        spelled = [self.byte[list(chr(c).encode())] for c in points[odd].tolist()]
-        cost[0, odd] = [weights[x].sum() for x in spelled]
-        # Words of the same length go on together; longer ones first, so that those still going are in front.
-        order = np.argsort(-size, kind="stable")
-        begin, length = first[order], size[order]
-        going = np.searchsorted(-length, -np.arange(1, length[0] + 1), "right") if len(length) else []
-
-        def logsum(terms: list[np.ndarray]) -> np.ndarray:
-            terms = np.array(terms)
-            top = terms.max(axis=0)
-            top = np.where(np.isfinite(top), top, 0)
-            return np.log(np.exp(terms - top).sum(axis=0)) + top
-
-        forward = np.full(len(points) + 1, -np.inf)     # up to but without the character; word ends are apart
-        forward[first] = 0
-        total = np.zeros(len(size))
-        with np.errstate(divide="ignore"):
-            for k in range(1, len(going) + 1):
-                at = begin[:going[k - 1]] + k
-                value = logsum([forward[at - n] + cost[n - 1, at - n] for n in range(1, min(k, self.longest) + 1)])
-                more = length[:len(at)] > k
-                forward[at[more]] = value[more]
-                total[order[:len(at)][~more]] = value[~more]
-            if times is None:
-                return total, None
-            backward = np.full(len(points), -np.inf)
-            counts = np.zeros(self.size)
-            for k in range(len(going) - 1, -1, -1):
-                at, end = begin[:going[k]] + k, begin[:going[k]] + length[:going[k]]
-                terms = []
-                for n in range(1, min(len(going) - k, self.longest) + 1):
-                    after = np.where(at + n == end, 0.0, -np.inf)
-                    inside = at + n < end
-                    after[inside] = backward[at[inside] + n]
-                    term = cost[n - 1, at] + after
-                    terms.append(term)
-                    word = order[:len(at)]
-                    share = np.exp(forward[at] + term - total[word]) * times[word]
-                    hit = share > 0
-                    piece = edges[n - 1, at[hit]]
-                    counts += np.bincount(piece[piece >= 0], share[hit][piece >= 0], self.size)
-                    if n == 1 and (piece < 0).any():
-                        for i, s in zip(np.searchsorted(odd, at[hit][piece < 0]).tolist(), share[hit][piece < 0].tolist()):
-                            np.add.at(counts, spelled[i], s)
-                backward[at] = logsum(terms)
-        return total, counts
+        counts = None if times is None else np.zeros(self.size)
+        size = pc.utf8_length(words).to_numpy(zero_copy_only=False)
+        spelled, out = words.to_pylist(), np.empty(len(words))
+        long = np.flatnonzero(size > _LONG)
+        for i in long.tolist():
+            out[i] = self._alone(spelled[i], weights, 0 if times is None else int(times[i]), counts)
+        short = np.flatnonzero(size <= _LONG)
+        for k in range(0, len(short), _WORDS_AT_ONCE):
+            part = short[k:k + _WORDS_AT_ONCE]
+            out[part] = self._short([spelled[i] for i in part.tolist()], weights, None if times is None else times[part], counts)
+        return out, counts
 
     def word_scores(self, words: pa.Array, weights: np.ndarray) -> np.ndarray:
         """Natural log of the marginal probability of each word."""
-        parts = [self._solve(words.slice(k, _WORDS_AT_ONCE), weights, None)[0] for k in range(0, len(words), _WORDS_AT_ONCE)]
-        return np.concatenate(parts) if parts else np.zeros(0)
+        return self._solve(words, weights, None)[0]
 
     def expected(self, words: pa.Array, times: np.ndarray, weights: np.ndarray) -> np.ndarray:
         """Expected count of each piece over all segmentations of words that occur ``times`` times."""
-        out = np.zeros(self.size)
-        for k in range(0, len(words), _WORDS_AT_ONCE):
-            out += self._solve(words.slice(k, _WORDS_AT_ONCE), weights, times[k:k + _WORDS_AT_ONCE])[1]
-        return out
+        return self._solve(words, weights, times)[1]
+
+
+def _log_add(a: float, b: float) -> float:
+    if a < b:
+        a, b = b, a
+    return a if b == -math.inf else a + math.log1p(math.exp(b - a))
 
 
 @lru_cache(maxsize=2)
