@@ -31,7 +31,7 @@ _powers = {}
 
 
 def _power_table(base: int, n: int) -> np.ndarray:
-    if len(_powers.get(base, ())) < n:
+    if base not in _powers or len(_powers[base]) < n:
         table = np.full(max(n, STEP_BYTES + 1), base, np.uint64)
         table[0] = 1
         _powers[base] = np.multiply.accumulate(table)
