@@ -35,9 +35,9 @@ def _same(left, right):
         sorted(map(tuple, right.select(sorted(right.columns)).collect()), key=repr)
 
 
-def _check_ranks(spark, rows, rows_per_block):
+def _check_ranks(spark, rows, blocks):
     df = spark.createDataFrame(rows, "k int, g string, v int")
-    _same(with_ranks(df, "v", ["k"], RANKS, rows_per_block), _plain(df))
+    _same(with_ranks(df, "v", ["k"], RANKS, blocks), _plain(df))
 
 
 def test_ranks_where_one_value_fills_many_blocks(spark):
@@ -46,12 +46,16 @@ def test_ranks_where_one_value_fills_many_blocks(spark):
     _check_ranks(spark, rows, 25)
 
 
+def test_ranks_where_null_fills_many_blocks(spark):
+    _check_ranks(spark, [(k, "ab"[k % 2], None if k % 3 == 0 else k % 4) for k in range(60)], 9)
+
+
 def test_ranks_where_all_values_are_equal(spark):
     _check_ranks(spark, [(k, "a" if k % 5 else None, 1) for k in range(100)], 10)
 
 
 @settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.integers(0, 6)), min_size=20, max_size=60))
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.one_of(st.none(), st.integers(0, 5))), min_size=20, max_size=60))
 def test_ranks_of_any_rows(spark, pairs):
     _check_ranks(spark, [(k, g, v) for k, (g, v) in enumerate(pairs)], 7)
 
@@ -59,8 +63,8 @@ def test_ranks_of_any_rows(spark, pairs):
 def test_ties_rank_alike(make_transactions):
     rows = make_transactions(
         {"customer_id": "A", "amount": "10"}, {"customer_id": "B", "amount": "10"}, {"customer_id": "C", "amount": "5"})
-    for size in (1, 1000):
-        got = {row[0]: tuple(row[3:]) for row in global_rank(rows, size).collect()}
+    for blocks in (1, 3, None):
+        got = {row[0]: tuple(row[3:]) for row in global_rank(rows, blocks).collect()}
         assert got == {"A": (1, 1, 1), "B": (1, 1, 2), "C": (3, 2, 3)}
 
 
@@ -84,16 +88,24 @@ def skewed(make_transactions):
     return make_transactions(*rows)
 
 
-def test_running_totals_of_a_hot_customer(skewed):
-    _same(running_by_customer(skewed, hot_rows=50, rows_per_block=15), running_by_customer(skewed))
+def _plain_running(df):
+    so_far = Window.partitionBy("customer_id").orderBy("date", "transaction_id").rowsBetween(Window.unboundedPreceding, 0)
+    return df.select(
+        "customer_id", "segment", "date", "transaction_id", "amount", F.sum("amount").over(so_far).alias("running_total"),
+        F.round(F.sum("amount").over(so_far) / F.count("*").over(so_far), 6).cast("decimal(30,6)").alias("running_avg"))
 
 
-def test_running_totals_all_in_blocks(skewed):
-    _same(running_by_customer(skewed, hot_rows=1, most_hot=2, rows_per_block=40), running_by_customer(skewed))
+def test_running_totals_of_a_hot_and_a_null_customer(skewed):
+    rows = skewed.withColumn("customer_id", F.when(F.col("customer_id") != "C7", F.col("customer_id"))).withColumn(
+        "amount", F.when(F.col("transaction_id") > "T000009", F.col("amount")))
+    running = running_by_customer(rows)
+    _same(running.withColumn("running_avg", F.col("running_avg").cast("decimal(30,6)")), _plain_running(rows))
+    plan = running._jdf.queryExecution().optimizedPlan().toString()
+    assert "customer_id" in plan and rows.filter("customer_id IS NULL").count() > 0
 
 
 def test_last_running_total_is_the_volume(skewed):
-    totals = running_by_customer(skewed, hot_rows=50, rows_per_block=15).groupBy("customer_id").agg(
+    totals = running_by_customer(skewed).groupBy("customer_id").agg(
         F.max("running_total").alias("total"))
     volumes = skewed.groupBy("customer_id").agg(F.sum("amount").alias("total"))
     _same(totals, volumes)

@@ -183,7 +183,7 @@ def test_customer_report_in_blocks_equals_plain(make_transactions, make_customer
         {"customer_id": f"C{at % 40}", "segment": "SME" if at % 40 % 3 else "Retail", "amount": str(at % 40 // 4 + 1)}
         for at in range(80)]))
     customers = make_customers(*[(f"C{at}", "2020-01-01") for at in range(40)])
-    blocks = customer_report(rows, customers, "2024-06-15", rows_per_block=6)
+    blocks = customer_report(rows, customers, "2024-06-15", blocks=6)
     plain = customer_report(rows, customers, "2024-06-15")
     assert sorted(blocks.collect()) == sorted(plain.collect())
 

@@ -23,7 +23,21 @@ def percent(part, whole, digits: int | None = 2) -> Column:
 
 def per_unit(total, units, digits: int = 2) -> Column:
     """An exact decimal total divided by a count, NULL where the count is zero."""
-    return F.round(F.try_divide(_col(total), _col(units).cast("decimal(12,0)")), digits)
+    return F.round(F.try_divide(_col(total), _col(units).cast("decimal(20,0)")), digits)
+
+
+def at_least_one(months) -> Column:
+    """The number of months, at least 1; NULL where it is not known."""
+    return F.when(_col(months).isNotNull(), F.greatest(_col(months), F.lit(1)))
+
+
+def band_below(value, steps, rest: str) -> Column:
+    """Label of the first step whose limit the value stays below; NULL stays below none."""
+    out = None
+    for limit, label in steps:
+        below = _col(value) < F.lit(limit)
+        out = F.when(below, label) if out is None else out.when(below, label)
+    return out.otherwise(rest)
 
 
 def band_from(value, steps, rest: str) -> Column:

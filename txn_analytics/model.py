@@ -35,14 +35,14 @@ LOAD_COLUMNS = T.StructType([
 
 COMPLETED, PENDING, FAILED = "Completed", "Pending", "Failed"
 
-# amount at or above the limit
+# amount below the limit
 AMOUNT_BANDS = [
-    (100000, "5. RM 100,000 and above"),
-    (50000, "4. RM 50,000 – 99,999"),
-    (10000, "3. RM 10,000 – 49,999"),
-    (1000, "2. RM 1,000 – 9,999"),
+    (1000, "1. Below RM 1,000"),
+    (10000, "2. RM 1,000 – 9,999"),
+    (50000, "3. RM 10,000 – 49,999"),
+    (100000, "4. RM 50,000 – 99,999"),
 ]
-AMOUNT_BAND_REST = "1. Below RM 1,000"
+AMOUNT_BAND_REST = "5. RM 100,000 and above"
 
 # transactions of a customer, at or below the limit
 ACTIVITY_BANDS = [
@@ -107,7 +107,9 @@ TIERS = [(500000, "VIP"), (100000, "Premium"), (20000, "Regular")]
 TIER_REST = "New / Low Activity"
 REPORT_TENURE = [(60, "Veteran (5+ Yrs)"), (36, "Established (3–5 Yrs)"), (12, "Growing (1–3 Yrs)")]
 REPORT_TENURE_REST = "New (< 1 Yr)"
-REPORT_ACTIVITY = [(0, "Active This Month"), (3, "Active (< 3 Months)"), (6, "Lapsing (3–6 Months)")]
+# months since the last transaction: none, then at or below the limit
+REPORT_THIS_MONTH = "Active This Month"
+REPORT_ACTIVITY = [(3, "Active (< 3 Months)"), (6, "Lapsing (3–6 Months)")]
 REPORT_ACTIVITY_REST = "Dormant (6+ Months)"
 CUSTOMER_RISK = [(3, "High Risk"), (1, "Monitor")]
 PRODUCT_RISK = [(10, "High Risk"), (5, "Monitor")]

@@ -18,15 +18,17 @@ def enrich_time(txn: DataFrame) -> DataFrame:
     )
 
 
-def flag_anomalies(txn: DataFrame, by: str = "segment", deviations: float = 3) -> DataFrame:
+def flag_anomalies(txn: DataFrame, by: str = "segment", deviations: float = 3,
+                   limits_from: DataFrame | None = None) -> DataFrame:
     """Sets ``is_anomaly`` on rows above the mean of their group by so many sample deviations.
 
     Mean and deviation come from the rows that did not fail, and failed rows are never flagged. A group
-    of one row has no deviation and no flag.
+    of one row has no deviation and no flag. ``limits_from`` may hold the same rows with only the group, the
+    amount and the status, so that the limits need no other column of a view.
     """
     value = F.col("amount").cast("double")
     limits = (
-        txn.filter(completed_or_pending()).groupBy(by)
+        (txn if limits_from is None else limits_from).filter(completed_or_pending()).groupBy(by)
         .agg((F.avg(value) + deviations * F.stddev_samp(value)).alias("_limit"))
     )
     flag = completed_or_pending() & (value > F.col("_limit"))

@@ -4,20 +4,18 @@ A plain ``OVER (ORDER BY ...)`` brings all rows to one task, and ``PARTITION BY`
 third of the data is not much better. Here rows are range-partitioned by the sort order into blocks of
 even size, each block is numbered on its own, and what the blocks before it contribute is added from a
 summary with one row per block and group. The blocks are materialised, since a second range shuffle
-would sample other cut points. Inputs that fit one block keep the plain window.
+would sample other cut points. The same code runs for every size of input.
 """
 
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
-from math import ceil
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from txn_analytics.cluster import join_lookup, materialise
 
-ROWS_PER_BLOCK = 1_000_000
 # Up to so many rows of a block summary are broadcast.
 MOST_OFFSETS = 100_000
 
@@ -40,15 +38,13 @@ def ordered_blocks(df: DataFrame, order: Sequence, blocks: int) -> DataFrame:
 
 
 def with_ranks(df: DataFrame, value: str, key: Sequence[str], ranks: Sequence[Rank],
-               rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
-    """Adds the ranks to ``df``, which should be materialised: it is counted, then read.
+               blocks: int | None = None) -> DataFrame:
+    """Adds the ranks to ``df``, in as many blocks as there are shuffle partitions, two at least.
 
-    ``value`` must not be NULL, and ``key`` must be unique.
+    NULL is the last value, like any other value where rows have it in common. ``key`` must be unique.
     """
-    blocks = ceil(df.count() / rows_per_block)
-    if blocks <= 1:
-        return reduce(lambda rows, rank: rows.withColumn(rank.column, _place(rank, value, key, rank.within)), ranks, df)
-    cut = ordered_blocks(df, [F.col(value).desc(), *key], blocks)
+    blocks = blocks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cut = ordered_blocks(df, [F.col(value).desc(), *key], max(2, blocks))
     return reduce(lambda rows, rank: _across_blocks(rows, cut, value, key, rank), ranks, cut).drop("_block")
 
 
@@ -65,15 +61,17 @@ def _across_blocks(rows: DataFrame, blocks: DataFrame, value: str, key: Sequence
     within = list(rank.within)
     group = ["_block", *within]
 
-    # One row per block and group: how many rows and values it has, and the values at its two ends.
+    # One row per block and group: how many rows and values it has, and the values at its two ends. In a struct
+    # NULL is a value, and the smallest one.
+    held = F.struct(F.col(value).alias("value"))
     ends = (
-        blocks.groupBy(*group, value).agg(F.count("*").alias("_n"))
+        blocks.groupBy(*group, held.alias("_value")).agg(F.count("*").alias("_n"))
         .groupBy(*group).agg(
             F.sum("_n").alias("_rows"),
             F.count("*").alias("_values"),
-            F.max(value).alias("_head"),
-            F.min(value).alias("_tail"),
-            F.min_by("_n", value).alias("_tail_rows"),
+            F.max("_value").alias("_head"),
+            F.min("_value").alias("_tail"),
+            F.min_by("_n", "_value").alias("_tail_rows"),
         )
     )
     along = Window.partitionBy(*within).orderBy("_block")
@@ -95,38 +93,10 @@ def _across_blocks(rows: DataFrame, blocks: DataFrame, value: str, key: Sequence
 
     placed = join_lookup(rows.withColumn("_place", _place(rank, value, key, group)), offsets, group, MOST_OFFSETS)
     place = {
-        "rank": F.when(F.col(value) == F.col("_head"), F.col("_head_rank"))
+        "rank": F.when(held == F.col("_head"), F.col("_head_rank"))
         .otherwise(F.col("_rows_before") + F.col("_place")),
         "dense": F.col("_values_before") + F.col("_place"),
         "number": F.col("_rows_before") + F.col("_place"),
     }[rank.kind]
     return placed.withColumn(rank.column, place).drop(
         "_place", "_head", "_rows_before", "_values_before", "_head_rank")
-
-
-def running_totals(rows: DataFrame, group: str, order: Sequence[str], value: str, blocks: int) -> DataFrame:
-    """Rows with ``_total`` and ``_seen``: sum of ``value`` and count of rows of the group so far.
-
-    Blocks run over (group, order), so one group may fill many of them.
-    """
-    cut = ordered_blocks(rows, [group, *order], blocks)
-    before = Window.partitionBy(group).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        cut.groupBy("_block", group).agg(F.sum(value).alias("_sum"), F.count("*").alias("_rows"))
-        .withColumn("_sum_before", F.sum("_sum").over(before))
-        .withColumn("_rows_before", F.sum("_rows").over(before))
-        # A block continues at most one group of the block before it, so few rows remain.
-        .filter(F.col("_rows_before").isNotNull())
-        .select("_block", group, "_sum_before", "_rows_before")
-    )
-    so_far = Window.partitionBy("_block", group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    local = (
-        cut.withColumn("_local_sum", F.sum(value).over(so_far))
-        .withColumn("_local_rows", F.count("*").over(so_far))
-    )
-    return (
-        join_lookup(local, offsets, ["_block", group], MOST_OFFSETS)
-        .withColumn("_total", F.col("_local_sum") + F.coalesce(F.col("_sum_before"), F.lit(0)))
-        .withColumn("_seen", F.col("_local_rows") + F.coalesce(F.col("_rows_before"), F.lit(0)))
-        .drop("_block", "_local_sum", "_local_rows", "_sum_before", "_rows_before")
-    )

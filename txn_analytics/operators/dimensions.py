@@ -3,7 +3,6 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txn_analytics.cluster import materialise
 from txn_analytics.functions.dates import as_date
 from txn_analytics.operators.blocks import Rank, with_ranks
 
@@ -41,11 +40,12 @@ def name_dimension(names: DataFrame, column: str, id_column: str, name_column: s
 
     Other columns of ``names`` go along with their name.
     """
-    distinct = materialise(names.filter(F.col(column).isNotNull()).distinct())
+    distinct = names.filter(F.col(column).isNotNull()).distinct()
     rest = [name for name in names.columns if name != column]
     from_the_end = with_ranks(distinct, column, rest, [Rank("_place", "number")])
+    how_many = distinct.agg(F.count("*")).scalar()
     return from_the_end.select(
-        (F.lit(distinct.count() + 1) - F.col("_place")).cast("int").alias(id_column),
+        (how_many + 1 - F.col("_place")).cast("int").alias(id_column),
         F.col(column).alias(name_column), *rest,
     ).orderBy(id_column)
 

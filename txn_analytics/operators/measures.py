@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from txn_analytics import model
 from txn_analytics.functions.dates import as_date, day_gap, month_gap, year_gap
-from txn_analytics.functions.values import band_from, band_upto, completed_or_pending, per_unit, percent
+from txn_analytics.functions.values import band_below, band_upto, completed_or_pending, per_unit, percent
 
 # What each measure is called, and how it is computed from the rows of a group.
 MEASURES = {
@@ -60,7 +60,7 @@ def magnitude(txn: DataFrame, by: str, stats: Sequence[str] = BASIC) -> DataFram
 
 def amount_bands(txn: DataFrame, bands=model.AMOUNT_BANDS, rest: str = model.AMOUNT_BAND_REST) -> DataFrame:
     """Count, volume, mean and count share per band of transaction size."""
-    rows = not_failed(txn).withColumn("amount_band", band_from("amount", bands, rest))
+    rows = not_failed(txn).withColumn("amount_band", band_below("amount", bands, rest))
     groups = measures(rows, ["amount_band"], exclude_failed=False)
     everything = F.sum("transactions").over(Window.partitionBy())
     return groups.withColumn("count_share_pct", percent("transactions", everything, None)).orderBy("amount_band")

@@ -5,8 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from txn_analytics.cluster import materialise
-from txn_analytics.operators.blocks import ROWS_PER_BLOCK, Rank, with_ranks
+from txn_analytics.operators.blocks import Rank, with_ranks
 from txn_analytics.operators.measures import BASIC, measures
 
 
@@ -17,21 +16,21 @@ def top_k(txn: DataFrame, keys: Sequence[str], k: int = 10, stats: Sequence[str]
     return measures(txn, keys, stats).orderBy(volume.asc() if smallest else volume.desc(), *keys).limit(k)
 
 
-def _ranked_customers(txn: DataFrame, stats: Sequence[str], ranks: Sequence[Rank], rows_per_block: int) -> DataFrame:
+def _ranked_customers(txn: DataFrame, stats: Sequence[str], ranks: Sequence[Rank], blocks: int | None) -> DataFrame:
     key = ["customer_id", "segment"]
-    return with_ranks(materialise(measures(txn, key, stats)), "total_volume", key, ranks, rows_per_block)
+    return with_ranks(measures(txn, key, stats), "total_volume", key, ranks, blocks)
 
 
-def global_rank(txn: DataFrame, rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
+def global_rank(txn: DataFrame, blocks: int | None = None) -> DataFrame:
     """RANK, DENSE_RANK and ROW_NUMBER of every customer by volume."""
     ranks = [Rank("volume_rank"), Rank("volume_dense_rank", "dense"), Rank("volume_row_number", "number")]
-    return _ranked_customers(txn, ("total_volume",), ranks, rows_per_block)
+    return _ranked_customers(txn, ("total_volume",), ranks, blocks)
 
 
-def rank_within_segment(txn: DataFrame, rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
+def rank_within_segment(txn: DataFrame, blocks: int | None = None) -> DataFrame:
     """RANK of every customer by volume among the customers of its segment."""
     ranks = [Rank("rank_in_segment", within=("segment",))]
-    return _ranked_customers(txn, ("total_volume", "transactions"), ranks, rows_per_block)
+    return _ranked_customers(txn, ("total_volume", "transactions"), ranks, blocks)
 
 
 def rank_groups(txn: DataFrame, by: str, dense: bool = False) -> DataFrame:

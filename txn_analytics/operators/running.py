@@ -1,57 +1,37 @@
 """Running total and mean of each customer, transaction by transaction."""
 
-from math import ceil
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from txn_analytics.functions.values import per_unit
-from txn_analytics.operators.blocks import running_totals
 from txn_analytics.operators.measures import not_failed
 
 ORDER = ["date", "transaction_id"]
 
-# What one task sorts, spilling where it must. Blocks of this size keep even a third of 10^12 rows to some
-# 17,000 blocks, which a shuffle can address.
-ROWS_PER_TASK = 20_000_000
-
 
-def running_by_customer(txn: DataFrame, hot_rows: int = ROWS_PER_TASK, most_hot: int = 20_000,
-                        rows_per_block: int = ROWS_PER_TASK) -> DataFrame:
+def running_by_customer(txn: DataFrame) -> DataFrame:
     """Sum and mean of a customer's amounts up to each row, in order of date and transaction id.
 
-    Most customers fit a window per customer: one shuffle, one sort. Customers with more than ``hot_rows``
-    rows are found by a count over one column and spread over blocks instead. If there are more than
-    ``most_hot`` of those, every row goes through blocks.
+    Each customer is split by date: a window over one row per customer and day gives what came before the day,
+    and a window inside the day gives the rest. So a customer, the NULL one too, may hold any share of the rows;
+    the rows of one customer on one day are the smallest unit that a task sorts. Both steps use the same shuffle
+    key, a struct, in which NULL equals NULL.
     """
-    rows = not_failed(txn).select("customer_id", "segment", *ORDER, "amount")
-    hot = (
-        rows.groupBy("customer_id").agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_rows)
-        .limit(most_hot + 1).collect()
+    rows = not_failed(txn).select(
+        F.struct("customer_id", "date").alias("_day"), "customer_id", "segment", *ORDER, "amount")
+    before = Window.partitionBy("_day.customer_id").orderBy("_day.date").rowsBetween(Window.unboundedPreceding, -1)
+    days = (
+        rows.groupBy("_day").agg(F.sum("amount").alias("_sum"), F.count("*").alias("_rows"))
+        .select("_day", F.sum("_sum").over(before).alias("_sum_before"),
+                F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_rows_before"))
     )
-    if len(hot) > most_hot:
-        totals = _in_blocks(rows, rows.count(), rows_per_block)
-    elif not hot:
-        totals = _windowed(rows)
-    else:
-        ids = F.broadcast(txn.sparkSession.createDataFrame([row[:1] for row in hot], "customer_id string"))
-        spread = rows.join(ids, "customer_id", "left_semi")
-        totals = _windowed(rows.join(ids, "customer_id", "left_anti")).unionByName(
-            _in_blocks(spread, sum(row["_n"] for row in hot), rows_per_block))
+    so_far = Window.partitionBy("_day").orderBy("transaction_id").rowsBetween(Window.unboundedPreceding, 0)
+    of_day, earlier = F.sum("amount").over(so_far), F.col("_sum_before")
+    totals = rows.join(days, "_day").withColumns({
+        "running_total": F.coalesce(of_day + earlier, of_day, earlier),     # NULL until an amount is known
+        "_seen": F.count("*").over(so_far) + F.col("_rows_before"),
+    })
     return totals.select(
-        "customer_id", "segment", *ORDER, "amount",
-        F.col("_total").alias("running_total"),
-        per_unit("_total", "_seen", 6).alias("running_avg"),
+        "customer_id", "segment", *ORDER, "amount", "running_total",
+        per_unit("running_total", "_seen", 6).alias("running_avg"),
     )
-
-
-def _windowed(rows: DataFrame) -> DataFrame:
-    so_far = Window.partitionBy("customer_id").orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        rows.withColumn("_total", F.sum("amount").over(so_far))
-        .withColumn("_seen", F.count("*").over(so_far))
-    )
-
-
-def _in_blocks(rows: DataFrame, count: int, rows_per_block: int) -> DataFrame:
-    return running_totals(rows, "customer_id", ORDER, "amount", ceil(count / rows_per_block))

@@ -37,12 +37,11 @@ def rfm(txn: DataFrame, value_bands=model.VALUE_BANDS, frequency_bands=model.FRE
         not_failed(txn).groupBy(*CUSTOMER).agg(
             F.max("date").alias("last_date"), F.count("*").alias("frequency"), F.sum("amount").alias("monetary"))
     )
-    newest = customers.agg(F.max("last_date").alias("_newest"))  # always one row
+    newest = customers.agg(F.max("last_date")).scalar()
     active = F.col("recency_band") == "Active"
     valuable = F.col("value_band").isin("Platinum", "Gold")
     return (
-        customers.crossJoin(F.broadcast(newest))
-        .withColumn("recency_days", day_gap(F.col("last_date"), F.col("_newest")))
+        customers.withColumn("recency_days", day_gap(F.col("last_date"), newest))
         .withColumn("recency_band", band_upto("recency_days", recency_bands, model.RECENCY_REST))
         .withColumn("frequency_band", band_from("frequency", frequency_bands, model.FREQUENCY_REST))
         .withColumn("value_band", band_from("monetary", value_bands, model.VALUE_REST))
@@ -52,7 +51,6 @@ def rfm(txn: DataFrame, value_bands=model.VALUE_BANDS, frequency_bands=model.FRE
                     .when((F.col("recency_band") == "Lapsing") & valuable, model.AT_RISK)
                     .when(F.col("recency_band") == model.RECENCY_REST, model.LOST)
                     .otherwise(model.REGULAR))
-        .drop("_newest")
     )
 
 

@@ -31,16 +31,20 @@ def segment_share(txn: DataFrame, by: str = "segment") -> DataFrame:
     return with_share(groups, "customers", "customer_share_pct").orderBy(F.desc("volume_share_pct"), by)
 
 
-def share_within(txn: DataFrame, within: str, part: str, stats: Sequence[str] = ("total_volume",)) -> DataFrame:
-    """Share of each part in the volume of the group around it."""
+def _within(txn: DataFrame, within: str, part: str, stats: Sequence[str]) -> DataFrame:
     groups = measures(txn, [within, part], stats)
     groups = groups.withColumn(f"{within}_volume", F.sum("total_volume").over(Window.partitionBy(within)))
-    return with_share(groups, "total_volume", "share_pct", [within]).orderBy(within, F.desc("share_pct"), part)
+    return with_share(groups, "total_volume", "share_pct", [within])
+
+
+def share_within(txn: DataFrame, within: str, part: str, stats: Sequence[str] = ("total_volume",)) -> DataFrame:
+    """Share of each part in the volume of the group around it."""
+    return _within(txn, within, part, stats).orderBy(within, F.desc("share_pct"), part)
 
 
 def product_mix(txn: DataFrame) -> DataFrame:
     """Product share within each segment, with the plain mean of the segment's product means."""
-    groups = share_within(txn, "segment", "product", ("transactions", "total_volume", "avg_amount"))
+    groups = _within(txn, "segment", "product", ("transactions", "total_volume", "avg_amount"))
     mean = F.avg("avg_amount").over(Window.partitionBy("segment"))
     return groups.withColumn("segment_avg_amount", F.round(mean, 6)).orderBy("segment", F.desc("share_pct"), "product")
 

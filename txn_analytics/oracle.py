@@ -237,7 +237,8 @@ placed as (
 select customer_id, segment, branch, {_iso('join_date')} join_date,
        {_case('c', '>=', tiers, model.TIER_REST)} customer_tier,
        {_case('tenure', '>=', model.REPORT_TENURE, model.REPORT_TENURE_REST)} tenure_band,
-       {_case('recency', '<=', model.REPORT_ACTIVITY, model.REPORT_ACTIVITY_REST)} activity_status,
+       case when recency = 0 then 'Active This Month' when recency <= 3 then 'Active (< 3 Months)'
+            when recency <= 6 then 'Lapsing (3–6 Months)' else 'Dormant (6+ Months)' end activity_status,
        n transactions, products products_used, types types_used,
        {_iso('first_date')} first_date, {_iso('last_date')} last_date,
        {_rm('c')} total_volume, {_rm('low')} min_amount, {_rm('high')} max_amount,
@@ -384,7 +385,7 @@ select count(*) transactions, {HOLDERS}, count(distinct branch) branches, {VOLUM
     "q04_5_by_segment": _valid(_grouped("segment", f"""{BASIC}, {HOLDERS},
        {_mean('sum(cents)', 'count(distinct customer_id)')} volume_per_customer""")),
     "q04_6_by_branch": _valid(_grouped("branch", f"{BASIC}, {HOLDERS}")),
-    "q04_7_by_month": _valid(f"select year(mon) as year, month(mon) month_num, {BASIC} from valid group by mon"),
+    "q04_7_by_month": _valid(f"select year(mon) as year, month(mon) month_num, monthname(mon) month_name, {BASIC} from valid group by mon"),
     "q04_8_by_anomaly_flag": _with(EVENTS, FLAGGED) + _grouped("is_anomaly", BASIC, "flagged"),
 
     "q05_1_branch_magnitude": _valid(_grouped("branch", f"{BASIC}, {SHARE}")),
@@ -394,7 +395,7 @@ select count(*) transactions, {HOLDERS}, count(distinct branch) branches, {VOLUM
     "q05_5_segment_by_branch": _valid(_grouped("segment, branch", BASIC)),
     "q05_6_segment_by_product": _valid(_grouped("segment, product", BASIC)),
     "q05_7_amount_bands": _valid(f"""
-select {_case('cents', '>=', [(v * 100, name) for v, name in model.AMOUNT_BANDS], model.AMOUNT_BAND_REST)} amount_band,
+select {_case('cents', '<', [(v * 100, name) for v, name in model.AMOUNT_BANDS], model.AMOUNT_BAND_REST)} amount_band,
        {BASIC}, {_pct('count(*)', 'sum(count(*)) over ()', None)} count_share_pct from valid group by 1"""),
     "q05_8_activity_bands": _valid(f"""
 select {_case('n', '<=', [(limit, at) for at, (limit, _) in enumerate(model.ACTIVITY_BANDS)],
@@ -557,6 +558,7 @@ select transaction_type, count(*) transactions, {VOLUME},
     "report_anomaly_list": _with(EVENTS, FLAGGED) + f"""
 select {FLAGGED_ROW} from flagged where is_anomaly order by cents desc, transaction_id limit 20""",
     "report_flagged_rows": _with(EVENTS, FLAGGED) + f"select {FLAGGED_ROW} from flagged where is_anomaly",
+    "report_saved_flagged_rows": _with(EVENTS, FLAGGED) + f"select {FLAGGED_ROW} from flagged where is_anomaly",
     "report_month_ratios": _period(f"""
 select {REPORT_MONTH}, n transactions, {_rm('c')} total_volume,
        ({_rm('c')} - lag({_rm('c')}) over (order by mon)) / lag({_rm('c')}) over (order by mon) volume_change,

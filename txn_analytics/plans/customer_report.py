@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 from txn_analytics import model
 from txn_analytics.cluster import join_lookup, materialise
 from txn_analytics.functions.dates import as_date, month_gap
-from txn_analytics.functions.values import band_against, band_from, band_upto, per_unit
-from txn_analytics.operators.blocks import ROWS_PER_BLOCK, Rank, with_ranks
+from txn_analytics.functions.values import at_least_one, band_against, band_from, band_upto, per_unit
+from txn_analytics.operators.blocks import Rank, with_ranks
 from txn_analytics.operators.measures import not_failed
 
 KEY = ["customer_id", "segment", "branch"]
@@ -26,7 +26,7 @@ def _activity(txn: DataFrame) -> DataFrame:
 
 
 def customer_report(txn: DataFrame, customers: DataFrame, as_of, tiers=model.TIERS,
-                    rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
+                    blocks: int | None = None) -> DataFrame:
     """Tiers, activity, diversity, monthly spend, risk, benchmarks and ranks of every customer.
 
     ``txn`` carries ``is_anomaly``. Customers missing from ``customers`` are left out. The customer rows are
@@ -41,20 +41,21 @@ def customer_report(txn: DataFrame, customers: DataFrame, as_of, tiers=model.TIE
             "lifespan_months": months_active,
             "recency_months": month_gap(F.col("last_date"), today),
             "avg_transaction": per_unit("total_volume", "transactions"),
-            "avg_monthly_spend": per_unit("total_volume", F.greatest(months_active, F.lit(1))),
+            "avg_monthly_spend": per_unit("total_volume", at_least_one(months_active)),
         })
     )
 
-    bank = kpis.agg(  # always one row
-        F.avg("total_volume").alias("_bank_volume"), F.avg("avg_monthly_spend").alias("_bank_spend"))
+    bank = {name: kpis.agg(F.avg(value)).scalar() for name, value in (
+        ("_bank_volume", "total_volume"), ("_bank_spend", "avg_monthly_spend"))}
     segments = kpis.groupBy("segment").agg(F.avg("total_volume").alias("_segment_volume"))
     ranks = [Rank("overall_rank"), Rank("segment_rank", within=("segment",))]
-    ranked = with_ranks(kpis, "total_volume", KEY, ranks, rows_per_block)
-    return join_lookup(ranked.crossJoin(F.broadcast(bank)), segments, ["segment"]).select(
+    ranked = with_ranks(kpis, "total_volume", KEY, ranks, blocks)
+    return join_lookup(ranked, segments, ["segment"]).withColumns(bank).select(
         *KEY, "join_date",
         band_from("total_volume", tiers, model.TIER_REST).alias("customer_tier"),
         band_from("tenure_months", model.REPORT_TENURE, model.REPORT_TENURE_REST).alias("tenure_band"),
-        band_upto("recency_months", model.REPORT_ACTIVITY, model.REPORT_ACTIVITY_REST).alias("activity_status"),
+        F.when(F.col("recency_months") == 0, model.REPORT_THIS_MONTH)
+        .otherwise(band_upto("recency_months", model.REPORT_ACTIVITY, model.REPORT_ACTIVITY_REST)).alias("activity_status"),
         "transactions", "products_used", "types_used", "first_date", "last_date",
         "total_volume", "min_amount", "max_amount",
         "tenure_months", "lifespan_months", "recency_months", "avg_transaction", "avg_monthly_spend",

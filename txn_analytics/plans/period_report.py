@@ -9,7 +9,7 @@ from txn_analytics.functions.values import per_unit
 from txn_analytics.operators.anomalies import enrich_time, flag_anomalies
 from txn_analytics.operators.measures import largest_first, measures, not_failed
 from txn_analytics.operators.shares import with_share
-from txn_analytics.sources.files import extract, read_table, write_results, write_table
+from txn_analytics.sources.files import extract, read_table, result_folder, write_results, write_table
 
 VOLUMES = ("transactions", "total_volume")
 
@@ -98,8 +98,11 @@ def with_position(top: DataFrame) -> DataFrame:
     return top.select(F.row_number().over(order).alias("position"), *top.columns)
 
 
-def analyse(txn: DataFrame, as_of) -> dict[str, DataFrame]:
-    """All result tables of the report, each a lazy plan over the enriched rows."""
+def analyse(txn: DataFrame, as_of, top: int = 10, largest: int = 20) -> dict[str, DataFrame]:
+    """All result tables of the report, each a lazy plan over the enriched rows.
+
+    ``top`` customers and the ``largest`` flagged rows make the short lists; ``flagged`` has every flagged row.
+    """
     return {
         "kpi": kpi_summary(txn, as_of),
         "monthly": with_total(month_ratios(monthly(txn))),
@@ -107,17 +110,18 @@ def analyse(txn: DataFrame, as_of) -> dict[str, DataFrame]:
         "by_type": by_type(txn),
         "by_product": by_product(txn),
         "by_segment": by_segment(txn),
-        "top_customers": with_position(top_customers(txn)),
-        "anomalies": anomaly_list(txn),
+        "top_customers": with_position(top_customers(txn, top)),
+        "anomalies": anomaly_list(txn, largest),
+        "flagged": flagged(txn),
     }
 
 
-def run(txn: DataFrame, first, last, as_of, folder: str) -> dict[str, str]:
+def run(txn: DataFrame, first, last, as_of, folder: str, top: int = 10, largest: int = 20) -> dict[str, str]:
     """Build the report for one period. Returns where each result was saved.
 
     The enriched rows are written once and read back: each result then scans only the columns it needs,
     and a lost executor costs a reread and not the whole plan.
     """
-    enriched = f"{folder}/transactions"
+    enriched = f"{result_folder(folder, as_of)}/transactions"
     write_table(transform(extract(txn, first, last)), enriched)
-    return write_results(analyse(read_table(txn.sparkSession, enriched), as_of), folder, as_of)
+    return write_results(analyse(read_table(txn.sparkSession, enriched), as_of, top, largest), folder, as_of)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from txn_analytics import model
 from txn_analytics.functions.dates import as_date, month_gap
-from txn_analytics.functions.values import band_against, band_from, per_unit, percent
+from txn_analytics.functions.values import at_least_one, band_against, band_from, per_unit, percent
 
 
 def _activity(txn: DataFrame) -> DataFrame:
@@ -55,7 +55,7 @@ def product_report(txn: DataFrame, as_of) -> DataFrame:
             "lifespan_months": months_active,
             "recency_months": month_gap(F.col("last_date"), as_date(as_of)),
             "avg_order_revenue": per_unit("total_revenue", "transactions"),
-            "avg_monthly_revenue": per_unit("total_revenue", F.greatest(months_active, F.lit(1))),
+            "avg_monthly_revenue": per_unit("total_revenue", at_least_one(months_active)),
             "revenue_per_customer": per_unit("total_revenue", "customers"),
             "completion_pct": percent("completed", "transactions"),
         })

@@ -108,6 +108,13 @@ def _saved_report(spark: SparkSession, folder: str) -> DataFrame:
     return presentable(files.read_table(spark, saved["branch"]))
 
 
+def _saved_flagged_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Every flagged row of the report over the events, saved and read back."""
+    path = scratch_path(spark, "report")
+    saved = report.run(tables.event_transactions(spark, folder), "2024-01-01", "2024-12-31", EVENTS_AS_OF, path)
+    return presentable(files.read_table(spark, saved["flagged"]))
+
+
 def _all_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return {
         "fact_transactions": tables.transactions(spark, folder, ["transaction_id"]),
@@ -126,7 +133,7 @@ def _products(spark: SparkSession, folder: str) -> DataFrame:
 def _branches(spark: SparkSession, folder: str) -> DataFrame:
     names = tables.transactions(spark, folder, ["branch"]).distinct()
     return dimensions.name_dimension(
-        names.join(F.broadcast(tables.branches(spark, folder)), "branch", "left"), "branch", "branch_id", "branch_name")
+        names.join(tables.branches(spark, folder), "branch", "left"), "branch", "branch_id", "branch_name")
 
 
 def _dimension_profile(spark: SparkSession, folder: str) -> DataFrame:
@@ -135,6 +142,12 @@ def _dimension_profile(spark: SparkSession, folder: str) -> DataFrame:
     return reduce(DataFrame.unionByName, [quality.profile_columns(df, name) for name, df in dims.items()])
 
 
+def _flagged_lines(spark: SparkSession, folder: str, columns: list[str], include_failed: bool = True) -> DataFrame:
+    """Order lines with the named columns and outlier flags; the limits read only what they need."""
+    narrow = tables.transactions(spark, folder, ["segment", "amount", "status"], include_failed)
+    return anomalies.flag_anomalies(tables.transactions(spark, folder, columns, include_failed), limits_from=narrow)
+
+
 def _customer_report_events(spark: SparkSession, folder: str) -> DataFrame:
     events = anomalies.flag_anomalies(tables.event_transactions(spark, folder))
     return presentable(customer_report.customer_report(events, tables.customers(spark, folder), EVENTS_AS_OF))
@@ -142,7 +155,8 @@ def _customer_report_events(spark: SparkSession, folder: str) -> DataFrame:
 
 def _customer_report(tiers) -> Query:
     def build(spark, folder):
-        txn = anomalies.flag_anomalies(tables.transactions(spark, folder, include_failed=False))
+        txn = _flagged_lines(spark, folder, [
+            "transaction_id", "date", "customer_id", "segment", "branch", "product", "transaction_type", "amount", "status"], False)
         return presentable(
             customer_report.customer_report(txn, tables.customers(spark, folder), AS_OF, tiers))
     return build
@@ -183,7 +197,8 @@ QUERIES: dict[str, Query] = {
         m.per_customer(m.measures(t, ["segment"], (*m.BASIC, "customers"))), "segment")),
     "q04_6_by_branch": _valid("branch customer_id", lambda t: m.largest_first(
         m.measures(t, ["branch"], (*m.BASIC, "customers")), "branch")),
-    "q04_7_by_month": _valid("date", lambda t: trend.trend(t, "month").drop("month")),
+    "q04_7_by_month": _valid("date", lambda t: trend.trend(t, "month").drop("month").withColumn(
+        "month_name", F.date_format(F.make_date("year", "month_num", F.lit(1)), "MMMM"))),
     "q04_8_by_anomaly_flag": _events(
         "", lambda t: m.measures(t, ["is_anomaly"], exclude_failed=False).orderBy("is_anomaly")),
     # Magnitude
@@ -243,7 +258,9 @@ QUERIES: dict[str, Query] = {
     "q10_2_transaction_risk": _events(
         "transaction_id date customer_id branch transaction_type", segments.transaction_risk),
     "q10_2_transaction_risk_lines": _over(
-        lambda s, d: anomalies.flag_anomalies(tables.transactions(s, d)), segments.transaction_risk),
+        lambda s, d: _flagged_lines(s, d, [
+            "transaction_id", "date", "customer_id", "segment", "branch", "transaction_type", "amount", "status"]),
+        segments.transaction_risk),
     "q10_3_tenure_bands": _with_customers("customer_id", lambda c, t: segments.tenure_bands(c, t, AS_OF)),
     "q10_4_tenure_summary": _with_customers("customer_id", lambda c, t: segments.tenure_summary(c, t, AS_OF)),
     "q10_5_month_activity": _valid("date", trend.month_activity_level),
@@ -263,7 +280,8 @@ QUERIES: dict[str, Query] = {
     "q12_customer_report_large_tiers": _customer_report(LARGE_TIERS),
     "q12_customer_report_events": _customer_report_events,
     "q13_product_report": _over(
-        lambda s, d: anomalies.flag_anomalies(tables.transactions(s, d)),
+        lambda s, d: _flagged_lines(s, d, [
+            "transaction_id", "date", "customer_id", "segment", "branch", "product", "transaction_type", "amount", "status"]),
         lambda t: product_report.product_report(t, AS_OF)),
     "q13_product_report_events": _over(
         lambda s, d: anomalies.flag_anomalies(tables.event_transactions(s, d)),
@@ -292,6 +310,7 @@ QUERIES: dict[str, Query] = {
     "report_top_customers_numbered": _period(
         "customer_id", lambda t: report.with_position(report.top_customers(t))),
     "report_saved_branch_table": _saved_report,
+    "report_saved_flagged_rows": _saved_flagged_rows,
     # Sources, dimensions and checks
     "csv_customers": _csv_customers,
     "load_transactions": _loaded_table,

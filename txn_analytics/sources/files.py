@@ -83,10 +83,14 @@ def read_jdbc(spark: SparkSession, url: str, table: str, months: list[tuple[str,
     return spark.read.jdbc(url, table, predicates=predicates, properties=options)
 
 
+def result_folder(folder: str, as_of) -> str:
+    """Where everything of a report of that date goes."""
+    return f"{folder}/as_of={str(as_of).replace('-', '')}"
+
+
 def write_results(results: Mapping[str, DataFrame], folder: str, as_of, kind: str = "parquet") -> dict[str, str]:
     """Saves each result as its own dataset under ``as_of=YYYYMMDD``. Returns their paths."""
-    stamp = str(as_of).replace("-", "")
-    paths = {name: f"{folder}/as_of={stamp}/{name}" for name in results}
+    paths = {name: f"{result_folder(folder, as_of)}/{name}" for name in results}
     for name, df in results.items():
         df.write.mode("overwrite").option("header", True).format(kind).save(paths[name])
     return paths

@@ -1,16 +1,13 @@
 """The model's tables as views of the retail test tables (orders and their lines, events, customers).
 
 Lookups are left joins on unique keys, so a lookup whose columns are not asked for can be left out
-without changing a row. Customers and parts are joined by size; only the 25 nations and 5 regions, which
-never grow, are always broadcast.
+without changing a row. Spark knows the sizes of these scans and picks each join by them.
 """
 
 from collections.abc import Sequence
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from txn_analytics import model
 
@@ -19,22 +16,15 @@ AS_OF = "2001-12-31"
 EVENTS_AS_OF = "2024-01-31"
 
 
-@lru_cache(maxsize=None)
-def _schema(path: str) -> T.StructType:
-    """Schema in the file footers. Kept, since looking it up takes a Spark job for every reader."""
-    return SparkSession.active().read.parquet(path).schema
-
-
 def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    path = f"{folder}/{table}.parquet"
-    return spark.read.schema(_schema(path)).parquet(path)
+    return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
 def branches(spark: SparkSession, folder: str) -> DataFrame:
     regions = _read(spark, folder, "region").select(
         F.col("r_regionkey").alias("n_regionkey"), F.col("r_name").alias("region"))
     return (
-        _read(spark, folder, "nation").join(F.broadcast(regions), "n_regionkey", "left")
+        _read(spark, folder, "nation").join(regions, "n_regionkey", "left")
         .select(F.col("n_name").alias("branch"), "region")
     )
 
@@ -58,7 +48,7 @@ def _with_branch(df: DataFrame, spark: SparkSession, folder: str, columns: Seque
         return df
     nations = _read(spark, folder, "nation").select(
         F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("branch"))
-    return df.join(F.broadcast(nations), "c_nationkey", "left")
+    return df.join(nations, "c_nationkey", "left")
 
 
 def customers(spark: SparkSession, folder: str) -> DataFrame:
