@@ -1,10 +1,12 @@
 """Near duplicates, language model, classifiers, URL filter and the pipeline against brute force."""
 
 import math
+import os
 import random
 import re
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -260,3 +262,15 @@ def test_every_operator_has_one_query():
     names = sorted(queries.QUERIES, key=lambda n: int(n[2:].split("_")[0]))
     assert [n.split("_")[0] for n in names] == [f"op{k}" for k in range(1, 11)]
     assert set(queries.ORACLE) <= set(queries.QUERIES)
+
+
+@pytest.mark.parametrize("name", list(queries.ORACLE))
+def test_query_matches_sql(spark, name):
+    folder = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+    database = duckdb.connect()
+    for table in ("documents", "benchmark", "pages"):
+        database.execute(f"create view {table} as select * from '{folder}/{table}.parquet'")
+    result = queries.QUERIES[name](spark, folder)
+    cursor = database.execute(queries.ORACLE[name])
+    assert result.columns == [column[0] for column in cursor.description]
+    assert sorted(map(tuple, result.collect())) == sorted(cursor.fetchall())

@@ -27,10 +27,10 @@ from txn_analytics.llm.words import (
 
 WORDS = 5
 PERCENT = 75
-SIDE = 9             # tuples of a collection; SIDE ** 2 tables
+SIDE = 11            # tuples of a collection; SIDE ** 2 tables
 TUPLE = 2            # minhashes of a tuple; a key has twice as many
 SKETCH = 256         # bits of the parity sketch
-AGREE = 15           # of the 36 minhashes; two sets of similarity 0.75 have fewer in common once in 100,000 times
+AGREE = 22           # of the 44 minhashes; two sets of similarity 0.75 have fewer in common once in 10,000 times
 BLOCK = 2_000        # members of a bucket compared at once
 
 _SEEDS = mix(np.arange(1, 2 * SIDE * TUPLE + 1, dtype=np.uint64))

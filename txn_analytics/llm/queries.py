@@ -138,4 +138,48 @@ SELECT page_id, host, path, CASE {_cases(0)} END AS rule,
             WHEN {' OR '.join(f"host = '{x}' OR ends_with(host, '.{x}')" for x in LISTED)} THEN 'block' ELSE 'allow' END AS verdict
 FROM parsed"""
 
-ORACLE = {"op6_url_filter": OP6_SQL}
+_LOWER = f"translate(coalesce(text, ''), '{url_filter.UPPER}', '{url_filter.LOWER}')"
+
+OP3_SQL = f"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, [x FOR x IN string_split_regex({_LOWER}, '[\\x20\\x09-\\x0D]+') IF x <> ''] AS w FROM documents),
+shingles AS (
+    SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN [array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)]
+                                        WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM words),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+pairs AS (
+    SELECT l.doc_id AS a, r.doc_id AS b, count(*) AS common
+    FROM shingles l JOIN shingles r ON l.s = r.s AND l.doc_id < r.doc_id GROUP BY l.doc_id, r.doc_id),
+links AS (
+    SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * common >= 75 * (x.n + y.n - common)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached AS (
+    SELECT doc_id, doc_id AS other FROM documents
+    UNION SELECT reached.doc_id, edges.b FROM reached JOIN edges ON edges.a = reached.other)
+SELECT reached.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id, reached.doc_id = min(other) AS kept
+FROM reached LEFT JOIN sizes ON sizes.doc_id = reached.doc_id GROUP BY reached.doc_id"""
+
+_WORDS = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+OP8_SQL = f"""
+WITH docs AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+items AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+windows AS (
+    SELECT DISTINCT item_id, least(len(w), 10) AS n,
+           unnest([array_to_string(w[i:i + least(len(w), 10) - 1], ' ') FOR i IN range(1, len(w) - least(len(w), 10) + 2)]) AS s
+    FROM items WHERE len(w) > 0),
+lengths AS (SELECT DISTINCT n FROM windows),
+places AS (
+    SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS pos, w FROM docs JOIN lengths ON len(w) >= n),
+found AS (
+    SELECT doc_id, pos, n, item_id
+    FROM (SELECT doc_id, n, pos, array_to_string(w[pos:pos + n - 1], ' ') AS s FROM places) JOIN windows USING (s, n)),
+hit AS (SELECT doc_id, count(*) AS n_hit FROM (SELECT DISTINCT doc_id, pos + unnest(range(n)) FROM found) GROUP BY doc_id),
+met AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+    FROM (SELECT DISTINCT doc_id, cast(item_id AS varchar) AS item FROM found) GROUP BY doc_id)
+SELECT docs.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hit ON hit.doc_id = docs.doc_id LEFT JOIN met ON met.doc_id = docs.doc_id"""
+
+ORACLE = {"op3_near_duplicates": OP3_SQL, "op6_url_filter": OP6_SQL, "op8_decontamination": OP8_SQL}
