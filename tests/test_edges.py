@@ -73,15 +73,12 @@ def test_saved_report_keeps_every_flagged_row_and_every_date(spark, make_transac
     assert files.read_table(spark, f"{tmp_path}/as_of=20241231/transactions").count() == 425
 
 
-def test_intermediate_tables_go_to_the_named_folder(spark, tmp_path):
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    assert cluster.work_folder(spark) == (before or f"{spark.conf.get('spark.sql.warehouse.dir')}/_work").rstrip("/")
-    spark.conf.set("spark.checkpoint.dir", f"file://{tmp_path}")
-    try:
-        assert cluster.saved(spark.range(3), "some").count() == 3
-        assert [x.split("-")[0] for x in os.listdir(tmp_path)] == ["some"]
-    finally:
-        spark.conf.set("spark.checkpoint.dir", before) if before else spark.conf.unset("spark.checkpoint.dir")
+def test_intermediate_tables_go_to_the_named_folder(spark, tmp_path, monkeypatch):
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    assert cluster.work_folder(spark) == (named or f"{spark.conf.get('spark.sql.warehouse.dir')}/_work").rstrip("/")
+    monkeypatch.setattr(cluster, "work_folder", lambda session: str(tmp_path))
+    assert cluster.saved(spark.range(3), "some").count() == 3
+    assert [name.split("-")[0] for name in os.listdir(tmp_path)] == ["some"]
     package = os.path.dirname(txn_analytics.__file__)
     sources = [os.path.join(d, f) for d, _, names in os.walk(package) for f in names if f.endswith(".py")]
     assert not any("tempfile" in open(path).read() or "localCheckpoint" in open(path).read() for path in sources)

@@ -42,10 +42,10 @@ def name_dimension(names: DataFrame, column: str, id_column: str, name_column: s
     """
     distinct = names.filter(F.col(column).isNotNull()).distinct()
     rest = [name for name in names.columns if name != column]
-    from_the_end = with_ranks(distinct, column, rest, [Rank("_place", "number")])
+    from_the_end = with_ranks(distinct, column, rest, [Rank("_number", "number")])
     how_many = distinct.agg(F.count("*")).scalar()
     return from_the_end.select(
-        (how_many + 1 - F.col("_place")).cast("int").alias(id_column),
+        (how_many + 1 - F.col("_number")).cast("int").alias(id_column),
         F.col(column).alias(name_column), *rest,
     ).orderBy(id_column)
 

@@ -35,8 +35,12 @@ def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counts).orderBy(F.desc("rows"), "table")
 
 
-def profile_columns(df: DataFrame, table: str) -> DataFrame:
-    """Type, NULLs, estimated distinct values, smallest and largest value of every column, from one pass."""
+def profile_columns(df: DataFrame, table: str, exact: bool = False) -> DataFrame:
+    """Type, NULLs, distinct values, smallest and largest value of every column, from one pass.
+
+    Distinct values are estimates, or counted if ``exact``: that sends each column's values through a shuffle.
+    """
+    distinct = F.countDistinct if exact else F.approx_count_distinct
     facts = []
     for position, field in enumerate(df.schema.fields, 1):
         column = F.col(field.name)
@@ -45,7 +49,7 @@ def profile_columns(df: DataFrame, table: str) -> DataFrame:
             F.lit(field.name).alias("column"),
             F.lit(field.dataType.simpleString()).alias("type"),
             F.count_if(column.isNull()).alias("nulls"),
-            F.approx_count_distinct(column).alias("distinct_values"),
+            distinct(column).alias("distinct_values"),
             F.min(column).cast("string").alias("smallest"),
             F.max(column).cast("string").alias("largest"),
         ))

@@ -319,14 +319,14 @@ def _moving(span: int) -> str:
     return f"{_mean(f'sum(c) {over}', f'count(*) {over}')} moving_avg_{span}"
 
 
-def _profile(table: str, column_types: dict[str, str], source: str) -> str:
+def _profile(table: str, column_types: dict[str, str], source: str, exact: bool = False) -> str:
     arms = []
     for position, (name, kind) in enumerate(column_types.items(), 1):
         def text(value):
             return value if kind == "string" else f"cast({value} as varchar)"
         lowest, highest = f'min("{name}")', f'max("{name}")'
         arms.append(f"""select '{table}' as "table", {position} as position, '{name}' as "column", '{kind}' as type,
-          count(*) - count("{name}") nulls, {text(lowest)} smallest, {text(highest)} largest from {source}""")
+          count(*) - count("{name}") nulls, {f'count(distinct "{name}") distinct_values, ' if exact else ''}{text(lowest)} smallest, {text(highest)} largest from {source}""")
     return "\nunion all ".join(arms)
 
 
@@ -577,6 +577,20 @@ select row_number() over (order by c desc, customer_id) as position, customer_id
     "load_transactions": _valid(f"""
 select year(mon) * 100 + month(mon) load_month, false is_anomaly, count(*) transactions, {VOLUME},
        '2002-01-01 00:00:00' load_date from valid where year(date) = 1998 group by mon"""),
+    "load_transactions_whole": _with(LINES) + f"""
+select year(date) * 100 + month(date) load_month, status, count(*) transactions, {VOLUME}, count(distinct transaction_id) ids
+from lines group by 1, 2""",
+    "load_events_checks": _with(EVENTS, CUSTOMERS, """
+given as (select *, cast(transaction_id as bigint) id from lines
+          union all select *, cast(transaction_id as bigint) id from lines where cast(transaction_id as bigint) % 101 = 0),
+fit as (select * from given where id % 97 <> 0),
+known as (select customer_id from cust where cast(customer_id as bigint) % 50 <> 0)""") + """
+select 'loaded' measure, count(*) as rows from fit
+union all select 'rejected', count(*) from given where id % 97 = 0
+union all select 'duplicate_transactions', count(*) from (select id from fit group by id having count(*) > 1)
+union all select 'unknown_customers', count(distinct customer_id) from fit
+where customer_id is not null and customer_id not in (select customer_id from known)
+union all select 'duplicate_customers', 0""",
     "dim_date": _with(LINES) + DATE_DIMENSION,
     "dim_product": _with(LINES) + PRODUCT_DIMENSION,
     "dim_branch": _with(LINES) + BRANCH_DIMENSION,
@@ -607,6 +621,7 @@ union all select 'dim_product', count(distinct product) from lines
 union all select 'dim_branch', count(distinct branch) from lines""",
     "profile_columns": _with(LINES, "shown as (select *, cast(cents / 100 as decimal(15,2)) amount from lines)")
     + _profile("fact_transactions", FACT_TYPES, "shown"),
+    "profile_customers_exact": _with(CUSTOMERS) + _profile("dim_customers", CUSTOMER_TYPES, "cust", exact=True),
     "profile_dimensions": _with(
         LINES, CUSTOMERS, f"days as ({DATE_DIMENSION})", f"products as ({PRODUCT_DIMENSION})",
         f"branches as ({BRANCH_DIMENSION})")

@@ -12,7 +12,7 @@ from txn_analytics.cluster import scratch_path
 from txn_analytics.operators import (
     anomalies, dimensions, measures as m, quality, ranking, running, segments, shares, trend,
 )
-from txn_analytics.plans import customer_report, period_report as report, product_report
+from txn_analytics.plans import customer_report, load as load_plan, period_report as report, product_report
 from txn_analytics.sources import files, retail_tables as tables
 
 AS_OF, EVENTS_AS_OF = tables.AS_OF, tables.EVENTS_AS_OF
@@ -93,6 +93,36 @@ def _loaded_table(spark: SparkSession, folder: str) -> DataFrame:
             F.max("load_date").cast("string").alias("load_date")))
 
 
+def _whole_loaded_table(spark: SparkSession, folder: str) -> DataFrame:
+    """Everything that a load of the fact wrote, by month and status."""
+    path = scratch_path(spark, "transactions")
+    files.write_table(dimensions.apply_defaults(tables.transactions(spark, folder), "2002-01-01 00:00:00"), path)
+    return presentable(files.read_table(spark, path).groupBy("load_month", "status").agg(
+        F.count("*").alias("transactions"), F.sum("amount").alias("total_volume"),
+        F.countDistinct("transaction_id").alias("ids")))
+
+
+def _load_of_events(spark: SparkSession, folder: str) -> DataFrame:
+    """A load of events from CSV: every 97th amount is no number, every 101st row is there twice, every 50th customer is missing."""
+    path = scratch_path(spark, "csv")
+    event = F.col("transaction_id").cast("long")
+    rows = tables.event_transactions(spark, folder)
+    rows = rows.withColumn("amount", F.when(event % 97 == 0, "n/a").otherwise(F.col("amount").cast("string")))
+    rows.unionByName(rows.filter(event % 101 == 0)).write.option("header", True).csv(f"{path}/transactions")
+    tables.customers(spark, folder).filter(F.col("customer_id").cast("long") % 50 != 0).write.option("header", True).csv(
+        f"{path}/customers")
+    checks = load_plan.load(spark, f"{path}/transactions", f"{path}/customers", f"{path}/tables", "2024-02-01 00:00:00")
+    counted = {
+        "loaded": files.read_table(spark, f"{path}/tables/fact_transactions"),
+        "rejected": files.read_table(spark, f"{path}/tables/rejected_transactions"),
+        "duplicate_transactions": checks["duplicate_transactions"],
+        "unknown_customers": checks["unknown_customers"],
+        "duplicate_customers": checks["duplicate_customers"],
+    }
+    return reduce(DataFrame.unionByName, [
+        df.agg(F.count("*").alias("rows")).select(F.lit(name).alias("measure"), "rows") for name, df in counted.items()])
+
+
 def _csv_customers(spark: SparkSession, folder: str) -> DataFrame:
     """Customers written as CSV and read back in the declared types."""
     path = scratch_path(spark, "customers")
@@ -314,6 +344,8 @@ QUERIES: dict[str, Query] = {
     # Sources, dimensions and checks
     "csv_customers": _csv_customers,
     "load_transactions": _loaded_table,
+    "load_transactions_whole": _whole_loaded_table,
+    "load_events_checks": _load_of_events,
     "dim_date": _all("date", dimensions.date_dimension_of),
     "dim_product": lambda s, d: presentable(_products(s, d)),
     "dim_branch": lambda s, d: presentable(_branches(s, d)),
@@ -336,6 +368,8 @@ QUERIES: dict[str, Query] = {
     "table_counts": lambda s, d: quality.table_counts(_all_tables(s, d)),
     # Distinct counts are estimates, so they are left to a test.
     "profile_dimensions": lambda s, d: presentable(_dimension_profile(s, d).drop("distinct_values")),
+    "profile_customers_exact": lambda s, d: presentable(
+        quality.profile_columns(tables.customers(s, d), "dim_customers", exact=True)),
     "profile_columns": _over(
         tables.transactions, lambda t: quality.profile_columns(t, "fact_transactions").drop("distinct_values")),
 }
