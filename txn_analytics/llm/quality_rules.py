@@ -37,7 +37,8 @@ CHAR_DISTANCE = 0.12, 1.4
 WORD_DISTANCE = 0.15, 2.2
 TRIM = 0.15               # documents farther from the first mean do not enter the final reference
 COMMON = 0.001            # half the least share of a common word
-LEAST_SHARE = 0.001       # languages with a smaller share of the documents have no reference
+LEAST_SHARE = 0.001       # languages with a smaller share of the documents have no reference,
+LEAST_DOCUMENTS = 30      # nor those with fewer documents to learn from
 
 CLASSES = ["lower", "upper", "digit", "space", "sentence", "bracket", "symbol", "beyond ASCII"]
 CLASS_OF = np.full(256, 6, np.int8)
@@ -139,10 +140,10 @@ def _learnt(docs: DataFrame, words_of: np.ndarray | None, means: dict[str, np.nd
     return out
 
 
-def _means(learnt: dict) -> dict[str, np.ndarray]:
-    """Mean shares of the classes in each language with a judged document."""
+def _means(learnt: dict, least: int = 1) -> dict[str, np.ndarray]:
+    """Mean shares of the classes in each language with so many judged documents."""
     found = {x: np.array([learnt[x]["class"].get(k, 0.0) for k in range(len(CLASSES))])
-             for x in sorted(learnt) if learnt[x]["judged"].get(0, 0) > 0}
+             for x in sorted(learnt) if learnt[x]["judged"].get(0, 0) >= least}
     return {x: shares / shares.sum() for x, shares in found.items()}
 
 
@@ -152,7 +153,7 @@ def learn_references(docs: DataFrame, text: str = "text", lang: str = "lang") ->
     first = _learnt(docs, None, {})
     candidates = np.unique(np.array(sorted({k for x in first.values() for k in x["word"]}), np.int64).view(np.uint64))
     learnt = _learnt(docs, candidates, _means(first))
-    means = _means(learnt)
+    means = _means(learnt, LEAST_DOCUMENTS)
     if not means:
         return References()
     words = np.unique(np.array(sorted({k for x in means for k in learnt[x]["word"]}), np.int64).view(np.uint64))
