@@ -100,7 +100,8 @@ def test_report_is_saved_under_its_date(spark, make_transactions, tmp_path):
          "amount": "9000" if at == 7 else f"{10 + at % 5}", "status": "Failed" if at % 10 == 0 else "Completed"}
         for at in range(120)])
     saved = period_report.run(rows, "2024-01-01", "2024-12-31", "2025-01-02", str(tmp_path))
-    assert set(saved) == {"kpi", "monthly", "branch", "by_type", "by_product", "by_segment", "top_customers", "anomalies"}
+    assert set(saved) == {
+        "kpi", "monthly", "branch", "by_type", "by_product", "by_segment", "top_customers", "anomalies", "flagged"}
     assert all("as_of=20250102" in path for path in saved.values())
     read = {name: spark.read.parquet(path) for name, path in saved.items()}
     kpi = read["kpi"].collect()[0]
