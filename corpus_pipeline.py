@@ -12,15 +12,20 @@ from txn_analytics.llm import decontaminate, near_duplicates, pieces, pii, quali
 from txn_analytics.llm.queries import PIECES, read_model, read_table
 
 
-def _packed(docs: DataFrame, *apart: str) -> DataFrame:
-    """All columns in one, so that no name can clash with what an operator adds, and the named ones beside it."""
-    return docs.select(F.struct(*docs.columns).alias("_row"), *apart)
+def _packed(docs: DataFrame) -> DataFrame:
+    """The text, and all other columns in one, so that no name can clash with what an operator adds."""
+    return docs.select(F.struct(*[name for name in docs.columns if name != "text"]).alias("_row"), "text")
+
+
+def _unpacked(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    return rows.select(*[F.col("text") if name == "text" else F.col("_row")[name].alias(name) for name in docs.columns])
 
 
 def quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents that the quality rules keep; the language references are those of all documents given."""
-    judged = quality_rules.quality_rules(_packed(docs, "text", "lang"), quality_rules.learn_references(docs), ["_row"])
-    return judged.filter("kept").select("_row.*")
+    judged = quality_rules.quality_rules(
+        _packed(docs), quality_rules.learn_references(docs), ["_row", "text"], lang="_row.lang")
+    return _unpacked(judged.filter("kept"), docs)
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -36,8 +41,8 @@ def deduplicate(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 def decontaminated(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents in which no window of a benchmark item occurs."""
-    hits = decontaminate.contamination(_packed(docs, "text"), read_table(spark, folder, "benchmark"), ["_row"])
-    return hits.filter("n_hit = 0").select("_row.*")
+    hits = decontaminate.contamination(_packed(docs), read_table(spark, folder, "benchmark"), ["_row", "text"])
+    return _unpacked(hits.filter("n_hit = 0"), docs)
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

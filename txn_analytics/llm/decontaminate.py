@@ -66,11 +66,11 @@ class NgramSet:
                     yield i, n, self.items[key]
 
 
-def _scan(block: NgramSet):
+def _scan(block: NgramSet, name: str):
     """Adds what the items of the block hit to what earlier blocks hit."""
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (part for whole in batches for part in steps(whole, "_text")):
-            words = Words(batch.column("_text"), ALPHANUMERIC, lower=True)
+        for batch in (part for whole in batches for part in steps(whole, name)):
+            words = Words(batch.column(name), ALPHANUMERIC, lower=True)
             hit = np.zeros(len(words) + 1, np.int64)
             items = [set(x or ()) for x in batch.column("hit_items").to_pylist()]
             for i, spans in enumerate(batch.column("hit_words").to_pylist()):
@@ -132,16 +132,18 @@ def contamination(docs: DataFrame, benchmark: DataFrame, columns: list[str], tex
     id with two texts has the windows of both. An empty benchmark hits nothing. ``columns`` may be any but these
     names.
     """
-    read = docs.select(*columns, F.col(text).alias("_text"), F.lit(None).cast(SPANS).alias("hit_words"),
+    own = [] if text in columns else [F.col(text).alias("_text")]     # a text that is kept is not sent twice
+    name = "_text" if own else text
+    read = docs.select(*columns, *own, F.lit(None).cast(SPANS).alias("hit_words"),
                        F.lit(None).cast("array<bigint>").alias("hit_items"))
     types = {f.name: f.dataType.simpleString() for f in read.schema.fields}
     kept = [name for name in read.columns if name not in _ADDED]
     schema = ", ".join([f"`{name}` {types[name]}" for name in kept] + [
         "n_words bigint", "n_hit bigint", f"hit_words {SPANS}", "hit_items array<bigint>"])
     for block in _blocks(benchmark, item, item_text, block_bytes):
-        read = read.mapInArrow(_scan(NgramSet(block, size)), schema)
+        read = read.mapInArrow(_scan(NgramSet(block, size), name), schema)
     if "n_words" not in read.columns:
-        read = read.mapInArrow(_scan(NgramSet([], size)), schema)
+        read = read.mapInArrow(_scan(NgramSet([], size), name), schema)
     return read.drop("_text")
 
 

@@ -23,7 +23,7 @@ from txn_analytics.llm.words import steps
 
 SPACE = "▁"
 #: Bytes of text whose distinct words are encoded together.
-SLICE_BYTES = 3_000_000
+SLICE_BYTES = 2_000_000
 
 _NONE = np.iinfo(np.int32).max
 _PROBES = ["", " ", "a", " a  b ", "Hello, World\n\tx", "ﬁ é́ 你好 \U0001f600\x00", f"{SPACE}x {SPACE}{SPACE}", "<s> </s> <0x41>", " " * 15, " " * 47 + "x"]

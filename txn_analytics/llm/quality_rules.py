@@ -220,10 +220,10 @@ def repeated_lines(words: Words) -> np.ndarray:
     return np.bincount(of[again], minlength=len(words.counts))
 
 
-def _judge(refs: References):
+def _judge(refs: References, name: str):
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (part for whole in batches for part in steps(whole, "_text")):
-            words = Words(batch.column("_text"), NOT_SPACE)
+        for batch in (part for whole in batches for part in steps(whole, name)):
+            words = Words(batch.column(name), NOT_SPACE)
             hashes = words.hashes()
             inside = np.zeros(len(words.data) + 1, np.int64)
             np.add.at(inside, words.starts, 1)
@@ -237,7 +237,7 @@ def _judge(refs: References):
             known = np.array([x is None or x in refs.languages for x in tags], bool)
             limits = (base + more / np.sqrt(np.maximum(n, 1)) for base, more in (CHAR_DISTANCE, WORD_DISTANCE))
             far = known & (n >= JUDGED_WORDS) & ((chars > next(limits)) | (common > next(limits)))
-            kept = batch.schema.names[:-2]
+            kept = [x for x in batch.schema.names if x not in ("_text", "_lang")]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(name) for name in kept] + [
                     pa.array(x, pa.int64()) for x in (
@@ -261,8 +261,9 @@ def quality_rules(docs: DataFrame, references: References, columns: list[str], t
     words, is not judged by distance. Repeated rows are judged alike. An empty table gives no rows. ``columns``
     may be any but the added names.
     """
-    read = docs.select(*columns, F.col(text).alias("_text"), F.col(lang).cast("string").alias("_lang"))
-    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in read.schema.fields[:-2]]
+    own = [] if text in columns else [F.col(text).alias("_text")]     # a text that is kept is not sent twice
+    read = docs.select(*columns, *own, F.col(lang).cast("string").alias("_lang"))
+    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in read.schema.fields if f.name not in ("_text", "_lang")]
     schema = ", ".join(kept + [f"{x} bigint" for x in ADDED[:5]] + [f"{x} boolean" for x in ADDED[5:7]]
                        + [f"{x} double" for x in ADDED[7:]])
-    return read.mapInArrow(_judge(references), schema)
+    return read.mapInArrow(_judge(references, "_text" if own else text), schema)

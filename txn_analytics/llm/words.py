@@ -11,7 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that one step of a task holds in numpy arrays; a longer text is a step of its own.
-STEP_BYTES = 2_000_000
+STEP_BYTES = 1_000_000
 
 MULTIPLIER = 0x9E3779B97F4A7C15
 _INVERSE = pow(MULTIPLIER, -1, 1 << 64)
