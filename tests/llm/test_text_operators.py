@@ -61,6 +61,30 @@ def test_rules_tell_junk_from_text(spark, documents):
     assert not judged[2000].base_failed and not judged[2000].kept
 
 
+@pytest.mark.parametrize("tag", ["tail", "unknown", None])
+def test_rules_judge_texts_of_rare_languages(spark, tag):
+    """Junk is far whatever its tag is, and the verdicts do not change with the documents of other languages."""
+    clean = " ".join(["the river of stone and a blue sky to walk"] + [f"w{i} of the" for i in range(150)])
+    junk = " ".join(f"W{i}*** $$$!!" for i in range(300))
+    tail = [(3000 + i, f"{clean} v{i}", "tail", "s", 0) for i in range(35)] + [(2000, junk, tag, "s", 0)]
+    for others in (0, 40, 40_000):     # at 40,000 the tail has under 0.1 per cent of the documents
+        docs = spark.createDataFrame(tail, "doc_id bigint, text string, lang string, source string, n_chars int").unionByName(
+            spark.range(others).selectExpr("10000 + id AS doc_id", "concat('short text ', id) AS text", "'en' AS lang",
+                                           "'s' AS source", "0 AS n_chars"))
+        judged = quality_rules.quality_rules(docs, quality_rules.learn_references(docs), ["doc_id"]).filter("doc_id < 10000")
+        kept = {r.doc_id: r.kept for r in judged.collect()}
+        assert not kept.pop(2000) and len(kept) == 35 and all(kept.values()), others
+
+
+def test_rules_judge_small_inputs(spark, documents):
+    clean = " ".join(["the river of stone and a blue sky to walk"] + [f"w{i} of the" for i in range(150)])
+    junk = " ".join(f"W{i}*** $$$!!" for i in range(300))
+    docs = spark.createDataFrame(
+        [(i, f"{clean} v{i}", f"l{i % 3}", "s", 0) for i in range(12)] + [(2000, junk, "l0", "s", 0)], documents.schema)
+    kept = {r.doc_id: r.kept for r in quality_rules.quality_rules(docs, quality_rules.learn_references(docs), ["doc_id"]).collect()}
+    assert not kept.pop(2000) and all(kept.values())
+
+
 def test_rules_without_references_or_rows(documents, no_documents):
     empty = quality_rules.learn_references(no_documents)
     assert empty.languages == []

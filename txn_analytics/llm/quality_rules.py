@@ -2,13 +2,16 @@
 
 A language reference is learnt from the documents tagged with the language: the mean histogram of character
 classes, and the shares of its common words. Documents far from a first mean of all of them are left out of the
-final one, so that junk does not bend it. A text is compared with every reference by Jensen-Shannon distance
-(base 2, square root, 0 to 1) and the nearest one counts, since tags can be wrong and texts can be mixed. Texts
-with few words are not judged by distance.
-
-References take two passes. The first also finds words that can be common: a word whose share of a language is
+final one, so that junk does not bend it. Languages with too few texts to learn from share one pooled reference
+with texts without a tag, if these are enough together or no language has its own. A text is compared with the
+references of all languages, one without a reference of its own language also with the pooled one, by
+Jensen-Shannon distance (base 2, square root, 0 to 1). The nearest one counts, since tags can be wrong and texts
+can be mixed. So every text is judged whatever its tag is and however many documents other languages have; only
+texts with few words are not judged by distance.
+
+References take three passes. The first counts the texts of each language. The second also finds words that can be common: a word whose share of a language is
 ``1.5 * COMMON`` has at least ``COMMON`` of it left when every slice of text leaves out the words below half of
-``COMMON`` of the slice. That leaves at most ``1 / COMMON`` words a language; the second pass counts them exactly
+``COMMON`` of the slice. That leaves at most ``1 / COMMON`` words a language; the last pass counts them exactly
 and keeps those with ``2 * COMMON``.
 """
 
@@ -37,8 +40,8 @@ CHAR_DISTANCE = 0.12, 1.4
 WORD_DISTANCE = 0.15, 2.2
 TRIM = 0.15               # documents farther from the first mean do not enter the final reference
 COMMON = 0.001            # half the least share of a common word
-LEAST_SHARE = 0.001       # languages with a smaller share of the documents have no reference,
-LEAST_DOCUMENTS = 30      # nor those with fewer documents to learn from
+LEAST_DOCUMENTS = 30      # languages with fewer documents to learn from share the pooled reference
+POOL = None               # its name; no tag is NULL
 
 CLASSES = ["lower", "upper", "digit", "space", "sentence", "bracket", "symbol", "beyond ASCII"]
 CLASS_OF = np.full(256, 6, np.int8)
@@ -55,11 +58,14 @@ _IS_SYMBOL[list(SYMBOLS.encode())] = True
 
 @dataclass
 class References:
-    """Of each language: shares of character classes, and of its common words by hash."""
-    languages: list[str] = field(default_factory=list)
+    """Of each language, the pool last: shares of character classes, and of its common words by hash.
+
+    ``shares`` has the places in ``words`` and the shares of each language: at most 16 bytes for 500 words.
+    """
+    languages: list[str | None] = field(default_factory=list)
     classes: np.ndarray = field(default_factory=lambda: np.zeros((0, len(CLASSES))))
     words: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
-    shares: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
+    shares: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)
 
 
 def class_counts(words: Words) -> np.ndarray:
@@ -86,7 +92,44 @@ def _distance(divergence: np.ndarray) -> np.ndarray:
     return np.sqrt(np.clip(divergence, 0, 1))
 
 
-def _learn(words_of: np.ndarray | None, means: dict[str, np.ndarray]):
+@dataclass
+class Groups:
+    """Who learns from which documents: languages from their own, the pool, where there is one, from all others."""
+    known: set[str]
+    pool: bool
+
+    def of(self, tags: pa.Array) -> Iterator[tuple[str | None, np.ndarray]]:
+        """Each group with a document, and whether each document is in it."""
+        tags = tags.dictionary_encode()
+        codes = tags.indices.fill_null(-1).to_numpy(zero_copy_only=False)
+        others = np.ones(len(codes), bool)
+        for code, lang in enumerate(tags.dictionary.to_pylist()):
+            if lang in self.known:
+                own = codes == code
+                yield lang, own
+                others &= ~own
+        if self.pool and others.any():
+            yield POOL, others
+
+
+def _judged_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, judged) of each slice: the texts that are long enough to learn from."""
+    for batch in (part for whole in batches for part in steps(whole, "text")):
+        long = pa.array(Words(batch.column("text"), NOT_SPACE).counts >= JUDGED_WORDS)
+        found = batch.column("lang").filter(long).value_counts()
+        yield pa.RecordBatch.from_arrays([found.field(0), found.field(1)], ["lang", "judged"])
+
+
+def _groups(docs: DataFrame) -> Groups:
+    counts = saved(docs.mapInArrow(_judged_texts, "lang string, judged bigint").groupBy("lang").agg(
+        F.sum("judged").alias("judged")), "languages")
+    own = (F.col("judged") >= LEAST_DOCUMENTS) & F.col("lang").isNotNull()
+    known = {row.lang for row in counts.filter(own).select("lang").collect()}
+    pooled = counts.filter(~own).agg(F.coalesce(F.sum("judged"), F.lit(0))).collect()[0][0]
+    return Groups(known, pooled >= LEAST_DOCUMENTS or not known)
+
+
+def _learn(groups: Groups, words_of: np.ndarray | None, means: dict[str | None, np.ndarray]):
     """Rows of (lang, kind, key, value): documents and class shares, and words of each slice.
 
     Without ``words_of`` the words are those that can be common, else they are the given ones. Only documents
@@ -94,25 +137,23 @@ def _learn(words_of: np.ndarray | None, means: dict[str, np.ndarray]):
     """
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for whole in batches for part in steps(whole, "text")):
-            tags = batch.column("lang").dictionary_encode()
-            codes = tags.indices.to_numpy(zero_copy_only=False)
             words = Words(batch.column("text"), NOT_SPACE)
             hashes = words.hashes()
+            wanted = np.ones(len(hashes), bool) if words_of is None else np.isin(hashes, words_of)
             shares = _shares(class_counts(words))
             rows = []
-            for code, lang in enumerate(tags.dictionary.to_pylist()):
-                own_texts = codes == code
+            for lang, own_texts in groups.of(batch.column("lang")):
                 if lang in means:
-                    own_texts &= _distance(_term(shares, means[lang][None, :]).sum(axis=1)) <= TRIM
+                    own_texts = own_texts & (_distance(_term(shares, means[lang][None, :]).sum(axis=1)) <= TRIM)
                 judged = own_texts & (words.counts >= JUDGED_WORDS)
-                rows.append((lang, "documents", 0, float((codes == code).sum())))
                 rows.append((lang, "judged", 0, float(judged.sum())))
                 rows += [(lang, "class", k, float(x)) for k, x in enumerate(shares[judged].sum(axis=0))]
-                own = hashes[np.repeat(own_texts, words.counts)]
-                rows.append((lang, "words", 0, float(len(own))))
-                found, count = np.unique(own if words_of is None else own[np.isin(own, words_of)], return_counts=True)
+                own = np.repeat(own_texts, words.counts)
+                n_own = int(own.sum())
+                rows.append((lang, "words", 0, float(n_own)))
+                found, count = np.unique(hashes[own & wanted], return_counts=True)
                 if words_of is None:
-                    often = count >= COMMON / 2 * len(own)
+                    often = count >= COMMON / 2 * n_own
                     found, count = found[often], count[often]
                 rows += [(lang, "word", k, float(c)) for k, c in zip(found.view(np.int64).tolist(), count.tolist())]
             if rows:
@@ -122,56 +163,65 @@ def _learn(words_of: np.ndarray | None, means: dict[str, np.ndarray]):
     return learn
 
 
-def _learnt(docs: DataFrame, words_of: np.ndarray | None, means: dict[str, np.ndarray]) -> dict:
-    """{lang: {kind: {key: sum}}}; bounded by the classes and 1 / COMMON words of 1 / LEAST_SHARE languages."""
-    sums = saved(docs.mapInArrow(_learn(words_of, means), "lang string, kind string, key bigint, value double").groupBy(
+def _learnt(docs: DataFrame, groups: Groups, words_of: np.ndarray | None, means: dict[str | None, np.ndarray]) -> dict:
+    """{lang: {kind: {key: sum}}}; bounded by the classes and 1 / COMMON words of each language."""
+    sums = saved(docs.mapInArrow(_learn(groups, words_of, means), "lang string, kind string, key bigint, value double").groupBy(
         "lang", "kind", "key").agg(F.sum("value").alias("value")), "histograms")
-    totals = sums.filter("kind IN ('documents', 'words')").groupBy("lang").agg(
-        F.sum(F.expr("if(kind = 'documents', value, 0)")).alias("documents"),
-        F.sum(F.expr("if(kind = 'words', value, 0)")).alias("words"))
-    everything = sums.filter("kind = 'documents'").agg(F.sum("value")).scalar()
+    totals = sums.filter("kind = 'words'").select(F.col("lang").alias("_lang"), F.col("value").alias("words"))
     least = COMMON if words_of is None else 2 * COMMON
-    rows = sums.join(totals, "lang").filter(
-        (F.col("documents") >= LEAST_SHARE * everything)
-        & ((F.col("kind") != "word") | (F.col("value") >= least * F.col("words"))))
+    rows = sums.join(totals, F.col("lang").eqNullSafe(F.col("_lang"))).filter(
+        (F.col("kind") != "word") | (F.col("value") >= least * F.col("words")))
     out: dict = defaultdict(lambda: defaultdict(dict))
     for row in rows.select("lang", "kind", "key", "value").collect():
         out[row.lang][row.kind][row.key] = row.value
     return out
 
 
-def _means(learnt: dict, least: int = 1) -> dict[str, np.ndarray]:
-    """Mean shares of the classes in each language with so many judged documents."""
+def _means(learnt: dict) -> dict[str | None, np.ndarray]:
+    """Mean shares of the classes in each language with a judged document."""
     found = {x: np.array([learnt[x]["class"].get(k, 0.0) for k in range(len(CLASSES))])
-             for x in sorted(learnt) if learnt[x]["judged"].get(0, 0) >= least}
+             for x in sorted(learnt, key=lambda x: (x is POOL, x)) if learnt[x]["judged"].get(0, 0)}
     return {x: shares / shares.sum() for x, shares in found.items()}
 
 
 def learn_references(docs: DataFrame, text: str = "text", lang: str = "lang") -> References:
-    """References of the languages of all documents with a tag. Without any, or any text, there are none."""
-    docs = docs.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang")).filter("lang IS NOT NULL")
-    first = _learnt(docs, None, {})
+    """References of the languages of all documents, and the pooled one. Without any text there are none.
+
+    Where under half of the documents, and under ``LEAST_DOCUMENTS``, lie near the first mean, there is no common
+    kind to keep junk from, and all of them enter.
+    """
+    docs = docs.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
+    groups = _groups(docs)
+    first = _learnt(docs, groups, None, {})
     candidates = np.unique(np.array(sorted({k for x in first.values() for k in x["word"]}), np.int64).view(np.uint64))
-    learnt = _learnt(docs, candidates, _means(first))
-    means = _means(learnt, LEAST_DOCUMENTS)
+    means = _means(first)
+    learnt = _learnt(docs, groups, candidates, means)
+    few = {x for x in means if learnt[x]["judged"].get(0, 0) < min(LEAST_DOCUMENTS, first[x]["judged"][0] / 2)}
+    if few:
+        again = _learnt(docs, groups, candidates, {x: mean for x, mean in means.items() if x not in few})
+        learnt |= {x: again[x] for x in few}
+    means = _means(learnt)
     if not means:
         return References()
     words = np.unique(np.array(sorted({k for x in means for k in learnt[x]["word"]}), np.int64).view(np.uint64))
-    shares = np.zeros((len(means), len(words)))
-    for i, x in enumerate(means):
-        for key, count in learnt[x]["word"].items():
-            at = np.searchsorted(words, np.array([key], np.int64).view(np.uint64)[0])
-            shares[i, at] = count / learnt[x]["words"][0]
+    shares = []
+    for x in means:
+        found = np.array(list(learnt[x]["word"]), np.int64).view(np.uint64)
+        shares.append((np.searchsorted(words, found), np.array(list(learnt[x]["word"].values()), float) / learnt[x]["words"][0]))
     return References(list(means), np.array(list(means.values())), words, shares)
 
 
-def _distances(words: Words, hashes: np.ndarray, refs: References) -> tuple[np.ndarray, np.ndarray]:
-    """Least distance of each text to a reference, by characters and by common words; 0 without references."""
+def _distances(words: Words, hashes: np.ndarray, refs: References, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Least distance of each text to a reference, by characters and by common words; 0 without references.
+
+    Texts that have a reference of their ``own`` language are not compared with the pooled one.
+    """
     n = len(words.counts)
     if not refs.languages:
         return np.zeros(n), np.zeros(n)
     p = _shares(class_counts(words))
-    chars = np.min([_term(p, q[None, :]).sum(axis=1) for q in refs.classes], axis=0)
+    counts = [~own if x is POOL else np.ones(n, bool) for x in refs.languages]
+    chars = np.min([np.where(c, _term(p, q[None, :]).sum(axis=1), 1) for c, q in zip(counts, refs.classes)], axis=0)
     by_word = np.ones(n)
     if len(refs.words):
         at = np.minimum(np.searchsorted(refs.words, hashes), len(refs.words) - 1)
@@ -179,11 +229,14 @@ def _distances(words: Words, hashes: np.ndarray, refs: References) -> tuple[np.n
         keys, count = np.unique(words.texts()[common] * len(refs.words) + at[common], return_counts=True)
         text, word = keys // len(refs.words), keys % len(refs.words)
         share = count / words.counts[text]
-        for q in refs.shares:
-            own = q[word] > 0
-            inside = np.bincount(text[own], share[own], n)
-            met = np.bincount(text[own], (_term(share, q[word]) - q[word] / 2)[own], n)
-            by_word = np.minimum(by_word, met + q.sum() / 2 + _term(1 - inside, 1 - q.sum()))
+        q = np.zeros(len(refs.words))
+        for c, (places, shares) in zip(counts, refs.shares):
+            q[:] = 0
+            q[places] = shares
+            its = q[word] > 0
+            inside = np.bincount(text[its], share[its], n)
+            met = np.bincount(text[its], (_term(share, q[word]) - q[word] / 2)[its], n)
+            by_word = np.where(c, np.minimum(by_word, met + shares.sum() / 2 + _term(1 - inside, 1 - shares.sum())), by_word)
     else:
         by_word = np.zeros(n)
     return _distance(chars), _distance(by_word)
@@ -221,6 +274,8 @@ def repeated_lines(words: Words) -> np.ndarray:
 
 
 def _judge(refs: References, name: str):
+    languages = set(refs.languages)
+
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for whole in batches for part in steps(whole, name)):
             words = Words(batch.column(name), NOT_SPACE)
@@ -232,11 +287,10 @@ def _judge(refs: References, name: str):
             n = words.counts
             again = segment_sums(repeated_words(words, hashes), words.first)
             failed = (n < MIN_WORDS) | (100 * again > MOST_REPEATED * n)
-            chars, common = _distances(words, hashes, refs)
-            tags = batch.column("_lang").to_pylist()
-            known = np.array([x is None or x in refs.languages for x in tags], bool)
+            own = np.array([x is not None and x in languages for x in batch.column("_lang").to_pylist()], bool)
+            chars, common = _distances(words, hashes, refs, own)
             limits = (base + more / np.sqrt(np.maximum(n, 1)) for base, more in (CHAR_DISTANCE, WORD_DISTANCE))
-            far = known & (n >= JUDGED_WORDS) & ((chars > next(limits)) | (common > next(limits)))
+            far = (n >= JUDGED_WORDS) & ((chars > next(limits)) | (common > next(limits)))
             kept = [x for x in batch.schema.names if x not in ("_text", "_lang")]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(name) for name in kept] + [
@@ -257,9 +311,9 @@ def quality_rules(docs: DataFrame, references: References, columns: list[str], t
     """``columns`` of each document with its counts, distances and verdict.
 
     A NULL text has no words and fails, as does any text with fewer than 20 words. A text is kept if it does
-    not fail and is not far from every reference; one whose language has no reference, or with fewer than 50
-    words, is not judged by distance. Repeated rows are judged alike. An empty table gives no rows. ``columns``
-    may be any but the added names.
+    not fail and is not far from every reference; one with fewer than 50 words is not judged by distance, and none
+    is without references. Repeated rows are judged alike. An empty table gives no rows. ``columns`` may be any but
+    the added names.
     """
     own = [] if text in columns else [F.col(text).alias("_text")]     # a text that is kept is not sent twice
     read = docs.select(*columns, *own, F.col(lang).cast("string").alias("_lang"))
