@@ -75,6 +75,19 @@ def test_groups_of_odd_documents(odd_documents, no_documents):
     assert near_duplicates.near_duplicates(no_documents).count() == 0
 
 
+def test_pairs_across_components_need_no_more_than_one_table():
+    """Two sets that the bounds allow are confirmed, even if no minhashes agree but those of the table."""
+    rng = np.random.default_rng(5)
+    sides = rng.integers(0, 2 ** 15, (2, 2, near_duplicates.SIDE, near_duplicates.TUPLE)).astype(np.uint16)
+    sides[1] = sides[0] ^ 1
+    sides[1, :, 0] = sides[0, :, 0]
+    lanes = sides.reshape(2, -1).view(np.int64)
+    row = {"key": [1, 1], "t": [0, 0], "p": [0, 0], "q": [0, 0], "part": [0, 0], "id": [4, 9], "component": [4, 9], "n": [80, 75]}
+    row |= {s: [0, 0] for s in near_duplicates._SKETCH} | {m: lanes[:, k] for k, m in enumerate(near_duplicates._LANES)}
+    batch = pa.RecordBatch.from_pydict({k: pa.array(v, pa.int64()) for k, v in row.items()})
+    assert [x.to_pylist() for x in near_duplicates._across(iter([batch]))] == [[{"a": 4, "b": 9}]]
+
+
 def test_components_of_long_paths(spark):
     ids = list(range(200))
     random.Random(1).shuffle(ids)

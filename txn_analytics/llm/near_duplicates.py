@@ -9,7 +9,7 @@ similarity of 0.75 a pair misses every table when it misses every tuple of one c
 3. Bounds on set sizes and on parity sketches drop candidates that cannot be similar enough, without error. The
    others are compared on the shingle sets of their whole texts.
 4. Buckets that still hold several components are compared across components, in blocks of bounded size, with the
-   same bounds, a least number of equal minhashes and the same confirmation. So no pair of a bucket is left out that
+   same bounds and the same confirmation. So no pair of a bucket is left out that
    may be similar enough, and pairs inside a component, which could not change it, are never listed.
 """
 
@@ -29,8 +29,7 @@ WORDS = 5
 PERCENT = 75
 SIDE = 11            # tuples of a collection; SIDE ** 2 tables
 TUPLE = 2            # minhashes of a tuple; a key has twice as many
-SKETCH = 256         # bits of the parity sketch
-AGREE = 22           # of the 44 minhashes; two sets of similarity 0.75 have fewer in common once in 10,000 times
+SKETCH = 1024        # bits of the parity sketch
 BLOCK = 2_000        # members of a bucket compared at once
 
 _SEEDS = mix(np.arange(1, 2 * SIDE * TUPLE + 1, dtype=np.uint64))
@@ -77,9 +76,9 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 tuples.append(mix(key + np.uint64(k)))
             sides.append(tuples)
         keys = np.array([mix(a * np.uint64(3) + b) for a in sides[0] for b in sides[1]]).T.reshape(-1)
-        bits = sets.hashes >> np.uint64(56)
-        sketch = [sets.reduce(np.bitwise_xor, np.where(
-            bits >> np.uint64(6) == part, np.uint64(1) << (bits & np.uint64(63)), np.uint64(0))) for part in range(SKETCH // 64)]
+        bits = (np.cumsum(sets.sizes > 0) - 1)[sets.owner] * SKETCH + (sets.hashes % np.uint64(SKETCH)).astype(np.int64)
+        odd = (np.bincount(bits, minlength=len(full) * SKETCH) & 1).astype(np.uint8)
+        sketch = np.ascontiguousarray(np.packbits(odd).view(np.uint64).reshape(len(full), SKETCH // 64).T)
         # An order-free digest of the set: two sums of different mixes.
         digest = [segment_sums(mix(sets.hashes ^ np.uint64(salt)), sets.first)[full] for salt in (0x5851F42D, 0x14057B7E)]
         lanes = np.ascontiguousarray(np.array([x >> np.uint64(48) for x in mins], np.uint16).T).view(np.int64).T
@@ -158,7 +157,7 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Possible pairs across components in the groups of a partition sorted by group; whole groups are in memory.
 
     A group holds one part of a bucket, of which all pairs count, or two parts, of which those between them count.
-    A pair is given by the first table that it shares, and only if its minhashes agree often enough.
+    A pair is given by the first table that it shares.
     """
     def pairs(rows: pa.Table) -> pa.RecordBatch:
         at = {x: rows.column(x).to_numpy() for x in rows.column_names}
@@ -184,7 +183,7 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             l, r = l[fits], r[fits]
             agree = lanes[l] == lanes[r]
             tuples = agree.reshape(len(l), 2, SIDE, TUPLE).all(axis=3).argmax(axis=2)
-            fits = (agree.sum(axis=1) >= AGREE) & (tuples[:, 0] * SIDE + tuples[:, 1] == at["t"][l])
+            fits = tuples[:, 0] * SIDE + tuples[:, 1] == at["t"][l]
             found.append((at["id"][l[fits]], at["id"][r[fits]]))
         a, b = (np.concatenate([x[k] for x in found]) for k in (0, 1))
         return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
