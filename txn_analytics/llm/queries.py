@@ -7,11 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txn_analytics.llm import (
-    decontaminate, language_model, near_duplicates, pieces, pii, quality_classifier, quality_rules, token_counts, toxicity,
-    url_filter,
+    byte_pairs, decontaminate, language_model, near_duplicates, periodic_runs, pieces, pii, quality_classifier, quality_rules,
+    token_alignment, token_counts, toxicity, url_filter,
 )
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
+BYTE_PAIRS = public_tokenizers.path("byte_bpe_50k.json")
 
 RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
          ("block", "net", "/es/"), ("block", "net", "/fr/")]
@@ -103,6 +104,39 @@ def op10_token_counts(spark: SparkSession, folder: str, model: str = PIECES) ->
     return token_counts.length_histogram(token_counts.encoded_lengths(read_table(spark, folder, "documents"), read_model(model)))
 
 
+def op11_byte_pairs(spark: SparkSession, folder: str, spec: str = BYTE_PAIRS) -> DataFrame:
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    coded = byte_pairs.decode(byte_pairs.encode(docs, read_model(spec), packed=True), read_model(spec))
+    return coded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
+
+
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): in every tenth document by the hash of its id, the words from one on repeat a stretch of them."""
+    words = F.expr(r"CASE WHEN _hash % 10 = 0 THEN regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+', 0) END")
+    chosen = docs.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string")).alias("_hash")).withColumn("_words", words)
+    chosen = chosen.withColumns({"_n": F.size("_words"), "_g": F.expr("_hash DIV 10")})
+    chosen = chosen.withColumn("_a", F.expr("cast(CASE WHEN _n > 0 THEN _g % _n ELSE 0 END AS int)"))
+    chosen = chosen.withColumn("_p", F.expr("cast(1 + (_n - _a) DIV (3 + _g % 8) AS int)"))
+    planted = F.expr("""array_join(concat(slice(_words, 1, _a), slice(
+        flatten(array_repeat(slice(_words, _a + 1, _p), cast(ceil((_n - _a) / _p) AS int))), 1, _n - _a)), ' ')""")
+    return chosen.select("doc_id", F.when(F.col("_n") > 0, planted).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(with_planted_periods(read_table(spark, folder, "documents")), ["doc_id"])
+    listed = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, chr(10))), '')")
+    return found.withColumn("_best", periodic_runs.strongest()).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "_best.start", "_best.length", "_best.period",
+        F.expr("1000 * _best.length DIV _best.period").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op13_token_alignment(spark: SparkSession, folder: str, spec: str = BYTE_PAIRS, model: str = PIECES) -> DataFrame:
+    docs = read_table(spark, folder, "documents")
+    return token_alignment.align(docs, read_model(spec), read_model(model), ["doc_id"])
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_pii": op2_pii,
@@ -114,6 +148,9 @@ QUERIES = {
     "op4_sentencepiece": op4_sentencepiece,
     "op9_quality_rules": op9_quality_rules,
     "op8_decontamination": op8_decontamination,
+    "op11_byte_pairs": op11_byte_pairs,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 _HOST = f"""translate(regexp_extract(rest, '^[^/?#]*', 0), '{url_filter.UPPER}', '{url_filter.LOWER}')"""
