@@ -1,7 +1,7 @@
 """Token counts from the exact histogram of encoded lengths.
 
-Documents are encoded once and counted by length. Everything asked about a context limit then comes from suffix
-sums over the lengths, of which there are at most as many as the longest document has tokens.
+Documents are encoded once and counted by length; the counts are written as a table. Everything asked about a context
+limit then comes from suffix sums over the lengths, of which there are at most as many as the longest document has tokens.
 """
 
 from collections.abc import Iterator
@@ -11,6 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from txn_analytics.cluster import saved
 from txn_analytics.llm.pieces import SLICE_BYTES, vocabulary
 from txn_analytics.llm.words import steps
 
@@ -34,7 +35,8 @@ def length_histogram(lengths: DataFrame) -> DataFrame:
     NULL length are not counted. An empty table gives no rows. The sums are taken over blocks of lengths first,
     so no task sorts all lengths.
     """
-    counts = lengths.filter("n_tokens IS NOT NULL").groupBy("n_tokens").agg(F.count("*").alias("n_docs")).withColumns({
+    counts = lengths.filter("n_tokens IS NOT NULL").groupBy("n_tokens").agg(F.count("*").alias("n_docs"))
+    counts = saved(counts, "lengths").withColumns({
         "block": F.floor(F.col("n_tokens") / BLOCK), "tokens": F.col("n_tokens") * F.col("n_docs")})
     blocks = counts.groupBy("block").agg(F.sum("n_docs").alias("block_docs"), F.sum("tokens").alias("block_tokens"))
     above, below = (Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1) for order in (F.desc("block"), F.asc("block")))
@@ -54,11 +56,18 @@ def length_histogram(lengths: DataFrame) -> DataFrame:
 
 
 def truncated_totals(histogram: DataFrame, limits: list[int]) -> DataFrame:
-    """(limit, docs_longer, tokens_kept) for each limit: tokens left when every document is cut at it."""
-    rows = histogram.select("n_tokens", "n_docs", F.explode(F.array(*[F.lit(x).cast("long") for x in limits])).alias("limit"))
-    return rows.groupBy("limit").agg(
-        F.sum(F.when(F.col("n_tokens") > F.col("limit"), F.col("n_docs")).otherwise(0)).alias("docs_longer"),
-        F.sum(F.least("n_tokens", "limit") * F.col("n_docs")).alias("tokens_kept"))
+    """(limit, docs_longer, tokens_kept) for each limit: tokens left when every document is cut at it.
+
+    Both follow from the suffix sums at the least length above the limit. An empty histogram gives zeros.
+    """
+    total = histogram.agg(F.coalesce(F.max("tokens_at_least"), F.lit(0)).alias("total"))
+    asked = F.explode(F.array(*[F.lit(x).cast("long") for x in limits])).alias("limit")
+    above = histogram.select("n_tokens", "docs_at_least", "tokens_at_least", asked).filter("n_tokens > limit").groupBy("limit").agg(
+        F.min_by(F.struct("docs_at_least", "tokens_at_least"), "n_tokens").alias("s"))
+    return total.select("total", asked).join(above, "limit", "left").select(
+        "limit", F.coalesce("s.docs_at_least", F.lit(0)).alias("docs_longer"),
+        (F.col("total") - F.coalesce("s.tokens_at_least", F.lit(0)) + F.col("limit") * F.coalesce("s.docs_at_least", F.lit(0)))
+        .alias("tokens_kept"))
 
 
 def quantiles(histogram: DataFrame, shares: list[float]) -> DataFrame:
