@@ -66,7 +66,7 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets = Shingles(batch.column("text"))
         full = np.flatnonzero(sets.sizes > 0)
         mins = [sets.reduce(np.minimum, mix(sets.hashes + seed)) for seed in _SEEDS]
-        sides = []
+        sides, lanes = [], []
         for side in (mins[:SIDE * TUPLE], mins[SIDE * TUPLE:]):
             tuples = []
             for k in range(SIDE):
@@ -75,13 +75,14 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     key = mix(key + x)
                 tuples.append(mix(key + np.uint64(k)))
             sides.append(tuples)
+            lanes += [x >> np.uint64(32) for x in tuples]
         keys = np.array([mix(a * np.uint64(3) + b) for a in sides[0] for b in sides[1]]).T.reshape(-1)
         bits = (np.cumsum(sets.sizes > 0) - 1)[sets.owner] * SKETCH + (sets.hashes % np.uint64(SKETCH)).astype(np.int64)
         odd = (np.bincount(bits, minlength=len(full) * SKETCH) & 1).astype(np.uint8)
         sketch = np.ascontiguousarray(np.packbits(odd).view(np.uint64).reshape(len(full), SKETCH // 64).T)
         # An order-free digest of the set: two sums of different mixes.
         digest = [segment_sums(mix(sets.hashes ^ np.uint64(salt)), sets.first)[full] for salt in (0x5851F42D, 0x14057B7E)]
-        lanes = np.ascontiguousarray(np.array([x >> np.uint64(48) for x in mins], np.uint16).T).view(np.int64).T
+        lanes = np.ascontiguousarray(np.array(lanes, np.uint32).T).view(np.int64).T
         none = np.zeros(batch.num_rows, bool)
         none[full] = True
         at = np.cumsum(none) - 1
@@ -94,7 +95,7 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 _SKETCH = [f"s{k}" for k in range(SKETCH // 64)]
-_LANES = [f"m{k}" for k in range(2 * SIDE * TUPLE // 4)]     # four minhashes of 16 bits in each
+_LANES = [f"m{k}" for k in range(SIDE)]     # the tuples of both collections, two of 32 bits in each
 
 
 def _possible(left: str, right: str):
@@ -157,12 +158,13 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Possible pairs across components in the groups of a partition sorted by group; whole groups are in memory.
 
     A group holds one part of a bucket, of which all pairs count, or two parts, of which those between them count.
-    A pair is given by the first table that it shares.
+    A pair is given by the first table that it shares, by the tuples of both: whole hashes of 32 bits, which are as
+    unlike for long texts as for short ones.
     """
     def pairs(rows: pa.Table) -> pa.RecordBatch:
         at = {x: rows.column(x).to_numpy() for x in rows.column_names}
         sketch = [at[s].view(np.uint64) for s in _SKETCH]
-        lanes = np.ascontiguousarray(np.array([at[m] for m in _LANES]).T).view(np.uint16)
+        lanes = np.ascontiguousarray(np.array([at[m] for m in _LANES]).T).view(np.uint32)
         first = np.r_[True, (np.diff(at["key"]) != 0) | (np.diff(at["p"]) != 0) | (np.diff(at["q"]) != 0)]
         group, found = np.cumsum(first), []
         i, step = np.arange(rows.num_rows), 0
@@ -182,7 +184,7 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             fits = (100 + PERCENT) * differ <= (100 - PERCENT) * size
             l, r = l[fits], r[fits]
             agree = lanes[l] == lanes[r]
-            tuples = agree.reshape(len(l), 2, SIDE, TUPLE).all(axis=3).argmax(axis=2)
+            tuples = agree.reshape(len(l), 2, SIDE).argmax(axis=2)
             fits = tuples[:, 0] * SIDE + tuples[:, 1] == at["t"][l]
             found.append((at["id"][l[fits]], at["id"][r[fits]]))
         a, b = (np.concatenate([x[k] for x in found]) for k in (0, 1))
