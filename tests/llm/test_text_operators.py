@@ -11,8 +11,9 @@ import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from txn_analytics.llm import decontaminate, pieces, pii, quality_rules, token_counts
+from txn_analytics.llm import decontaminate, pieces, pii, quality_rules, queries, token_counts
 from txn_analytics.llm.queries import PIECES, read_model
+from txn_analytics.llm.words import NOT_SPACE, Words
 
 MODEL = read_model(PIECES)
 LIBRARY = sentencepiece.SentencePieceProcessor(model_file=PIECES)
@@ -85,6 +86,56 @@ def test_rules_judge_small_inputs(spark, documents):
     assert not kept.pop(2000) and all(kept.values())
 
 
+@pytest.mark.parametrize("good", [1, 5, 28, 29, 30, 31])
+def test_rules_judge_alike_whatever_the_number_of_texts(spark, good):
+    clean = " ".join(["the river of stone and a blue sky to walk"] + [f"w{i} of the" for i in range(150)])
+    other = " ".join(["der Fluss und ein Stein zu gehen"] + [f"v{i} und der" for i in range(150)])
+    junk = " ".join(f"W{i}*** $$$!!" for i in range(300))
+    rows = [(i, f"{clean} v{i}", "few") for i in range(good)] + [(500 + i, f"{other} v{i}", "many") for i in range(60)]
+    rows += [(2000 + i, f"{junk} {i}", tag) for i, tag in enumerate(("few", "many", "unknown", None))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    kept = {r.doc_id: r.kept for r in quality_rules.quality_rules(docs, quality_rules.learn_references(docs), ["doc_id"]).collect()}
+    assert {k for k, v in kept.items() if not v} == {2000, 2001, 2002, 2003}
+
+
+def brute_distances(text, refs):
+    """Least distances to the references, from their definition."""
+    def divergence(p, q):
+        m = [(a + b) / 2 for a, b in zip(p, q)]
+        return sum((a * np.log2(a / c) if a else 0) / 2 + (b * np.log2(b / c) if b else 0) / 2 for a, b, c in zip(p, q, m))
+    words = re.split("[\x20\x09-\x0D]+", text.strip(" \t\n\v\f\r"))
+    kinds = Counter()
+    for c in text:
+        byte = c.encode()[0]
+        kinds[int(quality_rules.CLASS_OF[byte])] += 1
+    p = [kinds[k] / len(text) for k in range(len(quality_rules.CLASSES))]
+    code = {w: Words(pa.array([w]), NOT_SPACE).hashes()[0] for w in set(words)}
+    shares = Counter(code[w] for w in words)
+    by_word = []
+    for places, own in refs.shares:
+        common = dict(zip(refs.words[places].tolist(), own.tolist()))
+        a = [shares[np.uint64(k)] / len(words) for k in common]
+        by_word.append(divergence([*a, 1 - sum(a)], [*common.values(), 1 - sum(common.values())]))
+    return np.sqrt([min(divergence(p, q) for q in refs.classes), min(by_word)])
+
+
+def test_distances_and_verdicts_against_brute_force(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    refs = quality_rules.learn_references(docs)
+    judged = {r.doc_id: r for r in quality_rules.quality_rules(docs, refs, ["doc_id", "text", "lang"]).collect()}
+    some = [r for r in judged.values() if r.n_words >= 50][:40]
+    for row in some:
+        assert np.allclose(brute_distances(row.text, refs), [row.char_distance, row.word_distance], atol=1e-9)
+    query = {r.doc_id: tuple(r) for r in queries.op9_quality_rules(spark, "/root/testdata/sf0.001").collect()}
+    assert query.keys() == judged.keys()
+    for doc_id, row in judged.items():
+        assert query[doc_id][1:7] == rule_counts(row.text)
+        assert query[doc_id][7] == row.kept and (row.kept or row.base_failed or row.n_words >= 50)
+    # What is dropped by distance is symbol junk, and no junk of the kind is left.
+    noisy = {k: sum(c in "#*$%&|" for c in r.text) > 0.3 * r.n_words for k, r in judged.items() if r.text and not r.base_failed and r.n_words >= 50}
+    assert {k for k, n in noisy.items() if n} == {k for k in noisy if not judged[k].kept}
+
+
 def test_rules_without_references_or_rows(documents, no_documents):
     empty = quality_rules.learn_references(no_documents)
     assert empty.languages == []
@@ -225,5 +276,19 @@ def test_histogram_counts_lengths_in_many_blocks(spark):
     assert rows[700].docs_at_least == 4900 and rows[700].tokens_truncated == 7 * sum(range(1, 100)) + 700 * 4900
 
 
+def test_op10_query_encodes_once_and_equals_the_library(spark):
+    folder = "/root/testdata/sf0.001"
+    histogram = queries.op10_token_counts(spark, folder)
+    assert "MapInArrow" not in histogram._jdf.queryExecution().executedPlan().toString()     # it reads the saved counts
+    texts = [r.text or "" for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
+    lengths = [len(LIBRARY.encode(x)) + 1 for x in texts]
+    rows = {r.n_tokens: r for r in histogram.collect()}
+    assert {k: r.n_docs for k, r in rows.items()} == Counter(lengths)
+    for k, r in rows.items():
+        longer = [x for x in lengths if x >= k]
+        assert (r.docs_at_least, r.tokens_at_least, r.docs_up_to, r.tokens_truncated) == (
+            len(longer), sum(longer), sum(x <= k for x in lengths), sum(min(x, k) for x in lengths))
+
+
 def test_words_of_a_benchmark_item():
     assert decontaminate.normalised(None) == [] and decontaminate.normalised("A-b Ü") == [b"a", b"b", "Ü".encode()]

@@ -1,18 +1,21 @@
 """Quality rules: counts of a text, and how far its histograms are from those of the languages of the corpus.
 
-A language reference is learnt from the documents tagged with the language: the mean histogram of character
-classes, and the shares of its common words. Documents far from a first mean of all of them are left out of the
-final one, so that junk does not bend it. Languages with too few texts to learn from share one pooled reference
-with texts without a tag, if these are enough together or no language has its own. A text is compared with the
-references of all languages, one without a reference of its own language also with the pooled one, by
-Jensen-Shannon distance (base 2, square root, 0 to 1). The nearest one counts, since tags can be wrong and texts
-can be mixed. So every text is judged whatever its tag is and however many documents other languages have; only
-texts with few words are not judged by distance.
-
-References take three passes. The first counts the texts of each language. The second also finds words that can be common: a word whose share of a language is
+A language reference is learnt from the documents tagged with the language: the mean histogram of character classes, and
+the shares of its common words. Documents far from a first mean are left out of the final one, so that junk does not
+bend it. Means of languages with few documents lean towards the mean of all documents, by weight and with no threshold;
+only how letters divide into kinds is always the language's own, so that any script can be common. Texts without a tag
+are one more language.
+
+A text is compared with the references of all languages by Jensen-Shannon distance (base 2, square root, 0 to 1), and the
+nearest one counts, since tags can be wrong and texts can be mixed. A reference of few words is known with an error. The
+text's own language is given the benefit of that error, and other languages are not: it is added to their distance. So a
+text is judged the same way whatever its tag is and however many documents its language or another one has; only texts
+with few words are not judged by distance.
+
+References take two passes. The first also finds words that can be common: a word whose share of a language is
 ``1.5 * COMMON`` has at least ``COMMON`` of it left when every slice of text leaves out the words below half of
 ``COMMON`` of the slice. That leaves at most ``1 / COMMON`` words a language; the last pass counts them exactly
-and keeps those with ``2 * COMMON``.
+and keeps those with ``2 * COMMON`` and ``CHANCE`` occurrences more.
 """
 
 from collections import defaultdict
@@ -35,13 +38,16 @@ WINDOW = 8
 SYMBOLS = "#*$%&|<>"
 
 JUDGED_WORDS = 50         # distances are taken from this many words on
-# Most distance of a long text, and what a short one may have more, over the square root of its words.
-CHAR_DISTANCE = 0.12, 1.4
-WORD_DISTANCE = 0.15, 2.2
-TRIM = 0.15               # documents farther from the first mean do not enter the final reference
+# Most distance of a long text; what a short one may have more, over the square root of its words; and what a reference
+# adds to that by documents that are not alike, over the square root of their number.
+CHAR_DISTANCE = 0.12, 1.4, 0.1
+WORD_DISTANCE = 0.15, 2.2, 0.3
+TRIM = 0.15, 0.3          # documents farther from the first mean do not enter the final one; more over the root of their number
 COMMON = 0.001            # half the least share of a common word
-LEAST_DOCUMENTS = 30      # languages with fewer documents to learn from share the pooled reference
-POOL = None               # its name; no tag is NULL
+CHANCE = 3                # occurrences by which a common word exceeds its least share
+LEAN = 30                 # documents of all languages that a language's own mean of classes is mixed with
+MOST_TAGS = 1000          # rarer tags are one language with the texts that have none: bounds what tasks are sent
+LETTERS = [0, 1, 7]       # the classes of letters
 
 CLASSES = ["lower", "upper", "digit", "space", "sentence", "bracket", "symbol", "beyond ASCII"]
 CLASS_OF = np.full(256, 6, np.int8)
@@ -58,14 +64,18 @@ _IS_SYMBOL[list(SYMBOLS.encode())] = True
 
 @dataclass
 class References:
-    """Of each language, the pool last: shares of character classes, and of its common words by hash.
+    """Of each language: shares of character classes and of its common words by hash, and from how many words
+    and documents they are.
 
-    ``shares`` has the places in ``words`` and the shares of each language: at most 16 bytes for 500 words.
+    The language of no tag is NULL. ``shares`` has the places in ``words`` and the shares of each language: at most 16
+    bytes for 500 words.
     """
     languages: list[str | None] = field(default_factory=list)
     classes: np.ndarray = field(default_factory=lambda: np.zeros((0, len(CLASSES))))
     words: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
     shares: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)
+    sizes: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    documents: np.ndarray = field(default_factory=lambda: np.zeros(0))
 
 
 def class_counts(words: Words) -> np.ndarray:
@@ -92,44 +102,27 @@ def _distance(divergence: np.ndarray) -> np.ndarray:
     return np.sqrt(np.clip(divergence, 0, 1))
 
 
-@dataclass
-class Groups:
-    """Who learns from which documents: languages from their own, the pool, where there is one, from all others."""
-    known: set[str]
-    pool: bool
-
-    def of(self, tags: pa.Array) -> Iterator[tuple[str | None, np.ndarray]]:
-        """Each group with a document, and whether each document is in it."""
-        tags = tags.dictionary_encode()
-        codes = tags.indices.fill_null(-1).to_numpy(zero_copy_only=False)
-        others = np.ones(len(codes), bool)
-        for code, lang in enumerate(tags.dictionary.to_pylist()):
-            if lang in self.known:
-                own = codes == code
-                yield lang, own
-                others &= ~own
-        if self.pool and others.any():
-            yield POOL, others
-
-
-def _judged_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, judged) of each slice: the texts that are long enough to learn from."""
-    for batch in (part for whole in batches for part in steps(whole, "text")):
-        long = pa.array(Words(batch.column("text"), NOT_SPACE).counts >= JUDGED_WORDS)
-        found = batch.column("lang").filter(long).value_counts()
-        yield pa.RecordBatch.from_arrays([found.field(0), found.field(1)], ["lang", "judged"])
-
-
-def _groups(docs: DataFrame) -> Groups:
-    counts = saved(docs.mapInArrow(_judged_texts, "lang string, judged bigint").groupBy("lang").agg(
-        F.sum("judged").alias("judged")), "languages")
-    own = (F.col("judged") >= LEAST_DOCUMENTS) & F.col("lang").isNotNull()
-    known = {row.lang for row in counts.filter(own).select("lang").collect()}
-    pooled = counts.filter(~own).agg(F.coalesce(F.sum("judged"), F.lit(0))).collect()[0][0]
-    return Groups(known, pooled >= LEAST_DOCUMENTS or not known)
-
-
-def _learn(groups: Groups, words_of: np.ndarray | None, means: dict[str | None, np.ndarray]):
+def _tags(docs: DataFrame) -> set[str]:
+    """The most frequent tags."""
+    counts = docs.filter("lang IS NOT NULL").groupBy("lang").agg(F.count("*").alias("n"))
+    return {row.lang for row in counts.orderBy(F.desc("n"), "lang").limit(MOST_TAGS).collect()}
+
+
+def _by_language(known: set[str], tags: pa.Array) -> Iterator[tuple[str | None, np.ndarray]]:
+    """Each language with a document, and whether each document is of it."""
+    tags = tags.dictionary_encode()
+    codes = tags.indices.fill_null(-1).to_numpy(zero_copy_only=False)
+    others = np.ones(len(codes), bool)
+    for code, lang in enumerate(tags.dictionary.to_pylist()):
+        if lang in known:
+            own = codes == code
+            yield lang, own
+            others &= ~own
+    if others.any():
+        yield None, others
+
+
+def _learn(known: set[str], words_of: np.ndarray | None, means: dict[str | None, tuple[np.ndarray, float]]):
     """Rows of (lang, kind, key, value): documents and class shares, and words of each slice.
 
     Without ``words_of`` the words are those that can be common, else they are the given ones. Only documents
@@ -142,9 +135,10 @@ def _learn(groups: Groups, words_of: np.ndarray | None, means: dict[str | None,
             wanted = np.ones(len(hashes), bool) if words_of is None else np.isin(hashes, words_of)
             shares = _shares(class_counts(words))
             rows = []
-            for lang, own_texts in groups.of(batch.column("lang")):
+            for lang, own_texts in _by_language(known, batch.column("lang")):
                 if lang in means:
-                    own_texts = own_texts & (_distance(_term(shares, means[lang][None, :]).sum(axis=1)) <= TRIM)
+                    mean, most = means[lang]
+                    own_texts = own_texts & (_distance(_term(shares, mean[None, :]).sum(axis=1)) <= most)
                 judged = own_texts & (words.counts >= JUDGED_WORDS)
                 rows.append((lang, "judged", 0, float(judged.sum())))
                 rows += [(lang, "class", k, float(x)) for k, x in enumerate(shares[judged].sum(axis=0))]
@@ -163,14 +157,14 @@ def _learn(groups: Groups, words_of: np.ndarray | None, means: dict[str | None,
     return learn
 
 
-def _learnt(docs: DataFrame, groups: Groups, words_of: np.ndarray | None, means: dict[str | None, np.ndarray]) -> dict:
+def _learnt(docs: DataFrame, known: set[str], words_of: np.ndarray | None, means: dict[str | None, tuple[np.ndarray, float]]) -> dict:
     """{lang: {kind: {key: sum}}}; bounded by the classes and 1 / COMMON words of each language."""
-    sums = saved(docs.mapInArrow(_learn(groups, words_of, means), "lang string, kind string, key bigint, value double").groupBy(
+    sums = saved(docs.mapInArrow(_learn(known, words_of, means), "lang string, kind string, key bigint, value double").groupBy(
         "lang", "kind", "key").agg(F.sum("value").alias("value")), "histograms")
     totals = sums.filter("kind = 'words'").select(F.col("lang").alias("_lang"), F.col("value").alias("words"))
-    least = COMMON if words_of is None else 2 * COMMON
+    least, more = (COMMON, 0) if words_of is None else (2 * COMMON, CHANCE)
     rows = sums.join(totals, F.col("lang").eqNullSafe(F.col("_lang"))).filter(
-        (F.col("kind") != "word") | (F.col("value") >= least * F.col("words")))
+        (F.col("kind") != "word") | (F.col("value") >= least * F.col("words") + more))
     out: dict = defaultdict(lambda: defaultdict(dict))
     for row in rows.select("lang", "kind", "key", "value").collect():
         out[row.lang][row.kind][row.key] = row.value
@@ -178,28 +172,29 @@ def _learnt(docs: DataFrame, groups: Groups, words_of: np.ndarray | None, means:
 
 
 def _means(learnt: dict) -> dict[str | None, np.ndarray]:
-    """Mean shares of the classes in each language with a judged document."""
+    """Mean shares of the classes in each language with a judged document, leaning towards those of all of them."""
     found = {x: np.array([learnt[x]["class"].get(k, 0.0) for k in range(len(CLASSES))])
-             for x in sorted(learnt, key=lambda x: (x is POOL, x)) if learnt[x]["judged"].get(0, 0)}
-    return {x: shares / shares.sum() for x, shares in found.items()}
+             for x in sorted(learnt, key=lambda x: (x is None, x)) if learnt[x]["judged"].get(0, 0)}
+    if not found:
+        return {}
+    everything = sum(found.values()) / sum(learnt[x]["judged"][0] for x in found)
+    means = {}
+    for x, sums in found.items():
+        mixed = (sums + LEAN * everything) / (learnt[x]["judged"][0] + LEAN)
+        if sums[LETTERS].sum() > 0:
+            mixed[LETTERS] = mixed[LETTERS].sum() * sums[LETTERS] / sums[LETTERS].sum()
+        means[x] = mixed / mixed.sum()
+    return means
 
 
 def learn_references(docs: DataFrame, text: str = "text", lang: str = "lang") -> References:
-    """References of the languages of all documents, and the pooled one. Without any text there are none.
-
-    Where under half of the documents, and under ``LEAST_DOCUMENTS``, lie near the first mean, there is no common
-    kind to keep junk from, and all of them enter.
-    """
+    """References of the languages of all documents. Without any text of 50 words there are none, nor without one near the mean."""
     docs = docs.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
-    groups = _groups(docs)
-    first = _learnt(docs, groups, None, {})
+    known = _tags(docs)
+    first = _learnt(docs, known, None, {})
     candidates = np.unique(np.array(sorted({k for x in first.values() for k in x["word"]}), np.int64).view(np.uint64))
-    means = _means(first)
-    learnt = _learnt(docs, groups, candidates, means)
-    few = {x for x in means if learnt[x]["judged"].get(0, 0) < min(LEAST_DOCUMENTS, first[x]["judged"][0] / 2)}
-    if few:
-        again = _learnt(docs, groups, candidates, {x: mean for x, mean in means.items() if x not in few})
-        learnt |= {x: again[x] for x in few}
+    near = {x: (mean, TRIM[0] + TRIM[1] / np.sqrt(first[x]["judged"][0])) for x, mean in _means(first).items()}
+    learnt = _learnt(docs, known, candidates, near)
     means = _means(learnt)
     if not means:
         return References()
@@ -208,21 +203,19 @@ def learn_references(docs: DataFrame, text: str = "text", lang: str = "lang") ->
     for x in means:
         found = np.array(list(learnt[x]["word"]), np.int64).view(np.uint64)
         shares.append((np.searchsorted(words, found), np.array(list(learnt[x]["word"].values()), float) / learnt[x]["words"][0]))
-    return References(list(means), np.array(list(means.values())), words, shares)
+    return References(list(means), np.array(list(means.values())), words, shares, *[np.array([learnt[x][kind][0] for x in means]) for kind in ("words", "judged")])
 
 
-def _distances(words: Words, hashes: np.ndarray, refs: References, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Least distance of each text to a reference, by characters and by common words; 0 without references.
+def _distances(words: Words, hashes: np.ndarray, refs: References, own: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """By characters, then by common words: the least distance of each text to a reference, and the least with errors.
 
-    Texts that have a reference of their ``own`` language are not compared with the pooled one.
+    ``own`` is the place of the language of each text in ``refs``, -1 without one. Without references, and by words
+    without common words, both are 0.
     """
     n = len(words.counts)
-    if not refs.languages:
-        return np.zeros(n), np.zeros(n)
     p = _shares(class_counts(words))
-    counts = [~own if x is POOL else np.ones(n, bool) for x in refs.languages]
-    chars = np.min([np.where(c, _term(p, q[None, :]).sum(axis=1), 1) for c, q in zip(counts, refs.classes)], axis=0)
-    by_word = np.ones(n)
+    by_char = [_distance(_term(p, q[None, :]).sum(axis=1)) for q in refs.classes]
+    by_word = []
     if len(refs.words):
         at = np.minimum(np.searchsorted(refs.words, hashes), len(refs.words) - 1)
         common = refs.words[at] == hashes
@@ -230,16 +223,20 @@ def _distances(words: Words, hashes: np.ndarray, refs: References, own: np.ndarr
         text, word = keys // len(refs.words), keys % len(refs.words)
         share = count / words.counts[text]
         q = np.zeros(len(refs.words))
-        for c, (places, shares) in zip(counts, refs.shares):
+        for places, shares in refs.shares:
             q[:] = 0
             q[places] = shares
             its = q[word] > 0
             inside = np.bincount(text[its], share[its], n)
             met = np.bincount(text[its], (_term(share, q[word]) - q[word] / 2)[its], n)
-            by_word = np.where(c, np.minimum(by_word, met + shares.sum() / 2 + _term(1 - inside, 1 - shares.sum())), by_word)
-    else:
-        by_word = np.zeros(n)
-    return _distance(chars), _distance(by_word)
+            by_word.append(_distance(met + shares.sum() / 2 + _term(1 - inside, 1 - shares.sum())))
+    for distances, (_, more, unlike) in ((by_char, CHAR_DISTANCE), (by_word, WORD_DISTANCE)):
+        if not distances:
+            yield np.zeros(n), np.zeros(n)
+            continue
+        errors = more / np.sqrt(refs.sizes) + unlike / np.sqrt(refs.documents)
+        yield np.min(distances, axis=0), np.min([
+            np.where(own == k, x - error, x + error) for k, (x, error) in enumerate(zip(distances, errors))], axis=0)
 
 
 def repeated_words(words: Words, hashes: np.ndarray) -> np.ndarray:
@@ -274,7 +271,7 @@ def repeated_lines(words: Words) -> np.ndarray:
 
 
 def _judge(refs: References, name: str):
-    languages = set(refs.languages)
+    place = {lang: k for k, lang in enumerate(refs.languages)}
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for whole in batches for part in steps(whole, name)):
@@ -287,10 +284,10 @@ def _judge(refs: References, name: str):
             n = words.counts
             again = segment_sums(repeated_words(words, hashes), words.first)
             failed = (n < MIN_WORDS) | (100 * again > MOST_REPEATED * n)
-            own = np.array([x is not None and x in languages for x in batch.column("_lang").to_pylist()], bool)
-            chars, common = _distances(words, hashes, refs, own)
-            limits = (base + more / np.sqrt(np.maximum(n, 1)) for base, more in (CHAR_DISTANCE, WORD_DISTANCE))
-            far = (n >= JUDGED_WORDS) & ((chars > next(limits)) | (common > next(limits)))
+            own = np.array([place.get(x, place.get(None, -1)) for x in batch.column("_lang").to_pylist()], np.int64)
+            (chars, chars_at_best), (common, common_at_best) = _distances(words, hashes, refs, own)
+            limits = (base + more / np.sqrt(np.maximum(n, 1)) for base, more, _ in (CHAR_DISTANCE, WORD_DISTANCE))
+            far = (n >= JUDGED_WORDS) & ((chars_at_best > next(limits)) | (common_at_best > next(limits)))
             kept = [x for x in batch.schema.names if x not in ("_text", "_lang")]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(name) for name in kept] + [
@@ -312,7 +309,7 @@ def quality_rules(docs: DataFrame, references: References, columns: list[str], t
 
     A NULL text has no words and fails, as does any text with fewer than 20 words. A text is kept if it does
     not fail and is not far from every reference; one with fewer than 50 words is not judged by distance, and none
-    is without references. Repeated rows are judged alike. An empty table gives no rows. ``columns`` may be any but
+    is without references. Distances are the plain ones, 0 without references. Repeated rows are judged alike. An empty table gives no rows. ``columns`` may be any but
     the added names.
     """
     own = [] if text in columns else [F.col(text).alias("_text")]     # a text that is kept is not sent twice
