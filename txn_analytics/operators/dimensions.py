@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from txn_analytics.cluster import materialise
 from txn_analytics.functions.dates import as_date
 from txn_analytics.operators.blocks import Rank, with_ranks
 
@@ -40,16 +41,33 @@ def name_dimension(names: DataFrame, column: str, id_column: str, name_column: s
 
     Other columns of ``names`` go along with their name.
     """
-    distinct = names.filter(F.col(column).isNotNull()).distinct()
+    return _numbered(names, column, id_column, name_column, F.lit(0))
+
+
+def _numbered(names: DataFrame, column: str, id_column: str, name_column: str, after) -> DataFrame:
+    """Numbers from ``after`` on. The names are derived once, and both the count and the places read the result."""
+    distinct = materialise(names.filter(F.col(column).isNotNull()).distinct())
     rest = [name for name in names.columns if name != column]
     from_the_end = with_ranks(distinct, column, rest, [Rank("_number", "number")])
     how_many = distinct.agg(F.count("*")).scalar()
     return from_the_end.select(
-        (how_many + 1 - F.col("_number")).cast("int").alias(id_column),
+        (after + how_many + 1 - F.col("_number")).cast("int").alias(id_column),
         F.col(column).alias(name_column), *rest,
     ).orderBy(id_column)
 
 
+def extend_name_dimension(stored: DataFrame, names: DataFrame, column: str, id_column: str, name_column: str) -> DataFrame:
+    """The stored dimension, unchanged, and behind it the names that it does not have yet.
+
+    New names go on from the highest stored number, in name order: a number once given stays, also where a new name
+    sorts before old ones. Without new names nothing changes; a name that is no longer used keeps its number.
+    """
+    new = names.join(stored.select(F.col(name_column).alias(column)), column, "left_anti")
+    highest = stored.agg(F.coalesce(F.max(id_column), F.lit(0))).scalar()
+    added = _numbered(new, column, id_column, name_column, highest)
+    return stored.unionByName(added, allowMissingColumns=True).orderBy(id_column)
+
+
 def apply_defaults(df: DataFrame, load_date=None) -> DataFrame:
     """Fills ``is_anomaly`` with false and ``load_date`` with now (or the given time) where they are missing."""
     now = F.current_timestamp() if load_date is None else F.lit(load_date).cast("timestamp")

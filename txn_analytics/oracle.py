@@ -606,6 +606,37 @@ and customer_id not in (select customer_id from cust) group by customer_id""",
     "check_foreign_key_inactive": _with(LINES, VALID, CUSTOMERS) + """
 select customer_id, count(*) as rows from cust
 where not exists (select 1 from valid where valid.customer_id = cust.customer_id) group by customer_id""",
+    "load_events_keyed": _with(EVENTS, """
+given as (select *, cast(transaction_id as bigint) id, 0 as again from lines
+          union all select * replace (cents + 100 as cents), cast(transaction_id as bigint), 1 from lines
+          where cast(transaction_id as bigint) % 101 = 0)""", """
+sound as (select *, cast(customer_id as bigint) % 50 = 0 orphan from given where id % 97 <> 0)""") + """
+select 'fact_transactions' measure, count(*) as rows, cast(sum(cents) as double) / 100 total_volume from sound where not orphan and again = 0
+union all select 'duplicate_transactions', count(*), cast(sum(cents) as double) / 100 from sound where not orphan and again = 1
+union all select 'orphan_transactions', count(*), cast(sum(cents) as double) / 100 from sound where orphan
+union all select 'rejected_transactions', count(*), null from given where id % 97 = 0
+union all select 'dim_customers', count(*), null from customer where c_custkey % 50 <> 0
+union all select 'duplicate_customers', count(*), null from customer where c_custkey % 50 <> 0 and c_custkey % 7 = 0""",
+    "load_lines_keyed": _with(LINES, """
+numbered as (
+  select * replace (split_part(transaction_id, '-', 1) || '-' || split_part(transaction_id, '-', 2) as transaction_id),
+         cast(customer_id as bigint) % 50 = 0 orphan from lines)""", """
+judged as (
+  select *, case when orphan then 'orphan' when row_number() over (
+      partition by transaction_id, orphan
+      order by date, customer_id, segment, branch, product, transaction_type, category, cents, status) = 1
+    then 'kept' else 'duplicate' end verdict from numbered)""") + f"""
+select verdict, year(date) * 100 + month(date) load_month, count(*) transactions, count(distinct transaction_id) ids, {VOLUME}
+from judged group by all""",
+    "load_month_twice": _with(LINES, """
+months as (select *, year(date) * 100 + month(date) load_month from lines)""") + f"""
+select 'fact' as "table", load_month, count(*) transactions,
+       {_rm('sum(cents + case when load_month = 199803 then 100 else 0 end)')} total_volume from months group by load_month
+union all select 'duplicate', 199803, count(*), {_rm('sum(cents + 100)')} from months where load_month = 199804
+having count(*) > 0""",
+    "dim_branch_second_load": _with(LINES) + """
+select cast(row_number() over (order by coalesce(r_name <> 'EUROPE', true), branch) as integer) branch_id, branch branch_name, r_name region
+from (select distinct branch from lines where branch is not null) left join nation on n_name = branch left join region on r_regionkey = n_regionkey""",
     "check_not_null_transactions": _with(LINES) + "\nunion all ".join(
         f"""select '{name}' as "column", count(*) - count({'cents' if name == 'amount' else name}) nulls from lines"""
         for name in FACT_TYPES),

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from txn_analytics import model
 from txn_analytics.cluster import scratch_path
 from txn_analytics.operators import (
-    anomalies, dimensions, measures as m, quality, ranking, running, segments, shares, trend,
+    anomalies, dimensions, keys, measures as m, quality, ranking, running, segments, shares, trend,
 )
 from txn_analytics.plans import customer_report, load as load_plan, period_report as report, product_report
 from txn_analytics.sources import files, retail_tables as tables
@@ -123,6 +123,61 @@ def _load_of_events(spark: SparkSession, folder: str) -> DataFrame:
         df.agg(F.count("*").alias("rows")).select(F.lit(name).alias("measure"), "rows") for name, df in counted.items()])
 
 
+def _keyed_load_of_events(spark: SparkSession, folder: str) -> DataFrame:
+    """A load of events whose keys hold: every 101st row comes again with a larger amount, every 50th customer is missing."""
+    path = scratch_path(spark, "csv")
+    event = F.col("transaction_id").cast("long")
+    rows = tables.event_transactions(spark, folder)
+    again = rows.filter(event % 101 == 0).withColumn("amount", (F.col("amount") + 1).cast("decimal(15,2)"))
+    rows = rows.unionByName(again).withColumn("amount", F.when(event % 97 == 0, "n/a").otherwise(F.col("amount").cast("string")))
+    rows.write.option("header", True).csv(f"{path}/transactions")
+    holders = tables.customers(spark, folder).filter(F.col("customer_id").cast("long") % 50 != 0)
+    holders.unionByName(holders.filter(F.col("customer_id").cast("long") % 7 == 0)).write.option("header", True).csv(f"{path}/customers")
+    load_plan.load_keyed(spark, f"{path}/transactions", f"{path}/customers", f"{path}/tables", "2024-02-01 00:00:00")
+    names = [*load_plan.TABLES.values(), "rejected_transactions", "dim_customers", "duplicate_customers"]
+
+    def counted(name):
+        df = files.read_table(spark, f"{path}/tables/{name}")
+        amount = F.sum("amount") if "amount" in df.columns and name != "rejected_transactions" else F.lit(None)
+        return df.agg(F.count("*").alias("rows"), amount.cast("double").alias("total_volume")).select(
+            F.lit(name).alias("measure"), "rows", "total_volume")
+    return reduce(DataFrame.unionByName, map(counted, names))
+
+
+def _keyed_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Order lines by order and line number, which repeat: what is kept and what is set apart, by month."""
+    rows = tables.transactions(spark, folder).withColumn(
+        "transaction_id", F.array_join(F.slice(F.split("transaction_id", "-"), 1, 2), "-"))
+    holders = tables.customers(spark, folder).filter(F.col("customer_id").cast("long") % 50 != 0).select("customer_id")
+    judged = keys.with_verdicts(rows, "transaction_id", {"customer_id": holders})
+    return presentable(judged.groupBy(keys.VERDICT, (F.year("date") * 100 + F.month("date")).alias("load_month")).agg(
+        F.count("*").alias("transactions"), F.countDistinct("transaction_id").alias("ids"), F.sum("amount").alias("total_volume")))
+
+
+def _month_loaded_twice(spark: SparkSession, folder: str) -> DataFrame:
+    """The fact, then twice a new March 1998 in it: amounts one higher, and keys of April, which are not taken."""
+    path = scratch_path(spark, "tables")
+    fact = f"{path}/fact_transactions"
+    files.write_table(tables.transactions(spark, folder), fact)
+    march = F.col("date").between("1998-03-01", "1998-03-31")
+    new = tables.transactions(spark, folder).filter(F.col("date").between("1998-03-01", "1998-04-30")).withColumns({
+        "amount": (F.col("amount") + 1).cast("decimal(15,2)"),
+        "date": F.when(march, F.col("date")).otherwise(F.lit("1998-03-31").cast("date"))})
+    for _ in range(2):
+        refused = load_plan.load_months(new, tables.customers(spark, folder), path)
+    loaded = files.read_table(spark, fact).select("load_month", "amount", F.lit("fact").alias("table"))
+    return presentable(loaded.unionByName(refused.select(F.lit(199803).alias("load_month"), "amount", F.col("verdict").alias("table"))).groupBy(
+        "table", "load_month").agg(F.count("*").alias("transactions"), F.sum("amount").alias("total_volume")))
+
+
+def _branches_of_two_loads(spark: SparkSession, folder: str) -> DataFrame:
+    """Branches of Europe first, then those of all lines: the first keep their numbers."""
+    used = tables.transactions(spark, folder, ["branch"]).distinct()
+    names = used.join(tables.branches(spark, folder), "branch", "left")
+    first = dimensions.name_dimension(names.filter("region = 'EUROPE'"), "branch", "branch_id", "branch_name")
+    return presentable(dimensions.extend_name_dimension(first, names, "branch", "branch_id", "branch_name"))
+
+
 def _csv_customers(spark: SparkSession, folder: str) -> DataFrame:
     """Customers written as CSV and read back in the declared types."""
     path = scratch_path(spark, "customers")
@@ -346,9 +401,13 @@ QUERIES: dict[str, Query] = {
     "load_transactions": _loaded_table,
     "load_transactions_whole": _whole_loaded_table,
     "load_events_checks": _load_of_events,
+    "load_events_keyed": _keyed_load_of_events,
+    "load_lines_keyed": _keyed_lines,
+    "load_month_twice": _month_loaded_twice,
     "dim_date": _all("date", dimensions.date_dimension_of),
     "dim_product": lambda s, d: presentable(_products(s, d)),
     "dim_branch": lambda s, d: presentable(_branches(s, d)),
+    "dim_branch_second_load": _branches_of_two_loads,
     "load_defaults": _all(
         "transaction_id", lambda t: dimensions.apply_defaults(t, "2002-01-01 00:00:00")
         .withColumn("load_date", F.col("load_date").cast("string"))),

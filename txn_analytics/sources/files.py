@@ -1,5 +1,6 @@
 """Reading and writing the model's tables."""
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -56,17 +57,65 @@ def _month_number(day) -> Column:
     return F.year(day) * 100 + F.month(day)
 
 
+def _by_month(df: DataFrame) -> DataFrame:
+    """Rows with the month that names their folder, dealt so that large months are split.
+
+    Rows are not gathered by month first (one month may hold a third of them): Spark sizes the output partitions.
+    """
+    return df.withColumn("load_month", _month_number(F.col("date"))).hint("rebalance", "load_month")
+
+
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", by_month: bool = True) -> None:
     """Writes a table, facts in one folder per month so that a date filter opens only its months.
 
-    Rows are not gathered by month first (one month may hold a third of them): Spark sizes the output
-    partitions and splits large months.
+    An overwrite is written beside the table and put in its place at the end: if the job fails, the old table stays.
     """
-    if not (by_month and "date" in df.columns):
-        df.write.mode(mode).parquet(path)
+    if by_month and "date" in df.columns:
+        writer = _by_month(df).write.partitionBy("load_month")
+    else:
+        writer = df.write
+    if mode != "overwrite":
+        writer.mode(mode).parquet(path)
         return
-    rows = df.withColumn("load_month", _month_number(F.col("date")))
-    rows.hint("rebalance", "load_month").write.mode(mode).partitionBy("load_month").parquet(path)
+    staged = staging_path(path)
+    writer.parquet(staged)
+    publish(df.sparkSession, staged, path)
+
+
+def replace_months(df: DataFrame, path: str) -> None:
+    """Puts the rows in place of all rows that the table has for their months; other months stay as they are.
+
+    Loading the same rows again changes nothing. All files are written to a staging folder first and moved when the
+    whole job has succeeded (dynamic partition overwrite), so a load that fails leaves every month as it was. Rows
+    without a date are a month of their own. ``df`` must not read the months that it replaces from the same table.
+    """
+    _by_month(df).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("load_month").parquet(path)
+
+
+def staging_path(path: str) -> str:
+    """A new folder next to ``path``. Its name begins with an underscore: readers of the parent pass over it."""
+    parent, name = path.rstrip("/").rsplit("/", 1)
+    return f"{parent}/_{name}-{uuid.uuid4().hex}"
+
+
+def publish(spark: SparkSession, staged: str, path: str) -> None:
+    """Puts a finished folder in the place of ``path``: the old one is moved aside, the new one in, the old one deleted.
+
+    Two renames, each atomic where the file system's are. If the second fails, the old folder is moved back.
+    """
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    new, place, old = hadoop.Path(staged), hadoop.Path(path), hadoop.Path(staging_path(path))
+    system = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    system.mkdirs(place.getParent())
+    had = system.exists(place)
+    if had and not system.rename(place, old):
+        raise OSError(f"{path} cannot be moved aside")
+    if not system.rename(new, place):
+        if had:
+            system.rename(old, place)
+        raise OSError(f"{staged} cannot be moved to {path}")
+    if had:
+        system.delete(old, True)
 
 
 def extract(txn: DataFrame, first, last) -> DataFrame:
@@ -77,10 +126,23 @@ def extract(txn: DataFrame, first, last) -> DataFrame:
     return rows
 
 
+def month_predicates(months: list[tuple[str, str]], column: str = "date") -> list[str]:
+    """Conditions that share out all rows among queries: one for each (first day, first day of the next month).
+
+    The months must follow each other. Rows before the first, after the last and without a date have conditions of their
+    own, so that every row meets exactly one.
+    """
+    if any(after != first for (_, after), (first, _) in zip(months, months[1:])):
+        raise ValueError("months do not follow each other")
+    inside = [f"{column} >= '{first}' AND {column} < '{after}'" for first, after in months]
+    if not months:
+        return ["1 = 1"]
+    return [f"{column} < '{months[0][0]}'", *inside, f"{column} >= '{months[-1][1]}'", f"{column} IS NULL"]
+
+
 def read_jdbc(spark: SparkSession, url: str, table: str, months: list[tuple[str, str]], **options) -> DataFrame:
-    """A fact table from a database, one query per (first day, first day of the next month)."""
-    predicates = [f"date >= '{first}' AND date < '{after}'" for first, after in months]
-    return spark.read.jdbc(url, table, predicates=predicates, properties=options)
+    """A fact table from a database, in one query per month and three for all other rows."""
+    return spark.read.jdbc(url, table, predicates=month_predicates(months), properties=options)
 
 
 def result_folder(folder: str, as_of) -> str:
