@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from txn_analytics.operators.blocks import Rank, with_ranks
+from txn_analytics.operators.blocks import Rank, ordered_blocks, with_ranks, with_running_sums
 from txn_analytics.operators.ranking import global_rank, rank_within_segment
 from txn_analytics.operators.running import running_by_customer
 
@@ -109,3 +109,32 @@ def test_last_running_total_is_the_volume(skewed):
         F.max("running_total").alias("total"))
     volumes = skewed.groupBy("customer_id").agg(F.sum("amount").alias("total"))
     _same(totals, volumes)
+
+
+@pytest.mark.parametrize("blocks", [2, 9, 40])
+def test_running_totals_where_one_day_has_nearly_all_rows(spark, make_transactions, blocks):
+    chance = random.Random(blocks)
+    rows = make_transactions(*[{
+        "customer_id": None if at % 3 == 0 else "HOT" if at % 25 else f"C{chance.randint(0, 9)}", "date": "2024-02-10" if at % 17 else "2024-02-11",
+        "amount": str(Decimal(chance.randint(0, 99999)) / 100)} for at in range(500)])
+    rows = rows.withColumn("amount", F.when(F.substring("transaction_id", 2, 6).cast("int") % 5 != 0, F.col("amount"))) if blocks == 9 else rows
+    running = running_by_customer(rows, blocks)
+    _same(running.withColumn("running_avg", F.col("running_avg").cast("decimal(30,6)")), _plain_running(rows))
+
+
+def test_running_sums_spread_a_hot_day_over_the_blocks(spark):
+    rows = spark.range(4000).selectExpr("'HOT' AS g", "1 AS day", "id", "cast(1 AS decimal(10,2)) AS v")
+    summed = with_running_sums(rows, "g", ["day", "id"], {"total": "v"}, 16)
+    assert summed.filter("total <> id + 1 OR _seen <> id + 1").count() == 0 and summed.columns == ["g", "day", "id", "v", "total", "_seen"]
+    sizes = [r["count"] for r in ordered_blocks(rows, ["g", "day", "id"], 16).groupBy("_block").count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 4 * 4000 / 16
+    assert with_running_sums(rows.limit(0), "g", ["day", "id"], {"total": "v"}).count() == 0
+
+
+def test_ranks_alike_share_one_summary(spark):
+    df = spark.range(500).selectExpr("id AS k", "id % 7 AS v", "id % 3 AS g")
+    ranked = with_ranks(df, "v", ["k"], [Rank("a"), Rank("b", "dense"), Rank("c", "number")], 8)
+    plan = ranked._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1 and ranked.columns == ["k", "v", "g", "a", "b", "c"]
+    physical = ranked._jdf.queryExecution().executedPlan().toString()
+    assert physical.count("Sort [") == 1      # the order of the numbers serves the other ranks too

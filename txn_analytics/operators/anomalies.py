@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from txn_analytics.cluster import join_lookup
 from txn_analytics.functions.dates import month_label, quarter_code
 from txn_analytics.functions.values import completed_or_pending
+from txn_analytics.operators import states
 
 
 def enrich_time(txn: DataFrame) -> DataFrame:
@@ -19,15 +20,16 @@ def enrich_time(txn: DataFrame) -> DataFrame:
 
 
 def flag_anomalies(txn: DataFrame, by: str = "segment", deviations: float = 3,
-                   limits_from: DataFrame | None = None) -> DataFrame:
+                   limits_from: DataFrame | None = None, moments: DataFrame | None = None) -> DataFrame:
     """Sets ``is_anomaly`` on rows above the mean of their group by so many sample deviations.
 
     Mean and deviation come from the rows that did not fail, and failed rows are never flagged. A group
     of one row has no deviation and no flag. ``limits_from`` may hold the same rows with only the group, the
-    amount and the status, so that the limits need no other column of a view.
+    amount and the status, so that the limits need no other column of a view. With ``moments``, a state of
+    ``states.moments``, limits come from it: exact sums, whatever the partitions are, and no second scan of the rows.
     """
     value = F.col("amount").cast("double")
-    limits = (
+    limits = states.limits(moments, by, deviations) if moments is not None else (
         (txn if limits_from is None else limits_from).filter(completed_or_pending()).groupBy(by)
         .agg((F.avg(value) + deviations * F.stddev_samp(value)).alias("_limit"))
     )

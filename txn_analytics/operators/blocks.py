@@ -9,7 +9,6 @@ would sample other cut points. The same code runs for every size of input.
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -41,24 +40,20 @@ def with_ranks(df: DataFrame, value: str, key: Sequence[str], ranks: Sequence[Ra
                blocks: int | None = None) -> DataFrame:
     """Adds the ranks to ``df``, in as many blocks as there are shuffle partitions, two at least.
 
-    NULL is the last value, like any other value where rows have it in common. ``key`` must be unique.
+    NULL is the last value, like any other value where rows have it in common. ``key`` must be unique. Ranks
+    among the same rows (``within``) share one summary of the blocks, one lookup and one sort.
     """
     blocks = blocks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cut = ordered_blocks(df, [F.col(value).desc(), *key], max(2, blocks))
-    return reduce(lambda rows, rank: _across_blocks(rows, cut, value, key, rank), ranks, cut).drop("_block")
+    rows = cut
+    for within in dict.fromkeys(rank.within for rank in ranks):
+        rows = _across_blocks(rows, cut, value, key, [rank for rank in ranks if rank.within == within])
+    return rows.select(*df.columns, *[rank.column for rank in ranks])
 
 
-def _place(rank: Rank, value: str, key: Sequence[str], group: Sequence[str]):
-    falling = F.col(value).desc()
-    if rank.kind == "number":
-        return F.row_number().over(Window.partitionBy(*group).orderBy(falling, *key))
-    function = {"rank": F.rank, "dense": F.dense_rank}[rank.kind]
-    return function().over(Window.partitionBy(*group).orderBy(falling))
-
-
-def _across_blocks(rows: DataFrame, blocks: DataFrame, value: str, key: Sequence[str], rank: Rank) -> DataFrame:
-    """One rank from the places inside each block. Also right where one value fills several blocks."""
-    within = list(rank.within)
+def _across_blocks(rows: DataFrame, blocks: DataFrame, value: str, key: Sequence[str], ranks: Sequence[Rank]) -> DataFrame:
+    """Ranks from the places inside each block. Also right where one value fills several blocks."""
+    within = list(ranks[0].within)
     group = ["_block", *within]
 
     # One row per block and group: how many rows and values it has, and the values at its two ends. In a struct
@@ -91,12 +86,59 @@ def _across_blocks(rows: DataFrame, blocks: DataFrame, value: str, key: Sequence
         .select(*group, "_head", "_rows_before", "_values_before", "_head_rank")
     )
 
-    placed = join_lookup(rows.withColumn("_place", _place(rank, value, key, group)), offsets, group, MOST_OFFSETS)
-    place = {
+    # The number needs the finest order; the other places find their rows in it.
+    falling = F.col(value).desc()
+    exact, alike = Window.partitionBy(*group).orderBy(falling, *key), Window.partitionBy(*group).orderBy(falling)
+    kinds = {rank.kind for rank in ranks}
+    if "number" in kinds:
+        rows = rows.withColumn("_number_here", F.row_number().over(exact))
+    for kind, place in (("rank", F.rank()), ("dense", F.dense_rank())):
+        if kind in kinds:
+            rows = rows.withColumn(f"_{kind}_here", place.over(alike))
+    placed = join_lookup(rows, offsets, group, MOST_OFFSETS)
+    places = {
         "rank": F.when(held == F.col("_head"), F.col("_head_rank"))
-        .otherwise(F.col("_rows_before") + F.col("_place")),
-        "dense": F.col("_values_before") + F.col("_place"),
-        "number": F.col("_rows_before") + F.col("_place"),
-    }[rank.kind]
-    return placed.withColumn(rank.column, place).drop(
-        "_place", "_head", "_rows_before", "_values_before", "_head_rank")
+        .otherwise(F.col("_rows_before") + F.col("_rank_here")),
+        "dense": F.col("_values_before") + F.col("_dense_here"),
+        "number": F.col("_rows_before") + F.col("_number_here"),
+    }
+    added = [f"_{kind}_here" for kind in kinds] + ["_head", "_rows_before", "_values_before", "_head_rank"]
+    return placed.withColumns({rank.column: places[rank.kind] for rank in ranks}).drop(*added)
+
+
+def with_running_sums(df: DataFrame, group: str, order: Sequence[str], sums: dict[str, str],
+                      blocks: int | None = None) -> DataFrame:
+    """Adds running sums of columns ({new column: column}) and ``_seen``, the rows so far, within each group along ``order``.
+
+    ``order`` must be unique within a group. A sum is NULL until a value is known, as in a window. NULL is a group.
+    Rows are cut into blocks of even size by group and order. A group that a block begins with may have begun in
+    earlier ones; only such groups get an offset, so there is one at most for each block. Each block then adds up its own
+    rows: a group, or a day of it, may hold any share of all rows.
+    """
+    blocks = max(2, blocks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    cut = ordered_blocks(df, [group, *order], blocks)
+    held = F.struct(F.col(group).alias("value"))      # in a struct NULL is a value, and the smallest one
+    ends = cut.groupBy("_block").agg(F.min(held).alias("_head"), F.max(held).alias("_tail"))
+    # Of each block the group that it ends with: nothing else of it goes on in the next one. One row a block.
+    tails = join_lookup(cut, ends.select("_block", "_tail"), ["_block"], MOST_OFFSETS).filter(held == F.col("_tail"))
+    totals = tails.groupBy("_block").agg(
+        *[F.sum(column).alias(f"_sum_{name}") for name, column in sums.items()], F.count("*").alias("_rows"))
+    earlier = Window.partitionBy("_tail").orderBy("_block")
+    so_far = {f"_before_{name}": F.sum(f"_sum_{name}").over(earlier) for name in sums} | {"_rows_before": F.sum("_rows").over(earlier)}
+    along = Window.orderBy("_block")
+    # What the block before it has of the group that a block begins with.
+    goes_on = F.lag("_tail").over(along) == F.col("_head")
+    offsets = ends.join(totals, "_block").withColumns(so_far).select(
+        "_block", "_head", *[F.when(goes_on, F.lag(name).over(along)).alias(name) for name in so_far])
+
+    here = Window.partitionBy("_block", "_group").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    rows = cut.withColumn("_group", held).withColumns(
+        {f"_here_{name}": F.sum(column).over(here) for name, column in sums.items()} | {"_rows_here": F.count("*").over(here)})
+    rows = join_lookup(rows, offsets, ["_block"], MOST_OFFSETS)
+
+    def added(own: str, before: str):
+        offset = F.when(F.col("_group") == F.col("_head"), F.col(before))
+        return F.coalesce(F.col(own) + offset, F.col(own), offset)
+    return rows.withColumns(
+        {name: added(f"_here_{name}", f"_before_{name}") for name in sums} | {"_seen": added("_rows_here", "_rows_before")}
+    ).select(*df.columns, *sums, "_seen")

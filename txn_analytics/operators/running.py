@@ -1,36 +1,22 @@
 """Running total and mean of each customer, transaction by transaction."""
 
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from txn_analytics.functions.values import per_unit
+from txn_analytics.operators.blocks import with_running_sums
 from txn_analytics.operators.measures import not_failed
 
 ORDER = ["date", "transaction_id"]
 
 
-def running_by_customer(txn: DataFrame) -> DataFrame:
+def running_by_customer(txn: DataFrame, blocks: int | None = None) -> DataFrame:
     """Sum and mean of a customer's amounts up to each row, in order of date and transaction id.
 
-    Each customer is split by date: a window over one row per customer and day gives what came before the day,
-    and a window inside the day gives the rest. So a customer, the NULL one too, may hold any share of the rows;
-    the rows of one customer on one day are the smallest unit that a task sorts. Both steps use the same shuffle
-    key, a struct, in which NULL equals NULL.
+    Rows are added up in blocks of even size and what earlier blocks hold of a customer is added to it: a customer, the
+    NULL one too, or one day of it may hold any share of the rows. The sum is NULL until an amount is known.
     """
-    rows = not_failed(txn).select(
-        F.struct("customer_id", "date").alias("_day"), "customer_id", "segment", *ORDER, "amount")
-    before = Window.partitionBy("_day.customer_id").orderBy("_day.date").rowsBetween(Window.unboundedPreceding, -1)
-    days = (
-        rows.groupBy("_day").agg(F.sum("amount").alias("_sum"), F.count("*").alias("_rows"))
-        .select("_day", F.sum("_sum").over(before).alias("_sum_before"),
-                F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_rows_before"))
-    )
-    so_far = Window.partitionBy("_day").orderBy("transaction_id").rowsBetween(Window.unboundedPreceding, 0)
-    of_day, earlier = F.sum("amount").over(so_far), F.col("_sum_before")
-    totals = rows.join(days, "_day").withColumns({
-        "running_total": F.coalesce(of_day + earlier, of_day, earlier),     # NULL until an amount is known
-        "_seen": F.count("*").over(so_far) + F.col("_rows_before"),
-    })
+    rows = not_failed(txn).select("customer_id", "segment", *ORDER, "amount")
+    totals = with_running_sums(rows, "customer_id", ORDER, {"running_total": "amount"}, blocks)
     return totals.select(
         "customer_id", "segment", *ORDER, "amount", "running_total",
         per_unit("running_total", "_seen", 6).alias("running_avg"),

@@ -666,3 +666,9 @@ union all select 'dim_branch', count(distinct branch) from lines""",
         _profile("dim_branch", {"branch_id": "int", "branch_name": "string", "region": "string"}, "branches"),
     ]),
 }
+ORACLE["anomaly_moments"] = _valid(f"""
+select segment, {_iso('mon')} month_start, count(*) n, {_rm('sum(cents)')} total, cast(sum(cast(cents as hugeint) * cents) as varchar) squares
+from valid group by segment, mon""")
+# The same results by another way.
+ORACLE["flag_anomalies_from_moments"] = ORACLE["flag_anomalies"]
+ORACLE["q13_product_report_from_state"] = ORACLE["q13_product_report"]

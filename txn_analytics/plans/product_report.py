@@ -34,8 +34,13 @@ def _activity(txn: DataFrame) -> DataFrame:
 def product_report(txn: DataFrame, as_of) -> DataFrame:
     """Tier, adoption, health, reach, revenue, risk, benchmarks and ranks of every product.
 
-    ``txn`` carries ``is_anomaly``. Windows see one row per product.
+    ``txn`` carries ``is_anomaly``.
     """
+    return report_of(_activity(txn), as_of)
+
+
+def report_of(activity: DataFrame, as_of) -> DataFrame:
+    """The report from one row of activity per product; windows see no others."""
     everything = Window.partitionBy()
     months_active = month_gap(F.col("first_date"), F.col("last_date"))
     recency, completion = F.col("recency_months"), F.col("completion_pct")
@@ -50,7 +55,7 @@ def product_report(txn: DataFrame, as_of) -> DataFrame:
         return F.rank().over(Window.orderBy(F.col(name).desc()))
 
     kpis = (
-        _activity(txn)
+        activity
         .withColumns({
             "lifespan_months": months_active,
             "recency_months": month_gap(F.col("last_date"), as_date(as_of)),

@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from txn_analytics import model
-from txn_analytics.cluster import scratch_path
+from txn_analytics.cluster import saved, scratch_path
 from txn_analytics.operators import (
-    anomalies, dimensions, keys, measures as m, quality, ranking, running, segments, shares, trend,
+    anomalies, dimensions, keys, measures as m, quality, ranking, running, segments, shares, states, trend,
 )
-from txn_analytics.plans import customer_report, load as load_plan, period_report as report, product_report
+from txn_analytics.plans import customer_report, load as load_plan, period_report as report, product_report, product_state
 from txn_analytics.sources import files, retail_tables as tables
 
 AS_OF, EVENTS_AS_OF = tables.AS_OF, tables.EVENTS_AS_OF
@@ -233,6 +233,31 @@ def _flagged_lines(spark: SparkSession, folder: str, columns: list[str], include
     return anomalies.flag_anomalies(tables.transactions(spark, folder, columns, include_failed), limits_from=narrow)
 
 
+def _moments_by_month(spark: SparkSession, folder: str) -> DataFrame:
+    """The state of the outlier limits; the squares are digits without a point, which no engine rounds."""
+    state = states.moments(tables.transactions(spark, folder, ["date", "segment", "amount", "status"], include_failed=False))
+    return presentable(state.withColumn("squares", (F.col("squares") * 10000).cast("decimal(38,0)").cast("string")))
+
+
+def _flags_from_moments(spark: SparkSession, folder: str) -> DataFrame:
+    """Flags of events by limits from two merged states, one of the failed and even events and one of the others."""
+    events = tables.event_transactions(spark, folder)
+    even = F.col("transaction_id").cast("long") % 2 == 0
+    state = saved(states.moments(events.filter(even)).unionByName(states.moments(events.filter(~even))), "moments")
+    return anomalies.flag_anomalies(events, moments=state).select("transaction_id", "segment", "is_anomaly")
+
+
+def _product_report_from_state(spark: SparkSession, folder: str) -> DataFrame:
+    """The product report from states of single months, limits of outliers from moments: nothing reads the lines a third time."""
+    txn = saved(tables.transactions(spark, folder, [
+        "transaction_id", "date", "customer_id", "segment", "branch", "product", "transaction_type", "amount", "status"]), "lines")
+    flagged = anomalies.flag_anomalies(txn, moments=saved(states.moments(txn), "moments"))
+    numbers = {column: dimensions.name_dimension(txn.select(column), column, "number", "name") for column in product_state.FEW.values()}
+    holders = dimensions.name_dimension(tables.customers(spark, folder).select("customer_id"), "customer_id", "number", "name")
+    state = saved(product_state.product_state(flagged, holders, numbers), "products")
+    return presentable(product_state.report_from_state(state, AS_OF))
+
+
 def _customer_report_events(spark: SparkSession, folder: str) -> DataFrame:
     events = anomalies.flag_anomalies(tables.event_transactions(spark, folder))
     return presentable(customer_report.customer_report(events, tables.customers(spark, folder), EVENTS_AS_OF))
@@ -368,6 +393,7 @@ QUERIES: dict[str, Query] = {
         lambda s, d: _flagged_lines(s, d, [
             "transaction_id", "date", "customer_id", "segment", "branch", "product", "transaction_type", "amount", "status"]),
         lambda t: product_report.product_report(t, AS_OF)),
+    "q13_product_report_from_state": _product_report_from_state,
     "q13_product_report_events": _over(
         lambda s, d: anomalies.flag_anomalies(tables.event_transactions(s, d)),
         lambda t: product_report.product_report(t, EVENTS_AS_OF)),
@@ -375,6 +401,8 @@ QUERIES: dict[str, Query] = {
     "enrich_time_columns": _all(
         "transaction_id date",
         lambda t: anomalies.enrich_time(t)),
+    "anomaly_moments": _moments_by_month,
+    "flag_anomalies_from_moments": _flags_from_moments,
     "flag_anomalies": _events("transaction_id", lambda t: t.select("transaction_id", "segment", "is_anomaly")),
     "anomaly_rate": _events("", anomalies.anomaly_rate),
     "extract_period": _over(
