@@ -3,6 +3,7 @@
 from datetime import date
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from txn_analytics import model
@@ -278,3 +279,18 @@ def test_both_halves_agree_on_totals(make_transactions):
     left = {row.branch: row.total_volume for row in m.measures(rows, ["branch"]).collect()}
     right = {row.branch: row.total_volume for row in report.by_branch(report.transform(rows)).collect()}
     assert left == right
+
+
+@pytest.mark.parametrize("dense", [False, True])
+def test_a_month_without_rows(make_transactions, dense):
+    """January and March only: March is compared with January, or with an empty February."""
+    rows = make_transactions({"date": "2024-01-31", "amount": "100"}, {"date": "2024-03-01", "amount": "150"},
+                             {"date": "2024-03-02", "branch": "South", "amount": "1"}, {"date": "2024-05-01", "branch": None, "status": "Failed"})
+    got = [(r.month_num, r.transactions, int(r.total_volume), r.change_pct) for r in trend.month_over_month(rows, dense).collect()]
+    assert got == ([(1, 1, 100, None), (2, 0, 0, -100.0), (3, 2, 151, None)] if dense else [(1, 1, 100, None), (3, 2, 151, 51.0)])
+    running = [(r.branch, r.month_num, int(r.running_volume)) for r in trend.cumulative(rows, ["branch"], dense).collect()]
+    assert running == ([("North", 1, 100), ("North", 2, 100), ("North", 3, 250), ("South", 1, 0), ("South", 2, 0), ("South", 3, 1)]
+                       if dense else [("North", 1, 100), ("North", 3, 250), ("South", 3, 1)])
+    assert trend.month_over_month(rows.limit(0), dense).count() == 0
+    averages = trend.trend(rows, "month", stats=("avg_amount",), dense=dense).collect()
+    assert [r.avg_amount is None for r in averages] == ([False, True, False] if dense else [False, False])

@@ -134,3 +134,32 @@ def test_lookup_made_from_the_rows_themselves(spark):
     for most in (20, 1):
         joined = join_lookup(rows, counts, ["k"], most_rows=most)
         assert joined.columns == ["id", "k", "n"] and joined.filter("n = 25").count() == 100
+
+
+def test_a_report_appears_at_once_or_not_at_all(spark, make_transactions, tmp_path):
+    rows = make_transactions(*[{"date": f"2024-{1 + at % 12:02d}-05", "customer_id": f"C{at % 15}"} for at in range(60)])
+    place = tmp_path / "as_of=20250102"
+    results = {"kpi": period_report.kpi_summary(rows.withColumn("is_anomaly", F.lit(False)), "2025-01-02"),
+               "broken": rows.select(F.raise_error(F.lit("broken")).cast("string").alias("x"))}
+    with pytest.raises(Exception, match="broken"):
+        files.write_results_at_once(results, str(tmp_path), "2025-01-02")
+    assert not place.exists()
+    saved = period_report.run_at_once(rows, "2024-01-01", "2024-12-31", "2025-01-02", str(tmp_path))
+    counts = {r.result: r["rows"] for r in spark.read.parquet(saved["manifest"]).collect()}
+    assert counts["transactions"] == 60 and counts["monthly"] == 13 and set(counts) == set(saved) - {"manifest"}
+    assert all(spark.read.parquet(saved[name]).count() == n for name, n in counts.items())
+    with pytest.raises(Exception, match="broken"):
+        files.write_results_at_once(results, str(tmp_path), "2025-01-02")
+    assert spark.read.parquet(saved["by_type"]).count() == counts["by_type"]
+    assert files.write_results_at_once({}, str(tmp_path), "2025-01-03") == {}
+
+
+def test_rows_are_saved_in_order(spark, tmp_path):
+    path = str(tmp_path / "ordered")
+    rows = spark.range(3000).selectExpr("nullif(id * 7919 % 50, 3) AS k", "id").repartition(5)
+    for _ in range(2):
+        files.write_ordered(rows, path, [F.desc("k"), "id"])
+    back = [(r.k, r.id) for r in files.read_ordered(spark, path).orderBy("_place").collect()]
+    assert back == [(r.k, r.id) for r in rows.orderBy(F.desc("k"), "id").collect()] and len(back) == 3000
+    sizes = [r["count"] for r in files.read_ordered(spark, path).groupBy("_place.file").count().collect()]
+    assert len(sizes) > 1 and max(sizes) < 3000 * 0.7

@@ -1,7 +1,8 @@
 """Volume over calendar periods: trends, changes, running totals and performance against a mean.
 
 All windows here run over one row per period (and group), after aggregation, so they stay small however
-many transactions there are. A lag goes to the period before it that has rows.
+many transactions there are. A lag goes to the period before it that has rows; with ``dense`` every month between the
+first and the last has a row, in each group, and a lag goes to the month before.
 """
 
 from collections.abc import Sequence
@@ -10,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from txn_analytics import model
+from txn_analytics.cluster import materialise
 from txn_analytics.functions.dates import month_label, quarter_label, weekday_name
 from txn_analytics.functions.values import against_mean, direction, percent
 from txn_analytics.operators.measures import BASIC, measures, not_failed
@@ -41,15 +43,36 @@ def _shown(period: str) -> list:
     return PERIODS[period][1]("_period")
 
 
-def _by_period(txn: DataFrame, period: str, by: Sequence[str], stats: Sequence[str]) -> DataFrame:
+def _by_period(txn: DataFrame, period: str, by: Sequence[str], stats: Sequence[str], dense: bool = False) -> DataFrame:
     rows = not_failed(txn).withColumn("_period", PERIODS[period][0]("date"))
-    return measures(rows, ["_period", *by], stats, exclude_failed=False)
-
-
-def trend(txn: DataFrame, period: str, by: Sequence[str] = (), stats: Sequence[str] = BASIC) -> DataFrame:
-    """Measures per period (and group) in time order."""
+    groups = measures(rows, ["_period", *by], stats, exclude_failed=False)
+    return _every_month(groups, by, stats) if dense else groups
+
+
+def _every_month(groups: DataFrame, by: Sequence[str], stats: Sequence[str]) -> DataFrame:
+    """The groups with a row for each month between the first and the last of all; counts and volumes of new ones are 0.
+
+    The groups are computed once: the span, the spine and the join read them.
+    """
+    groups = materialise(groups)
+    first, last = (groups.agg(edge("_period")).scalar() for edge in (F.min, F.max))
+    names = groups.select(*by).distinct() if by else groups.agg(F.count("*").alias("_n")).filter("_n > 0")
+    spine = names.select(*[F.col(name).alias(f"_{name}") for name in by],
+                         F.explode(F.sequence(first, last, F.expr("interval 1 month"))).alias("_month"))
+    same = spine["_month"] == groups["_period"]
+    for name in by:
+        same = same & spine[f"_{name}"].eqNullSafe(groups[name])
+    kinds = {field.name: field.dataType for field in groups.schema.fields}
+    empty = {"transactions", "total_volume", "customers", "branches"}
+    return spine.join(groups, same, "left").select(
+        F.col("_month").alias("_period"), *[F.col(f"_{name}").alias(name) for name in by],
+        *[F.coalesce(name, F.lit(0).cast(kinds[name])).alias(name) if name in empty else F.col(name) for name in stats])
+
+
+def trend(txn: DataFrame, period: str, by: Sequence[str] = (), stats: Sequence[str] = BASIC, dense: bool = False) -> DataFrame:
+    """Measures per period (and group) in time order. ``dense`` is for months."""
     order = [F.month("_period"), F.year("_period")] if period == "month_of_year" else ["_period"]
-    return _by_period(txn, period, by, stats).orderBy(*order, *by).select(*_shown(period), *by, *stats)
+    return _by_period(txn, period, by, stats, dense).orderBy(*order, *by).select(*_shown(period), *by, *stats)
 
 
 def _with_previous(groups: DataFrame, window) -> DataFrame:
@@ -61,18 +84,18 @@ def _with_previous(groups: DataFrame, window) -> DataFrame:
     )
 
 
-def month_over_month(txn: DataFrame) -> DataFrame:
+def month_over_month(txn: DataFrame, dense: bool = False) -> DataFrame:
     """Volume per month against the month before it, with the direction of the change."""
-    months = _with_previous(_by_period(txn, "month", (), ("transactions", "total_volume")), Window.orderBy("_period"))
+    months = _with_previous(_by_period(txn, "month", (), ("transactions", "total_volume"), dense), Window.orderBy("_period"))
     return months.orderBy("_period").select(
         *_shown("month"), "transactions", "total_volume", "previous_volume", "change", "change_pct",
         direction("total_volume", "previous_volume").alias("trend"),
     )
 
 
-def year_over_year(txn: DataFrame) -> DataFrame:
+def year_over_year(txn: DataFrame, dense: bool = False) -> DataFrame:
     """Volume per month against the same month in the last year that has it."""
-    months = _by_period(txn, "month", (), ("transactions", "total_volume")).withColumn("_of_year", F.month("_period"))
+    months = _by_period(txn, "month", (), ("transactions", "total_volume"), dense).withColumn("_of_year", F.month("_period"))
     compared = _with_previous(months, Window.partitionBy("_of_year").orderBy("_period"))
     return compared.orderBy("_of_year", "_period").select(
         *_shown("month_of_year"), "transactions", "total_volume", "previous_volume", "change", "change_pct",
@@ -80,11 +103,11 @@ def year_over_year(txn: DataFrame) -> DataFrame:
     )
 
 
-def branch_performance(txn: DataFrame) -> DataFrame:
+def branch_performance(txn: DataFrame, dense: bool = False) -> DataFrame:
     """Branch months against the month before, a three-month mean and the mean of all the branch's months."""
     along = Window.partitionBy("branch").orderBy("_period")
     months = (
-        _with_previous(_by_period(txn, "month", ["branch"], ("total_volume",)), along)
+        _with_previous(_by_period(txn, "month", ["branch"], ("total_volume",), dense), along)
         .withColumn("moving_avg_3", F.avg("total_volume").over(along.rowsBetween(-2, 0)))
         .withColumn("_mean", F.avg("total_volume").over(Window.partitionBy("branch")))
     )
@@ -95,11 +118,11 @@ def branch_performance(txn: DataFrame) -> DataFrame:
     )
 
 
-def product_performance(txn: DataFrame) -> DataFrame:
+def product_performance(txn: DataFrame, dense: bool = False) -> DataFrame:
     """Product months against the month before and the mean of all the product's months."""
     along = Window.partitionBy("product").orderBy("_period")
     months = (
-        _with_previous(_by_period(txn, "month", ["product"], ("transactions", "total_volume")), along)
+        _with_previous(_by_period(txn, "month", ["product"], ("transactions", "total_volume"), dense), along)
         .withColumn("product_avg", F.avg("total_volume").over(Window.partitionBy("product")))
     )
     return months.orderBy("product", "_period").select(
@@ -109,16 +132,16 @@ def product_performance(txn: DataFrame) -> DataFrame:
     )
 
 
-def period_change(txn: DataFrame) -> DataFrame:
+def period_change(txn: DataFrame, dense: bool = False) -> DataFrame:
     """Month over month without the direction."""
-    return month_over_month(txn).drop("trend")
+    return month_over_month(txn, dense).drop("trend")
 
 
-def cumulative(txn: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def cumulative(txn: DataFrame, by: Sequence[str] = (), dense: bool = False) -> DataFrame:
     """Monthly count and volume with running totals, never reset at the end of a year."""
     so_far = Window.partitionBy(*by).orderBy("_period").rowsBetween(Window.unboundedPreceding, 0)
     return (
-        _by_period(txn, "month", by, ("transactions", "total_volume"))
+        _by_period(txn, "month", by, ("transactions", "total_volume"), dense)
         .withColumn("running_transactions", F.sum("transactions").over(so_far))
         .withColumn("running_volume", F.sum("total_volume").over(so_far))
         .orderBy(*by, "_period")
@@ -126,10 +149,10 @@ def cumulative(txn: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def moving_average(txn: DataFrame, spans: Sequence[int] = (3, 6)) -> DataFrame:
-    """Monthly volume with means over the last n months present; the first months use what there is."""
+def moving_average(txn: DataFrame, spans: Sequence[int] = (3, 6), dense: bool = False) -> DataFrame:
+    """Monthly volume with means over the last n months present (``dense``: of the calendar); the first months use what there is."""
     along = Window.orderBy("_period")
-    months = _by_period(txn, "month", (), ("total_volume",))
+    months = _by_period(txn, "month", (), ("total_volume",), dense)
     for span in spans:
         months = months.withColumn(f"moving_avg_{span}", F.avg("total_volume").over(along.rowsBetween(1 - span, 0)))
     return months.orderBy("_period").select(

@@ -672,3 +672,46 @@ from valid group by segment, mon""")
 # The same results by another way.
 ORACLE["flag_anomalies_from_moments"] = ORACLE["flag_anomalies"]
 ORACLE["q13_product_report_from_state"] = ORACLE["q13_product_report"]
+
+
+def _spine(by: str | None = None) -> list[str]:
+    """Views of the rows of some months, and of all months (by group) with what these have."""
+    shift, group = (f"length({by})", f"{by}, ") if by else ("0", "")
+    names = f"(select distinct {by} from chosen)" if by else "(select 1 from chosen limit 1)"
+    using = f"({by}, mon)" if by else "(mon)"
+    return [
+        f"chosen as (select * from valid where (year(mon) * 12 + month(mon) + {shift}) % 5 = 0)",
+        "calendar as (select unnest(generate_series(min(mon), max(mon), interval 1 month)) mon from chosen)",
+        f"held as (select {group}mon, count(*) n, sum(cents) c from chosen group by {group}mon)",
+        f"{'parts' if by else 'months'} as (select {group}mon, coalesce(n, 0) n, coalesce(c, 0) c "
+        f"from {names} cross join calendar left join held using {using})",
+    ]
+
+
+ORACLE |= {
+    "q07_5_monthly_by_segment_dense": _valid(f"select {MONTH}, segment, n transactions, {_rm('c')} total_volume from parts", *_spine("segment")),
+    "q08_2_moving_averages_dense": _valid(f"select {MONTH}, {_rm('c')} total_volume, {_moving(3)}, {_moving(6)} from months", *_spine()),
+    "q08_4_running_by_branch_dense": _valid(_running("branch", {
+        "total_volume": _rm("c"), "running_transactions": "cast(sum(n) {over} as bigint)", "running_volume": RUNNING_VOLUME,
+        "transactions": "n"}), *_spine("branch")),
+    "q09_1_month_over_month_dense": _valid(f"""
+select {MONTH}, n transactions, {_changes('order by mon')}, {_trend('order by mon')} from months""", *_spine()),
+    "q08_5_running_in_order": _valid(f"""
+select customer_id, {_iso('date')} date, transaction_id, {_rm('sum(cents) over (partition by customer_id order by date, transaction_id)')} running_total,
+       row_number() over (order by customer_id, date, transaction_id) row_number from valid"""),
+    "report_at_once": _period("""
+select result, rows, rows saved from (
+  select 'transactions' result, count(*) as rows from period
+  union all select 'kpi', 1
+  union all select 'monthly', count(distinct mon) + 1 from period
+  union all select 'branch', count(distinct branch) from period
+  union all select 'by_type', count(distinct transaction_type) from period
+  union all select 'by_product', count(distinct product) from period
+  union all select 'by_segment', count(distinct segment) from period
+  union all select 'top_customers', least(10, count(distinct customer_id)) from period
+  union all select 'anomalies', least(20, count(*)) from outliers
+  union all select 'flagged', count(*) from outliers)""", """
+outliers as (
+  select period.* from period join (select segment, avg(cents / 100) + 3 * stddev_samp(cents / 100) top from period group by segment) using (segment)
+  where cents / 100 > top)"""),
+}

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from txn_analytics import model
 from txn_analytics.cluster import saved, scratch_path
+from txn_analytics.operators.blocks import Rank, with_ranks
 from txn_analytics.operators import (
     anomalies, dimensions, keys, measures as m, quality, ranking, running, segments, shares, states, trend,
 )
@@ -82,6 +83,12 @@ def _event_report(columns: str, operator) -> Query:
     return _over(lambda s, d: report.transform(tables.event_transactions(s, d, names)), operator)
 
 
+def _some_months(txn: DataFrame, by: str | None = None) -> DataFrame:
+    """Rows of every fifth month by a count that starts elsewhere for groups with names of other lengths."""
+    shift = F.length(by) if by else F.lit(0)
+    return txn.filter((F.year("date") * 12 + F.month("date") + shift) % 5 == 0)
+
+
 def _loaded_table(spark: SparkSession, folder: str) -> DataFrame:
     """Load the fact: defaults, one folder per month, then read one year back."""
     path = scratch_path(spark, "transactions")
@@ -200,6 +207,27 @@ def _saved_flagged_rows(spark: SparkSession, folder: str) -> DataFrame:
     return presentable(files.read_table(spark, saved["flagged"]))
 
 
+def _report_at_once(spark: SparkSession, folder: str) -> DataFrame:
+    """The manifest of the report over one period of order lines, and that the saved results have as many rows."""
+    path = scratch_path(spark, "report")
+    written = report.run_at_once(tables.transactions(spark, folder), *PERIOD, AS_OF, path)
+    rows = [files.read_table(spark, written[name]).agg(F.count("*").alias("saved")).select(F.lit(name).alias("result"), "saved")
+            for name in written if name != files.MANIFEST]
+    return files.read_table(spark, written[files.MANIFEST]).join(reduce(DataFrame.unionByName, rows), "result")
+
+
+def _running_in_order(spark: SparkSession, folder: str) -> DataFrame:
+    """Running totals by customer, saved in order: the number of each row by its place in the files."""
+    path = scratch_path(spark, "running")
+    names = ["transaction_id", "date", "customer_id", "segment", "amount", "status"]
+    rows = running.running_by_customer(tables.transactions(spark, folder, names, include_failed=False))
+    files.write_ordered(rows, path, ["customer_id", "date", "transaction_id"])
+    placed = with_ranks(files.read_ordered(spark, path), files.PLACE, [], [Rank("_from_the_end", "number")])
+    total = placed.agg(F.count("*")).scalar()
+    return presentable(placed.select(
+        "customer_id", "date", "transaction_id", "running_total", (total + 1 - F.col("_from_the_end")).alias("row_number")))
+
+
 def _all_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return {
         "fact_transactions": tables.transactions(spark, folder, ["transaction_id"]),
@@ -354,9 +382,17 @@ QUERIES: dict[str, Query] = {
                                        .drop("transactions", "running_transactions")),
     "q08_4_running_by_branch": _valid("date branch", lambda t: trend.cumulative(t, ["branch"]).drop("transactions")),
     "q08_5_running_by_customer": _valid("transaction_id date customer_id segment", running.running_by_customer),
+    "q08_5_running_in_order": _running_in_order,
     "q08_6_daily_milestones": _valid("date", trend.daily_milestones),
     # Performance
     "q09_1_month_over_month": _valid("date", trend.month_over_month),
+    # Months without rows filled in, over lines of some months only
+    "q07_5_monthly_by_segment_dense": _valid("date segment", lambda t: trend.trend(
+        _some_months(t, "segment"), "month", ["segment"], ("transactions", "total_volume"), dense=True)),
+    "q08_2_moving_averages_dense": _valid("date", lambda t: trend.moving_average(_some_months(t), dense=True)),
+    "q08_4_running_by_branch_dense": _valid("date branch", lambda t: trend.cumulative(
+        _some_months(t, "branch"), ["branch"], dense=True)),
+    "q09_1_month_over_month_dense": _valid("date", lambda t: trend.month_over_month(_some_months(t), dense=True)),
     "q09_2_year_over_year": _valid("date", trend.year_over_year),
     "q09_3_branch_performance": _valid("date branch", trend.branch_performance),
     "q09_4_product_performance": _valid("date product", trend.product_performance),
@@ -424,6 +460,7 @@ QUERIES: dict[str, Query] = {
         "customer_id", lambda t: report.with_position(report.top_customers(t))),
     "report_saved_branch_table": _saved_report,
     "report_saved_flagged_rows": _saved_flagged_rows,
+    "report_at_once": _report_at_once,
     # Sources, dimensions and checks
     "csv_customers": _csv_customers,
     "load_transactions": _loaded_table,

@@ -156,3 +156,48 @@ def write_results(results: Mapping[str, DataFrame], folder: str, as_of, kind: st
     for name, df in results.items():
         df.write.mode("overwrite").option("header", True).format(kind).save(paths[name])
     return paths
+
+
+MANIFEST = "manifest"
+
+
+def write_results_at_once(results: Mapping[str, DataFrame], folder: str, as_of, kind: str = "parquet") -> dict[str, str]:
+    """``write_results`` that shows all results of a date together or none.
+
+    Results are written to a staging folder, then counted in ``manifest`` (result, rows), and one rename makes the
+    staging folder the folder of the date. Where a result fails there is no such folder, or the one of an earlier run.
+    """
+    if not results:
+        return {}
+    place = result_folder(folder, as_of)
+    staged = staging_path(place)
+    counts = []
+    for name, df in results.items():
+        df.write.option("header", True).format(kind).save(f"{staged}/{name}")
+        written = df.sparkSession.read.schema(df.schema).option("header", True).format(kind).load(f"{staged}/{name}")
+        counts.append((name, written.count()))
+    spark = next(iter(results.values())).sparkSession
+    spark.createDataFrame(counts, "result string, rows bigint").coalesce(1).write.parquet(f"{staged}/{MANIFEST}")
+    publish(spark, staged, place)
+    return {name: f"{place}/{name}" for name in [*results, MANIFEST]}
+
+
+PLACE = "_place"
+
+
+def write_ordered(df: DataFrame, path: str, order: list, kind: str = "parquet") -> None:
+    """Writes rows so that the files, taken by name, hold them in order; no task has more than its range of the order.
+
+    ``order`` has to end in a unique key, so that equal values can be spread over several files. Ranges have about even
+    numbers of rows. An old table stays until the new one is complete.
+    """
+    staged = staging_path(path)
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    df.repartitionByRange(parts, *order).sortWithinPartitions(*order).write.option("header", True).format(kind).save(staged)
+    publish(df.sparkSession, staged, path)
+
+
+def read_ordered(spark: SparkSession, path: str) -> DataFrame:
+    """A table of ``write_ordered`` with ``_place``, (file, row of the file), by which its rows are in order."""
+    return spark.read.parquet(path).select(
+        "*", F.struct(F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row")).alias(PLACE))
