@@ -12,6 +12,15 @@ from txn_analytics.llm import decontaminate, near_duplicates, pieces, pii, quali
 from txn_analytics.llm.queries import PIECES, read_model, read_table
 
 
+#: Rows of a batch between the JVM and Python. Whole texts travel, some of them very long: the default of 10,000 rows
+#: would hold tens of megabytes several times over in every task.
+BATCH_ROWS = 1000
+
+
+def _in_small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def _packed(docs: DataFrame) -> DataFrame:
     """The text, and all other columns in one, so that no name can clash with what an operator adds."""
     return docs.select(F.struct(*[name for name in docs.columns if name != "text"]).alias("_row"), "text")
@@ -23,6 +32,7 @@ def _unpacked(rows: DataFrame, docs: DataFrame) -> DataFrame:
 
 def quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents that the quality rules keep; the language references are those of all documents given."""
+    _in_small_batches(spark)
     judged = quality_rules.quality_rules(
         _packed(docs), quality_rules.learn_references(docs), ["_row", "text"], lang="_row.lang")
     return _unpacked(judged.filter("kept"), docs)
@@ -34,6 +44,7 @@ def deduplicate(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     Rows that share the id of a kept document are copies of it by the contract of the table; all but one go. Rows
     without an id are in no group and stay.
     """
+    _in_small_batches(spark)
     kept = near_duplicates.near_duplicates(docs).filter("id = component").select("id").distinct()
     one = docs.filter("doc_id IS NOT NULL").join(kept, docs["doc_id"] == kept["id"], "left_semi").dropDuplicates(["doc_id"])
     return one.unionByName(docs.filter("doc_id IS NULL"))
@@ -41,20 +52,22 @@ def deduplicate(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 def decontaminated(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents in which no window of a benchmark item occurs."""
+    _in_small_batches(spark)
     hits = decontaminate.contamination(_packed(docs), read_table(spark, folder, "benchmark"), ["_row", "text"])
     return _unpacked(hits.filter("n_hit = 0"), docs)
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """All documents, personal data replaced by its kind. ``n_chars`` is that of the new text."""
+    _in_small_batches(spark)
     clean = pii.redact(docs)
     return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Ids of every text, and what they decode to."""
-    model = read_model(PIECES)
-    coded = pieces.decode(pieces.encode(docs, model), model)
+    _in_small_batches(spark)
+    coded = pieces.encode_and_decode(docs, read_model(PIECES))
     return coded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", "text")
 
 

@@ -308,6 +308,24 @@ def decode(docs: DataFrame, model: bytes, ids: str = "ids", text: str = "text")
         run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept) + f", `{text}` string")
 
 
+def encode_and_decode(docs: DataFrame, model: bytes, text: str = "text", ids: str = "ids") -> DataFrame:
+    """``decode`` of ``encode`` in one pass: ``ids`` of each text, and in ``text`` what they stand for.
+
+    One worker does both, so the ids do not leave it in between. NULL, empty and repeated rows are as in ``encode``.
+    """
+    kept = [f for f in docs.schema.fields if f.name not in (text, ids)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = vocabulary(model)
+        for batch in (part for whole in batches for part in steps(whole, text, SLICE_BYTES)):
+            coded = words.encode(batch.column(text))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(f.name) for f in kept] + [coded, words.decode(coded).cast(pa.string())],
+                [f.name for f in kept] + [ids, text])
+    return docs.select(*[f"`{f.name}`" for f in kept], F.col(f"`{text}`")).mapInArrow(run, ", ".join(
+        [f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + [f"`{ids}` array<int>", f"`{text}` string"]))
+
+
 def digest(ids: str | Column = "ids") -> Column:
     """SHA-256 of the decimal ids joined by one space."""
     return F.sha2(F.array_join(F.col(ids).cast("array<string>"), " "), 256)
