@@ -1,6 +1,8 @@
 """Rules, decontamination, personal data and encoding against plain Python over random and odd texts."""
 
 import hashlib
+import pickle
+import random
 import re
 from collections import Counter
 
@@ -183,6 +185,30 @@ def test_contamination_of_nothing(spark, documents, no_documents):
     assert all(r.n_hit == 0 and r.hit_items == [] for r in none)
 
 
+def test_items_may_have_ids_of_text(spark):
+    docs = spark.createDataFrame([(1, "a b c and x y"), (2, "z")], "doc_id bigint, text string")
+    benchmark = spark.createDataFrame([("k2", "x y"), ("k1", "b C"), ("k10", "a b")], "name string, body string")
+    found = {r.doc_id: r for r in decontaminate.contamination(docs, benchmark, ["doc_id"], item="name", item_text="body").collect()}
+    assert found[1].hit_items == ["k1", "k10", "k2"] and found[1].n_hit == 5 and found[2].hit_items == []
+
+
+def test_windows_that_a_cut_of_another_block_joins_go_too(spark):
+    one, two, three = (" ".join(f"{x}{i}" for i in range(10)) for x in "pqr")
+    inner = two.replace("q5", f"q5 {three}").split(" q5 ")
+    text = one.replace("p5", f"p5 {inner[0]} q5 {inner[1]}")
+    docs = spark.createDataFrame([(1, f"start {text} end"), (2, "clean"), (3, None)], "doc_id bigint, text string")
+    benchmark = spark.createDataFrame([(1, one), (2, two), (3, three)], "item_id bigint, text string")
+    clean = {r.doc_id: r.text for r in decontaminate.remove_spans(docs, benchmark, block_bytes=20).collect()}
+    assert clean[1].split() == ["start", "end"] and clean[2] == "clean" and clean[3] is None
+
+
+def test_a_set_is_small_beside_its_text():
+    rng = random.Random(3)
+    items = [(i, " ".join(f"w{rng.randrange(10 ** 5)}" for _ in range(200))) for i in range(2000)]
+    size = sum(len(text) for _, text in items)
+    assert len(pickle.dumps(decontaminate.NgramSet(items))) < 7 * size + (2 << 20)
+
+
 PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
             "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
 
