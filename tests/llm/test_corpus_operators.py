@@ -266,9 +266,34 @@ def test_cascade_is_exact_over_its_universe(spark, monkeypatch):
     cascade = url_filter.Cascade(universe)
     assert len(cascade.levels) >= 3
     assert universe.filter(cascade.contains(F.col("key")) != F.col("listed")).count() == 0
-    monkeypatch.setattr(url_filter, "MOST_BYTES", 8)
-    with pytest.raises(ValueError):
-        url_filter.Cascade(universe)
+
+
+def test_listed_names_of_any_number_of_labels_block_their_subdomains(spark):
+    names = [".".join(f"l{k}" for k in range(n)) for n in range(1, 9)]
+    urls = [f"http://{x}{name}{y}/p" for name in names for x in ("", "www.", "a.b.", "not") for y in ("", ".x", ".")]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")
+    for kept in (names[4:5], names[:1], names[7:] + names[2:3]):
+        listed = spark.createDataFrame([(n,) for n in kept], "key string")
+        for r in url_filter.judge(pages, [], listed, ["page_id"]).collect():
+            bad = any(r.host == n or r.host.endswith("." + n) for n in kept)
+            assert r.verdict == ("block" if bad else "allow"), (kept, r.host)
+
+
+@pytest.mark.parametrize("most", [64_000_000, 60_000])
+def test_op6_query_with_a_long_list(spark, monkeypatch, tmp_path, most):
+    """100,000 listed names in one part and in four, exact through several levels."""
+    monkeypatch.setattr(url_filter, "MOST_BYTES", most)
+    levels = []
+    built = url_filter.Cascade.__init__
+    monkeypatch.setattr(url_filter.Cascade, "__init__", lambda self, universe: (built(self, universe), levels.append(len(self.levels)))[0])
+    bad = "id % 2 = 0"
+    spark.range(200_000).selectExpr("id AS page_id", "concat('http://www.h', id, '.d', id % 90, '.org/p') AS url").write.parquet(
+        f"{tmp_path}/pages.parquet")
+    listed = spark.range(200_000).filter(bad).selectExpr("concat('h', id, '.d', id % 90, '.org') AS key")
+    found = queries.op6_url_filter(spark, str(tmp_path), listed)
+    wrong = found.filter("(verdict = 'block') <> (page_id % 2 = 0)")
+    assert found.count() == 200_000 and wrong.count() == 0
+    assert max(levels) >= 3 if most > 10 ** 6 else len(levels) == 4
 
 
 def test_url_filter_runs_no_python(spark):

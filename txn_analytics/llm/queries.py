@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from txn_analytics.cluster import saved
 from txn_analytics.llm import (
     byte_pairs, decontaminate, language_model, near_duplicates, periodic_runs, pieces, pii, quality_classifier, quality_rules,
     token_alignment, token_counts, toxicity, url_filter,
@@ -16,9 +17,8 @@ BYTE_PAIRS = public_tokenizers.path("byte_bpe_50k.json")
 
 RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
          ("block", "net", "/es/"), ("block", "net", "/fr/")]
-#: The block list of the test pages: domains under each of the three test top-level domains.
-LISTED = [f"{name}.example.{top}" for name in ("adult-x", "ads-track", "casino-win", "cheap-pills", "free-bets", "spam-farm")
-          for top in ("com", "net", "org")]
+#: Labels that mark an unwanted domain in the test pages.
+UNWANTED = ("adult-x", "ads-track", "casino-win", "cheap-pills", "free-bets", "spam-farm")
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -83,9 +83,18 @@ def op5_language_model(spark: SparkSession, folder: str, model: str = PIECES) ->
     return language_model.score(docs, read_model(model)).withColumnRenamed("id", "doc_id")
 
 
-def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
-    listed = spark.createDataFrame([(x,) for x in LISTED], "key string")
-    return url_filter.judge(read_table(spark, folder, "pages"), RULES, listed, ["page_id"])
+def unwanted_domains(pages: DataFrame) -> DataFrame:
+    """The block list of the query, read from the pages: of each host the part from a label in ``UNWANTED`` on."""
+    labels = pages.select(F.split(url_filter.host("url"), "[.]").alias("_labels")).distinct()
+    at = F.expr(f"filter(sequence(1, size(_labels) - 1), i -> _labels[i - 1] IN {UNWANTED})")
+    found = labels.filter("size(_labels) > 1").select("_labels", F.explode(at).alias("_at"))
+    return found.select(F.expr("array_join(slice(_labels, _at, size(_labels)), '.')").alias("key")).distinct()
+
+
+def op6_url_filter(spark: SparkSession, folder: str, listed: DataFrame | None = None) -> DataFrame:
+    pages = read_table(spark, folder, "pages")
+    listed = unwanted_domains(pages) if listed is None else listed
+    return url_filter.judge(pages, RULES, saved(listed.select("key"), "listed"), ["page_id"])
 
 
 def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
@@ -172,7 +181,7 @@ parsed AS (
     SELECT page_id, {_HOST} AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM urls)
 SELECT page_id, host, path, CASE {_cases(0)} END AS rule,
        CASE {_cases(1)}
-            WHEN {' OR '.join(f"host = '{x}' OR ends_with(host, '.{x}')" for x in LISTED)} THEN 'block' ELSE 'allow' END AS verdict
+            WHEN regexp_matches(host, '(^|[.])({'|'.join(UNWANTED)})[.]') THEN 'block' ELSE 'allow' END AS verdict
 FROM parsed"""
 
 _LOWER = f"translate(coalesce(text, ''), '{url_filter.UPPER}', '{url_filter.LOWER}')"

@@ -1,6 +1,6 @@
 """URL filter: allow and block rules, then exact membership in a list of domains by a cascade of Bloom filters.
 
-The keys are the hosts of the corpus and their parent domains. The first filter encodes the listed ones. Keys of
+The keys are the hosts of the corpus and those parent domains that have as many labels as a listed domain. The first filter encodes the listed ones. Keys of
 the corpus that are not listed and pass it are encoded by the second filter, listed keys that pass that one by the
 third, and so on, until a filter lets nothing through that it should not. Over the keys of the corpus the cascade
 then answers exactly, and every URL is judged by expressions over constants, without a join.
@@ -8,6 +8,7 @@ then answers exactly, and every URL is judged by expressions over constants, wit
 Everything is built-in DataFrame functions. A filter is one array of 64-bit words, read as a scalar subquery.
 """
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -17,11 +18,10 @@ from txn_analytics.cluster import saved
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-#: Labels of the parent domains that are keys, besides the whole host.
-PARENTS = (2, 3, 4)
 #: Bits and hashes for each key of the first filter, and of the later ones, which meet few keys.
 FIRST, LATER = (16, 8), (6, 3)
-#: A filter is sent to every task: the bound on its bytes, checked when it is built.
+#: Filters are sent to every task: about the most bytes of one. A larger list is cut into parts by a hash of the key, and
+#: the pages go through the parts one after the other.
 MOST_BYTES = 64_000_000
 
 
@@ -55,9 +55,10 @@ def rule(rules: Sequence[tuple[str, str, str]], host: str = "host", path: str =
     return out if out is not None else F.lit(None).cast("struct<rule:string,verdict:string>")
 
 
-def keys(host: str = "host") -> list[Column]:
-    """The host and its parent domains; a host with fewer labels is its own parent."""
-    return [F.col(host), *[F.substring_index(F.col(host), ".", -n) for n in PARENTS]]
+def keys(depths: Sequence[int], host: str = "host") -> list[Column]:
+    """The parent domains of the host with so many labels, itself included; NULL where it has fewer."""
+    labels = F.size(F.split(F.col(host), "[.]"))
+    return [F.when(labels >= n, F.substring_index(F.col(host), ".", -n)) for n in depths]
 
 
 class Cascade:
@@ -70,8 +71,6 @@ class Cascade:
         while not encoded.isEmpty():
             bits, hashes = FIRST if not self.levels else LATER
             size = -(-max(encoded.count() * bits, 64) // 64)
-            if size * 8 > MOST_BYTES:
-                raise ValueError(f"a filter of {size * 8} bytes is more than the {MOST_BYTES} that tasks are sent")
             self.levels.append((self._filter(encoded, size, hashes), size, hashes))
             passed = saved(others.filter(self._passes(F.col("key"), len(self.levels) - 1)), "passed")
             encoded, others = passed, encoded
@@ -106,26 +105,46 @@ class Cascade:
         return out
 
 
+def _parts(universe: DataFrame) -> int:
+    """How many parts keep the filters of each within ``MOST_BYTES``: listed keys fill the first, false positives the second."""
+    size = universe.agg(F.count("*").alias("all"), F.coalesce(F.sum(F.col("listed").cast("long")), F.lit(0)).alias("listed")).first()
+    bits, hashes = FIRST
+    passed = size["all"] * (1 - math.exp(-hashes / bits)) ** hashes
+    return max(1, math.ceil(max(size["listed"] * bits, passed * LATER[0]) / 8 / MOST_BYTES))
+
+
 def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]], listed: DataFrame, columns: list[str],
           url: str = "url") -> DataFrame:
     """``columns`` of each page with host, path, rule and verdict (allow or block).
 
-    ``listed`` has domains in its column ``key``; a page is blocked if no rule fits and its host or one of the
-    parent domains in ``PARENTS`` is listed. A NULL URL, or one without ``://``, has an empty host and path, fits
-    no rule and is allowed. Repeated URLs and repeated or NULL list entries change nothing. An empty list blocks
-    nothing; an empty table gives no rows. ``columns`` may be any but the added names.
+    ``listed`` has domains in its column ``key``; a page is blocked if no rule fits and its host is listed or is a
+    subdomain of a listed domain, of any number of labels. A NULL URL, or one without ``://``, has an empty host and
+    path, fits no rule and is allowed. Repeated URLs and repeated, empty or NULL list entries change nothing. An empty
+    list blocks nothing; an empty table gives no rows. ``columns`` may be any but the added names and ``_blocked``.
     """
     parsed = pages.select(*columns, host(url).alias("host"), path(url).alias("path"))
+    wanted = listed.select("key").filter("key <> ''")
+    # One number for each length of a listed domain: a name has 127 labels at most.
+    depths = sorted(row[0] for row in wanted.select(F.size(F.split("key", "[.]"))).distinct().collect())
+    own = keys(depths)
     # The universe: distinct hosts first, which are few, then their parents. One aggregation marks the listed keys.
-    corpus = parsed.select("host").distinct().select(F.explode(F.array(*keys())).alias("key")).select("key", F.lit(False).alias("listed"), F.lit(True).alias("met"))
-    wanted = listed.select("key", F.lit(True).alias("listed"), F.lit(False).alias("met")).filter("key IS NOT NULL")
-    universe = saved(corpus.union(wanted).filter("key <> ''").groupBy("key").agg(
+    corpus = parsed.select("host").distinct().select(F.explode(F.array(*own).cast("array<string>")).alias("key"))
+    marked = corpus.select("key", F.lit(False).alias("listed"), F.lit(True).alias("met")).union(
+        wanted.select("key", F.lit(True), F.lit(False)))
+    universe = saved(marked.filter("key <> ''").groupBy("key").agg(
         F.max("listed").alias("listed"), F.max("met").alias("met")).filter("met"), "universe")
-    cascade = Cascade(universe)
-    blocked = F.lit(False)
-    for key in keys():
-        blocked = blocked | ((F.col("host") != "") & cascade.contains(key))
-    fits = parsed.withColumn("_rule", rule(rules))
+    rows, parts = parsed.withColumn("_blocked", F.lit(False)), _parts(universe)
+    for part in range(parts):
+        def of_part(key: Column, part: int = part) -> Column:
+            return F.pmod(F.xxhash64(key, F.lit(-1)), F.lit(parts)) == part
+        cascade = Cascade(universe.filter(of_part(F.col("key"))))
+        blocked = F.col("_blocked")
+        for key in own:
+            blocked = blocked | F.coalesce((key != "") & of_part(key) & cascade.contains(key), F.lit(False))
+        rows = rows.withColumn("_blocked", blocked)
+        if part + 1 < parts:
+            rows = saved(rows, "judged")
+    fits = rows.withColumn("_rule", rule(rules))
     return fits.select(
         *columns, "host", "path", F.col("_rule.rule").alias("rule"),
-        F.when(F.col("_rule").isNotNull(), F.col("_rule.verdict")).when(blocked, "block").otherwise("allow").alias("verdict"))
+        F.when(F.col("_rule").isNotNull(), F.col("_rule.verdict")).when(F.col("_blocked"), "block").otherwise("allow").alias("verdict"))
