@@ -3,7 +3,7 @@
 A linear model over statistics of a text minimises the non-negative unbiased risk: with prior p, the risk of the
 positives as positive times p, plus the risk of the unlabelled as negative less p times that of the positives as
 negative. Where that difference falls below zero, the step goes back up instead of fitting it further. The prior
-is estimated first: a classifier of positives against unlabelled orders the texts, and the share of unlabelled
+is estimated first: a classifier of positives against unlabelled orders the texts, and the share of all unlabelled
 above a score, over that of held-back positives, is smallest where there are hardly any negatives.
 """
 
@@ -84,17 +84,19 @@ def _against_unlabelled(positive: np.ndarray, unlabelled: np.ndarray) -> np.ndar
     return weight
 
 
-def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
+def estimate_prior(held: np.ndarray, others: np.ndarray) -> float:
     """The share of positives among the unlabelled.
 
-    Half of either side trains a classifier, the other half gives the shares above each score. The score is the
-    one with the least upper bound of the ratio.
+    ``held`` are the sorted scores of positives that the order was not learnt from, and ``others[k]`` how many
+    unlabelled rows reach k of their different scores and no more. The score chosen is the one with the least upper
+    bound of the ratio of the shares above it. Without rows of either side the prior is a half.
     """
-    weight = _against_unlabelled(positive[::2], unlabelled[::2])
-    p, u = (np.sort(x[1::2] @ weight) if len(x) > 1 else x @ weight for x in (positive, unlabelled))
-    at = np.unique(p)
-    of_p, of_u = (1 - np.searchsorted(x, at, "left") / len(x) for x in (p, u))
-    slack = sum(np.sqrt(np.log(4 / CONFIDENCE) / (2 * len(x))) for x in (p, u))
+    if not len(held) or not others.sum():
+        return 0.5
+    at = np.unique(held)
+    of_p = 1 - np.searchsorted(held, at, "left") / len(held)
+    of_u = np.cumsum(others[::-1])[::-1][1:] / others.sum()
+    slack = sum(np.sqrt(np.log(4 / CONFIDENCE) / (2 * n)) for n in (len(held), others.sum()))
     best = np.argmin((of_u + slack) / np.maximum(of_p, 1e-9))
     return float(np.clip(of_u[best] / of_p[best], 0.01, 0.99))
 
@@ -112,43 +114,75 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> np.ndarra
     return weight
 
 
-class Model:
-    """Standardisation and weights; without positives or unlabelled texts every score is 0.5."""
+class Scale:
+    """Standardisation by the rows that a model is fitted on, and a column of ones."""
 
-    def __init__(self, positive: np.ndarray, unlabelled: np.ndarray):
-        self.prior, self.weight = 0.5, None
-        if len(positive) and len(unlabelled):
-            both = np.concatenate([positive, unlabelled])
-            self.mean, self.spread = both.mean(axis=0), both.std(axis=0) + 1e-3
-            positive, unlabelled = self._scaled(positive), self._scaled(unlabelled)
-            self.prior = estimate_prior(positive, unlabelled)
-            self.weight = fit(positive, unlabelled, self.prior)
+    def __init__(self, rows: np.ndarray):
+        self.mean, self.spread = rows.mean(axis=0), rows.std(axis=0) + 1e-3
 
-    def _scaled(self, rows: np.ndarray) -> np.ndarray:
+    def __call__(self, rows: np.ndarray) -> np.ndarray:
         return np.column_stack([np.clip((rows - self.mean) / self.spread, -8, 8), np.ones(len(rows))])
 
+
+class Model:
+    """Standardisation and weights; without positives or unlabelled texts every score is 0.5."""
+
+    def __init__(self, scale: Scale | None = None, weight: np.ndarray | None = None, prior: float = 0.5):
+        self.scale, self.weight, self.prior = scale, weight, prior
+
     def scores(self, rows: np.ndarray) -> np.ndarray:
-        return np.full(len(rows), 0.5) if self.weight is None else _sigmoid(self._scaled(rows) @ self.weight)
+        return np.full(len(rows), 0.5) if self.weight is None else _sigmoid(self.scale(rows) @ self.weight)
 
 
-def _rows(found: DataFrame) -> np.ndarray:
-    """The features of a bounded number of rows, on the driver."""
-    lists = found.select("features").toArrow().column("features").combine_chunks()
+def _matrix(lists: pa.Array) -> np.ndarray:
     flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     return flat.reshape(len(lists), -1) if len(lists) else np.zeros((0, 1))
 
 
+def _of_ids(rows: DataFrame, ids: DataFrame) -> pa.Table:
+    """The features of one row of each of a bounded number of ids, on the driver, in the order of the ids."""
+    one = rows.join(F.broadcast(ids), "id").groupBy(*ids.columns).agg(F.min("features").alias("features"))
+    return one.toArrow().combine_chunks().sort_by("id")
+
+
+def _reached(rows: DataFrame, scale: Scale, order: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """How many rows reach 0, 1, 2, ... of the sorted scores ``at``: one pass, a count for each score comes back."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(len(at) + 1, np.int64)
+        for batch in batches:
+            if batch.num_rows:
+                total += np.bincount(np.searchsorted(at, scale(_matrix(batch.column(0))) @ order, "right"), minlength=len(total))
+        found = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array(total[found])], ["reached", "n"])
+    counted = rows.select("features").mapInArrow(count, "reached int, n bigint").groupBy("reached").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(len(at) + 1, np.int64)
+    out[counted.column("reached").to_numpy()] = counted.column("n").to_numpy()
+    return out
+
+
 def train(rows: DataFrame, positives: DataFrame, sample: int = SAMPLE) -> Model:
     """A model from unlabelled rows (id, features) and the ids of trusted positives.
 
-    At most ``sample`` of either are used, those with the least hash of the id; that bound is a parameter. NULL
-    ids are left out.
+    Weights are fitted on at most ``sample`` ids of either, those with the least hash; that bound is a parameter, an
+    id counts once, and NULL ids are left out of it. The prior counts all unlabelled rows but the half of the
+    sample that orders them.
     """
     ids = positives.select("id").filter("id IS NOT NULL").distinct().orderBy(F.xxhash64("id"), "id").limit(sample)
-    positive = _rows(rows.join(F.broadcast(ids), "id").limit(2 * sample))
-    chosen = rows.select("id").filter("id IS NOT NULL").orderBy(F.xxhash64("id", F.lit(1)), "id").limit(sample)
-    unlabelled = _rows(rows.join(F.broadcast(chosen), "id").limit(2 * sample))
-    return Model(positive, unlabelled)
+    chosen = rows.select("id").filter("id IS NOT NULL").distinct().orderBy(F.xxhash64("id", F.lit(1)), "id").limit(sample)
+    chosen = saved(chosen.withColumn("half", F.expr("xxhash64(id, 2) & 1")), "chosen")
+    positive, unlabelled = _matrix(_of_ids(rows, ids).column("features").combine_chunks()), _of_ids(rows, chosen)
+    half = unlabelled.column("half").to_numpy() == 0
+    unlabelled = _matrix(unlabelled.column("features").combine_chunks())
+    if not len(positive) or not len(unlabelled):
+        return Model()
+    scale = Scale(np.concatenate([positive, unlabelled]))
+    positive, unlabelled, prior = scale(positive), scale(unlabelled), 0.5
+    if half.any() and len(positive) > 1:
+        order = _against_unlabelled(positive[::2], unlabelled[half])
+        held = np.sort(positive[1::2] @ order)
+        others = rows.join(F.broadcast(chosen.filter("half = 0").select("id")), "id", "left_anti")
+        prior = estimate_prior(held, _reached(others, scale, order, np.unique(held)))
+    return Model(scale, fit(positive, unlabelled, prior), prior)
 
 
 def score(rows: DataFrame, model: Model, columns: list[str]) -> DataFrame:
@@ -160,9 +194,7 @@ def score(rows: DataFrame, model: Model, columns: list[str]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = batch.column("features")
-            flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-            found = model.scores(flat.reshape(batch.num_rows, -1)) if batch.num_rows else np.zeros(0)
+            found = model.scores(_matrix(batch.column("features"))) if batch.num_rows else np.zeros(0)
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found)], [*batch.schema.names[:-1], "score"])
     kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in read.schema.fields[:-1]]
     return read.mapInArrow(run, ", ".join([*kept, "score double"]))

@@ -110,7 +110,10 @@ def _vectors(ratio: np.ndarray):
 
 
 def _fit(rows: pa.Table) -> tuple[np.ndarray, float]:
-    """Logistic regression by full-batch gradient steps with per-feature step sizes; classes weigh the same."""
+    """Logistic regression by full-batch gradient steps with per-feature step sizes; classes weigh the same.
+
+    Buckets that none of the rows holds get the mean weight, so that their ratios keep their say.
+    """
     label = rows.column("label").to_numpy().astype(float)
     size = pc.list_value_length(rows.column("bucket")).to_numpy()
     value = pc.list_flatten(rows.column("value")).to_numpy()
@@ -127,7 +130,7 @@ def _fit(rows: pa.Table) -> tuple[np.ndarray, float]:
         seen_bias += error.sum() ** 2
         weight -= RATE * slope / np.sqrt(seen)
         bias -= RATE * error.sum() / np.sqrt(seen_bias)
-    out = np.zeros(BUCKETS)
+    out = np.full(BUCKETS, max(weight.mean(), 0.0) if len(used) else 0.0)
     out[used] = weight
     return out, bias
 
