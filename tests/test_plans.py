@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from txn_analytics.operators import anomalies, measures as m, ranking, trend
+from txn_analytics.operators import anomalies, measures as m, quality, ranking, trend
 from txn_analytics.operators.blocks import Rank, with_ranks
 from txn_analytics.sources import files, retail_tables
 
@@ -85,3 +85,16 @@ def test_period_opens_only_its_months(fact):
     assert "PartitionFilters: [isnotnull(load_month" in plan(rows)
     assert rows.agg(F.count("*")).collect()[0][0] == fact.filter(
         "status != 'Failed' and date between '1998-01-01' and '1998-03-31'").count()
+
+
+def test_exact_profile_counts_each_column_alone(spark):
+    """One pass over all distinct values at once sorts as many copies of a row as there are columns, in every task."""
+    df = spark.sql(
+        "SELECT * FROM VALUES ('b', -1.5D, DATE'2024-01-02'), ('a', double('NaN'), NULL), ('b', -0.0D, NULL), (NULL, 0.0D, NULL) AS t(s, d, day)")
+    profile = quality.profile_columns(df, "t", exact=True)
+    assert not re.search(r"Expand|- Sort ", plan(profile))
+    assert [tuple(row) for row in profile.collect()] == [
+        ("t", 1, "s", "string", 1, 2, "a", "b"), ("t", 2, "d", "double", 0, 3, "-1.5", "NaN"),
+        ("t", 3, "day", "date", 3, 1, "2024-01-02", "2024-01-02")]
+    empty = [(row.nulls, row.distinct_values, row.smallest) for row in quality.profile_columns(df.limit(0), "t", exact=True).collect()]
+    assert empty == [(0, 0, None)] * 3

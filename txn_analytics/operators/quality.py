@@ -38,22 +38,31 @@ def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 def profile_columns(df: DataFrame, table: str, exact: bool = False) -> DataFrame:
     """Type, NULLs, distinct values, smallest and largest value of every column, from one pass.
 
-    Distinct values are estimates, or counted if ``exact``: that sends each column's values through a shuffle.
+    Distinct values are estimates, or counted if ``exact``: then each column is read once more, alone, and its distinct
+    values go through a shuffle. Counting all columns in the one pass would send every row once for each column through
+    one sort, with the smallest and largest values at its side.
     """
-    distinct = F.countDistinct if exact else F.approx_count_distinct
     facts = []
     for position, field in enumerate(df.schema.fields, 1):
         column = F.col(field.name)
+        estimate = [] if exact else [F.approx_count_distinct(column).alias("distinct_values")]
         facts.append(F.struct(
             F.lit(position).alias("position"),
             F.lit(field.name).alias("column"),
             F.lit(field.dataType.simpleString()).alias("type"),
             F.count_if(column.isNull()).alias("nulls"),
-            distinct(column).alias("distinct_values"),
+            *estimate,
             F.min(column).cast("string").alias("smallest"),
             F.max(column).cast("string").alias("largest"),
         ))
-    return (
+    profile = (
         df.agg(F.array(*facts).alias("facts"))
         .select(F.lit(table).alias("table"), F.inline("facts"))
     )
+    if exact:
+        counts = [
+            df.select(field.name).distinct().agg(F.count(field.name).alias("distinct_values"))
+            .select(F.lit(position).alias("position"), "distinct_values")
+            for position, field in enumerate(df.schema.fields, 1)]
+        profile = profile.join(F.broadcast(reduce(DataFrame.unionByName, counts)), "position")
+    return profile.select("table", "position", "column", "type", "nulls", "distinct_values", "smallest", "largest")
